@@ -7,11 +7,28 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, exact_dedup, mixing
 from .common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
+OP4_SQL = r"""
+with n as (
+  select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents
+)
+select doc_id, min(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
+       doc_id = min(doc_id) over (partition by t) as kept, sha256(t) as text_sha256
+from n
+"""
+
+
+def op4_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -20,8 +37,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_bpe": op10_bpe}
+    return {f.__name__: f for f in (op4_block_naming, op9_mixing, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_block_naming": OP4_SQL}
