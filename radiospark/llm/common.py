@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,8 +14,10 @@ from pyspark.sql import functions as F
 from ..session import scratch_path, table, written
 
 __all__ = [
+    "Shared",
     "WHITE",
     "fold",
+    "labelled_sample",
     "mix64",
     "pieces_of",
     "scratch_path",
@@ -86,14 +89,14 @@ def white_runs(text: bytes) -> bytes:
     return out
 
 
-def token_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """64-bit fingerprints of all words of a few texts, A-Z lower-cased, without a Python loop over words.
+def token_hashes(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit fingerprints of all words of a few texts, A-Z lower-cased if ``lower``, without a Python loop over words.
 
-    Returns (hashes, word counts a text, folded bytes, word starts, word ends). A word's fingerprint is a polynomial
+    Returns (hashes, word counts a text, the joined bytes, word starts, word ends). A word's fingerprint is a polynomial
     over random byte values, so it depends on the word alone, whatever text it stands in.
     """
     joined = np.frombuffer(b"\n".join(texts), dtype=np.uint8) if texts else np.zeros(0, np.uint8)
-    data = _LOWER[joined]
+    data = _LOWER[joined] if lower else joined
     starts, ends = words_of(data)
     bounds = np.cumsum(np.array([len(t) + 1 for t in texts], dtype=np.int64)) if texts else np.zeros(0, np.int64)
     counts = np.diff(np.searchsorted(starts, bounds), prepend=0)
@@ -127,3 +130,27 @@ def pieces_of(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Itera
 def renamed(df: DataFrame, taken: set[str], prefix: str = "in_") -> DataFrame:
     """``df`` with columns whose names an operator needs for itself renamed ``prefix + name``."""
     return df.withColumnsRenamed({c: prefix + c for c in df.columns if c in taken})
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, modulus: int = 3, held: int = 1) -> DataFrame:
+    """(doc_id, text, label): whole texts of at most ``per_class`` labelled rows of each class, chosen by a hash of the id,
+    from the rows outside the held-out fold alone. The bound makes it fit to be collected."""
+    usable = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), modulus) != held))
+    usable = usable.groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label"))
+    order = F.xxhash64(F.lit("sample"), "doc_id")
+    chosen = None
+    for value in (0, 1):
+        part = usable.where(F.col("label") == value).orderBy(order, "doc_id").limit(per_class)
+        chosen = part if chosen is None else chosen.unionAll(part)
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # 2 * per_class rows at most
+
+
+class Shared:
+    """A broadcast value (of bounded size) with a number of its own, so that workers can keep what they derive from it."""
+
+    def __init__(self, spark, value):
+        self.cast, self.id = spark.sparkContext.broadcast(value), uuid.uuid4().hex
+
+    @property
+    def value(self):
+        return self.cast.value

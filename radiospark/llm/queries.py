@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, mixing
+from . import bpe, exact_dedup, mixing, quality
 from .common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -26,6 +26,10 @@ def op4_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
@@ -37,7 +41,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_block_naming, op9_mixing, op10_bpe)}
+    return {f.__name__: f for f in (op4_block_naming, op8_quality, op9_mixing, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
