@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, mixing, quality
+from . import bpe, exact_dedup, line_dedup, mixing, quality
 from .common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -22,6 +22,27 @@ from n
 """
 
 
+OP1_SQL = r"""
+with lines as (
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as pos
+  from documents
+), keyed as (
+  select *, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from lines
+), counted as (
+  select key, count(distinct doc_id) as n from keyed where length(key) >= 1 group by key
+)
+select doc_id, count(*) as n_lines, count(*) filter (where coalesce(n, 0) >= 10) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where coalesce(n, 0) < 10), '')) as kept_sha256
+from keyed left join counted using (key) group by doc_id
+"""
+
+
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op4_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -41,8 +62,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_block_naming, op8_quality, op9_mixing, op10_bpe)}
+    return {f.__name__: f for f in (op1_line_dedup, op4_block_naming, op8_quality, op9_mixing, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_block_naming": OP4_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op4_block_naming": OP4_SQL}
