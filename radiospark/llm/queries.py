@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, line_dedup, mixing, quality
+from . import bpe, exact_dedup, line_dedup, mixing, quality, warc
 from .common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -47,6 +47,23 @@ def op4_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+OP5_SQL = """
+with p as (
+  select page_id, coalesce(html, '') as t, strlen(coalesce(html, '')) as n from pages
+), f as (
+  select *, min(page_id) over (partition by t) as first_id from p
+)
+select page_id, n as payload_bytes, sha256(t) as payload_digest,
+       case when n >= 100 and first_id < page_id then 'revisit' else 'response' end as record_type,
+       case when n >= 100 and first_id < page_id then first_id end as refers_to
+from f
+"""
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).drop("problem")
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -62,8 +79,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op4_block_naming, op8_quality, op9_mixing, op10_bpe)}
+    return {f.__name__: f for f in (op1_line_dedup, op4_block_naming, op5_warc, op8_quality, op9_mixing, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1_SQL, "op4_block_naming": OP4_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op4_block_naming": OP4_SQL, "op5_warc": OP5_SQL}
