@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, line_dedup, mixing, quality, warc
+from . import bpe, embedding_dedup, exact_dedup, line_dedup, mixing, quality, warc
 from .common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -64,6 +64,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).drop("problem")
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -79,7 +83,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op4_block_naming, op5_warc, op8_quality, op9_mixing, op10_bpe)}
+    return {f.__name__: f for f in (op1_line_dedup, op4_block_naming, op5_warc, op7_embedding_dedup, op8_quality, op9_mixing, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
