@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embedding_dedup, exact_dedup, line_dedup, minhash, mixing, quality, warc
+from . import bpe, embedding_dedup, exact_dedup, line_dedup, minhash, mixing, ngram_lm, quality, warc
 from .common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -43,6 +43,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"))
 
 
+def op2_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.held_out_scores(table(spark, sf_dir, "documents"))
+
+
 def op3_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.classes(table(spark, sf_dir, "documents"))
 
@@ -87,7 +91,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op3_dart_minhash, op4_block_naming, op5_warc, op7_embedding_dedup, op8_quality, op9_mixing, op10_bpe)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_ngram_lm, op3_dart_minhash, op4_block_naming, op5_warc, op7_embedding_dedup, op8_quality, op9_mixing, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
