@@ -41,8 +41,17 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + os.path.abspath(_OWN_DIRS[app])
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where the driver has it, whatever their working folder."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder."""
+    importable(spark)
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
@@ -59,4 +68,5 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table of ``sf_dir``."""
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
