@@ -1,0 +1,3 @@
+"""Registered queries; importing this package registers all of them."""
+
+from . import visibility  # noqa: F401
