@@ -126,18 +126,18 @@ def first_crossing(df: DataFrame, by: list[str], ts: str, value: str, bound: flo
 
 
 def full_blocks(df: DataFrame, ts: str, size: int = 24) -> DataFrame:
-    """Hours that hold exactly ``size`` records, alone or with the hour after them: (hour, hours, n).
+    """(hour, hours): blocks of exactly ``size`` records, from one hour or from one of fewer and the next there is.
 
     Runs of hours are used from the first on: an hour that completes the one before begins no block of its own.
     """
     hours = df.groupBy(F.date_trunc("hour", ts).alias("hour")).agg(F.count("*").alias("n"))
     w = Window.orderBy("hour")
-    hours = hours.withColumn("_gap", F.lag("hour").over(w)).withColumn("next", F.when(F.lead("hour").over(w) == F.col("hour") + F.expr("INTERVAL '1' HOUR"), F.lead("n").over(w)))
-    pairs = hours.withColumn("joins", (F.col("n") != size) & (F.col("n") + F.coalesce("next", F.lit(0)) == size))
-    run = pairs.withColumn("_new", (~F.coalesce(F.lag("joins").over(w), F.lit(False))).cast("int")).withColumn("_run", F.sum("_new").over(w))
+    hours = hours.withColumn("_next", F.lead("n").over(w))
+    pairs = hours.withColumn("joins", (F.col("n") < size) & F.coalesce(F.col("n") + F.col("_next") == size, F.lit(False)))
+    run = pairs.withColumn("_run", F.sum((~F.coalesce(F.lag("joins").over(w), F.lit(False))).cast("int")).over(w))
     place = run.withColumn("_place", F.row_number().over(Window.partitionBy("_run").orderBy("hour")) - 1)
-    taken = place.where((F.col("joins") & (F.col("_place") % 2 == 0)) | ((F.col("n") == size) & ((F.col("_place") % 2 == 0))))
-    return taken.select("hour", F.when(F.col("n") == size, 1).otherwise(2).alias("hours"), F.lit(size).alias("size"))
+    taken = place.where((F.col("n") == size) | (F.col("joins") & (F.col("_place") % 2 == 0)))
+    return taken.select("hour", F.when(F.col("n") == size, 1).otherwise(2).alias("hours"))
 
 
 def head_and_tail(df: DataFrame, by: list[str], order: str, n: int, fewer_than: int, when: Column) -> DataFrame:

@@ -454,7 +454,7 @@ def j22(spark, d):
     return r6(calibrate.rearrange_model(vis, vis.withColumn("re", F.col("re") + 1)).select(*SAMPLE, "re"), "re")
 
 
-@register("s15_cube", sql("select 'sum' as type, corr, scan, chan as freq_idx, round(amp,6) as amp, round(13.398+chan*0.023926,6) as mhz, round(2.0+scan*10.031/3600.0,6) as hours from spectrum where amp is not null", "spectrum"))
+@register("s15_cube", sql("select 'sum' as type, corr, scan, chan as freq_idx, round(amp,6) as amp, round((13.398+chan*0.023926)::double,6) as mhz, round((2.0+scan*10.031/3600.0)::double,6) as hours from spectrum where amp is not null", "spectrum"))
 def s15(spark, d):
     cube = spectra.with_axes(spectra.dynamic_spectrum(fx.vis(spark, d), fx.gains(spark, d)), 2.0).where("present")
     return r6(cube.drop("present"), "amp", "mhz", "hours")
