@@ -157,7 +157,8 @@ def middle_rows(df: DataFrame, by: list[str], order: str) -> DataFrame:
 
 def padded(df: DataFrame, by: list[str], axis: str, first: int, last: int) -> DataFrame:
     """Every group with all places first..last of the axis, missing ones with nulls."""
-    every = df.select(*by).distinct().withColumn(axis, F.explode(F.sequence(F.lit(first), F.lit(last))).cast(df.schema[axis].dataType))
+    kind = df.schema[axis].dataType
+    every = df.select(*by).distinct().withColumn(axis, F.explode(F.sequence(F.lit(first).cast(kind), F.lit(last).cast(kind))))
     return every.join(df, [*by, axis], "left")
 
 

@@ -1,3 +1,3 @@
 """Registered queries; importing this package registers all of them."""
 
-from . import imaging, visibility  # noqa: F401
+from . import imaging, timing, visibility  # noqa: F401
