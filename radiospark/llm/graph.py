@@ -1,32 +1,5 @@
-"""Connected components of an edge table, by alternating large-star and small-star steps.
+"""Connected components for the deduplication operators."""
 
-Each step is an aggregation with partial minima and a join of two written tables, which Spark can split where a node has
-very many edges. The number of rounds grows with the logarithm of the longest path.
-"""
+from ..operators.components import connected_components
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from .common import written
-
-
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, component) for every node that is not the smallest of its component: the smallest is its name.
-
-    Nulls and edges from a node to itself say nothing; repeated edges count once. No edges give an empty table.
-    """
-    ends = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
-    now, seen = written(ends.distinct(), "edges"), None
-    while True:
-        print_ = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if print_ == seen:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        seen = print_
-        both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
-        large = written(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "edges")
-        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
-        now = written(small.unionAll(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+__all__ = ["connected_components"]
