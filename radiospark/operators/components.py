@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import written
+from ..session import release, written
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -27,6 +27,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = written(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "edges")
-        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
-        now = written(small.unionAll(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        low = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
+        new = written(small.unionAll(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        release(now, least, large, low)
+        now = new

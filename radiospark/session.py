@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -37,6 +39,7 @@ def shared_dir(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _OWN_DIRS:
         _OWN_DIRS[app] = tempfile.mkdtemp(prefix="radiospark-")
+        atexit.register(shutil.rmtree, _OWN_DIRS[app], ignore_errors=True)
         spark.sparkContext.setCheckpointDir(_OWN_DIRS[app])
     return "file://" + os.path.abspath(_OWN_DIRS[app])
 
@@ -63,7 +66,19 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete the files of tables from ``written`` that nothing will read any more."""
+    for df in frames:
+        path = df.__dict__.pop("_scratch", None)
+        if path:
+            spark = df.sparkSession
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
