@@ -11,7 +11,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path, table, written
+from ..session import release, scratch_path, table, written
 
 __all__ = [
     "Shared",
@@ -20,6 +20,7 @@ __all__ = [
     "labelled_sample",
     "mix64",
     "pieces_of",
+    "release",
     "scratch_path",
     "table",
     "token_hashes",

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, written
+from .common import Shared, release, written
 from .graph import connected_components
 
 THRESHOLD = 0.95
@@ -219,6 +219,7 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "e
     degree = met.groupBy("node").agg(F.sum("links").alias("n_links"))
     known = nodes.select("node", "v").join(degree, "node", "left").join(components, "node", "left")
     known = written(known.select("v", "node", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component", "node").alias("component")), "known")
+    release(nodes, tiles, met)
     out = given.where(F.col("vec_id").isNotNull()).join(known, "v", "left").unionByName(given.where(F.col("vec_id").isNull()), allowMissingColumns=True)
     component = F.coalesce(F.col("component"), F.col("vec_id").cast("long"))
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import pieces_of, white_runs, written
+from .common import pieces_of, release, white_runs, written
 
 BLOCK_BYTES = 4096
 
@@ -92,7 +92,8 @@ def identities(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     names = named(parts.where(F.col("block").isNotNull()).select("slice", "idx", "block"), "block").select("slice", "idx", "name")
     own = parts.where(F.col("row").isNotNull()).select("slice", "row", "doc_id", "sha", F.posexplode("idxs").alias("pos", "idx"))
     state = written(_names(own.join(names, ["slice", "idx"])), "names")
-    done, rounds = [], 0
+    release(parts)
+    done, rounds, states = [], 0, [state]
     longest = state.agg(F.max(F.size("names"))).first()[0] or 0
     while True:
         done.append(state.where(F.size("names") == 1).select("slice", "row", "doc_id", "sha", F.lit(rounds).alias("rounds"), F.col("names")[0].alias("name")))
@@ -102,16 +103,19 @@ def identities(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         pairs = state.where(F.size("names") > 1).select("slice", "row", "doc_id", "sha", F.posexplode(halves).alias("pos", "pair"))
         pairs = pairs.select("slice", "row", "doc_id", "sha", "pos", "pair.a", "pair.b")
         state = written(_names(pairs.join(named(pairs.select("a", "b").distinct(), "a", "b"), ["a", "b"])), "names")
+        states.append(state)
         rounds, longest = rounds + 1, (longest + 1) // 2
     out = done[0]
     for more in done[1:]:
         out = out.unionAll(more)
+    out = written(out, "identities")
+    release(*states)
     return out
 
 
 def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row a document: doc_id, keep_id, group_size, kept, text_sha256."""
-    found = written(identities(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), block_bytes), "identities")
+    found = identities(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), block_bytes)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "slice", "row")).alias("first")
     groups = written(found.groupBy("rounds", "name").agg(F.count("*").alias("group_size"), first), "groups")
     both = found.join(groups, ["rounds", "name"])

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch_path, written
+from .common import release, scratch_path, written
 
 LEAST_BYTES = 100
 SEGMENT_BYTES = 8192
@@ -95,16 +95,18 @@ def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at = stop + len(END)
 
 
-def _prepared(pages: DataFrame, least_bytes: int) -> DataFrame:
-    """Pages with ``name`` and, for revisits, ``first`` (the name of the response)."""
+def _prepared(pages: DataFrame, least_bytes: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Pages with ``name`` and, for revisits, ``first`` (the name of the response); the written tables behind them."""
     base = pages.withColumn("rid", F.monotonically_increasing_id())
     base = written(base.withColumn("digest", F.sha2("payload", 256)), "pages")
     first = F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "rid"))
     groups = base.where(F.length("payload") >= least_bytes).groupBy("digest").agg(F.count("*").alias("n"), first.alias("first")).where("n > 1")
-    both = base.join(written(groups, "groups"), "digest", "left")
+    groups = written(groups, "groups")
+    both = base.join(groups, "digest", "left")
     name = lambda i, r: F.concat(F.lit("urn:page:"), F.coalesce(i.cast("string"), F.lit("null")), F.lit(":"), r.cast("string"))
     again = (F.length("payload") >= least_bytes) & F.col("n").isNotNull() & (F.col("rid") != F.col("first.rid"))
-    return both.select("url", "payload", name(F.col("page_id"), F.col("rid")).alias("name"), F.when(again, name(F.col("first.page_id"), F.col("first.rid"))).alias("first"))
+    out = both.select("url", "payload", name(F.col("page_id"), F.col("rid")).alias("name"), F.when(again, name(F.col("first.page_id"), F.col("first.rid"))).alias("first"))
+    return out, [base, groups]
 
 
 def write_archive(
@@ -128,9 +130,11 @@ def write_archive(
                     out, size = [], 0
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
-    records = _prepared(chosen, least_bytes).mapInArrow(run, "record binary")
+    prepared, scratch = _prepared(chosen, least_bytes)
+    records = prepared.mapInArrow(run, "record binary")
     lines = records.select(F.col("record").cast("string").alias("value"))
     lines.write.option("lineSep", END.decode()).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    release(*scratch)
 
 
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
