@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import release, written
+
 SIGMA = 1.4826
 IMAGE = ["image_id"]
 
@@ -69,19 +71,27 @@ def mad_noise(df: DataFrame, by: list[str], value: str = "val") -> DataFrame:
 
 def clipped_rms(pixels: DataFrame, by: list[str], k: float = 5.0, rounds: int = 5) -> DataFrame:
     """Std of the values within k sigma of the median, sigma from the MAD, repeated until sigma is steady."""
-    rows = pixels.where(F.col("val").isNotNull() & ~F.isnan("val"))
+    good = pixels.where(F.col("val").isNotNull() & ~F.isnan("val")).select(*by, "val")
 
     def state(rows: DataFrame) -> DataFrame:
         middle = rows.groupBy(*by).agg(F.median("val").alias("m"))
         return rows.join(middle, by).groupBy(*by).agg(F.any_value("m").alias("m"), (SIGMA * F.median(F.abs(F.col("val") - F.col("m")))).alias("s"))
 
-    now = state(rows).withColumn("done", F.col("s") == 0)
-    for _ in range(rounds):
-        rows = rows.join(now, by).where(F.col("done") | (F.abs(F.col("val") - F.col("m")) <= k * F.col("s"))).select(*pixels.columns)
-        new = state(rows).select(*by, F.col("m").alias("m2"), F.col("s").alias("s2"))
+    def inside(now: DataFrame) -> DataFrame:
+        return good.join(now, by).where(F.col("val").between(F.col("lo"), F.col("hi"))).select(*by, "val")
+
+    every = F.lit(float("inf"))
+    now = written(state(good).select("*", (-every).alias("lo"), every.alias("hi"), (F.col("s") == 0).alias("done")), "clip")
+    for _ in range(rounds):  # what is kept of an image lies between two bounds, so a round reads the pixels once
+        reach = k * F.col("s")
+        bounds = now.withColumns({"lo": F.when(F.col("done"), F.col("lo")).otherwise(F.greatest("lo", F.col("m") - reach)), "hi": F.when(F.col("done"), F.col("hi")).otherwise(F.least("hi", F.col("m") + reach))})
+        new = state(inside(bounds)).select(*by, F.col("m").alias("m2"), F.col("s").alias("s2"))
         steady = (F.col("s2") == 0) | (F.abs(F.col("s2") - F.col("s")) <= 1e-8 + 1e-3 * F.abs("s"))
-        now = now.join(new, by).select(*by, F.when(F.col("done"), F.col("m")).otherwise(F.col("m2")).alias("m"), F.when(F.col("done"), F.col("s")).otherwise(F.col("s2")).alias("s"), (F.col("done") | steady).alias("done"))
-    return rows.groupBy(*by).agg(F.stddev_pop("val").alias("rms"), F.count("*").alias("n"))
+        held = lambda c: F.when(F.col("done"), F.col(c)).otherwise(F.col(f"{c}2")).alias(c)
+        after = written(bounds.join(new, by).select(*by, held("m"), held("s"), "lo", "hi", (F.col("done") | steady).alias("done")), "clip")
+        release(now)
+        now = after
+    return inside(now).groupBy(*by).agg(F.stddev_pop("val").alias("rms"), F.count("*").alias("n"))
 
 
 def two_pass_rms(pixels: DataFrame, k: float = 7.0) -> DataFrame:

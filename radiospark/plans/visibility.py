@@ -435,7 +435,9 @@ def j18(spark, d):
     from ..operators.timeline import delay_differences
 
     delays = fx.delays(spark, d)
-    return r6(delay_differences(delays.where("epoch = 1"), delays.where("epoch = 0")), "difference")
+    new, old = delays.where("epoch = 1"), delays.where("epoch = 0")
+    keys = ["ant", "pol"]
+    return r6(delay_differences(new.join(old, keys, "left_semi"), old.join(new, keys, "left_semi")), "difference")
 
 
 @register("j21_model_subtraction", sql("select v.scan,ant1,ant2,chan,corr,round(v.re-0.5*coalesce(m.re,0),6)+0.0 as re from vis v left join (select ant1,ant2,chan,corr,sum(re) as re from vis where scan<=1 group by all) m using (ant1,ant2,chan,corr)", "vis"))
