@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .numbers import col
 
 #: Fixed value: geographic longitude (degrees) for sidereal time where none is given.
-LONGITUDE = -118.2816667
+LONGITUDE = -118.281667
 #: Fixed value: speed of light, m/s.
 C_M_S = 299792458.0
 

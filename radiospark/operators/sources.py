@@ -10,7 +10,8 @@ from ..session import written
 from .components import connected_components
 
 CELL = ["image_id", "cx", "cy"]
-#: Fixed value: class of candidates that nobody looked at yet.
+#: Classes of reviewed candidates; 0 is that of candidates that nobody looked at yet.
+CLASSES = {0: "NA", 1: "CANDIDATE", 2: "AIRPLANE", 3: "METEOR", 6: "SCINT", 7: "OTHER", 8: "REFRACTION", 9: "STATIONARY", 10: "SUN", 11: "ATEAM"}
 NOT_CLASSIFIED = 0
 
 
@@ -104,3 +105,9 @@ def sifted(candidates: DataFrame, snr: float = 6.5, max_dec: float | None = None
 def reviewed(candidates: DataFrame, decisions: DataFrame) -> DataFrame:
     """The class that a reviewer gave (id, class); NOT_CLASSIFIED where there is none."""
     return candidates.join(decisions.select("id", F.col("class").alias("_c")), "id", "left").withColumn("class", F.coalesce("_c", F.lit(NOT_CLASSIFIED))).drop("_c")
+
+
+def class_names(df: DataFrame) -> DataFrame:
+    """Add ``class_name``; null for a number that is no class."""
+    names = df.sparkSession.createDataFrame(list(CLASSES.items()), "class int, class_name string")
+    return df.join(F.broadcast(names), "class", "left")  # ten rows

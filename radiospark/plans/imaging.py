@@ -302,10 +302,11 @@ def x6(spark, d):
     return told.where("not veto").join(F.broadcast(n)).select("id", F.lit(sources.NOT_CLASSIFIED).alias("class"), "coincidences")  # one row
 
 
-@register("x7_reviewed_classes", sql("select c.id, case when id%10=3 then 6 else 0 end as class from catalog c", "catalog"))
+@register("x7_reviewed_classes", sql("select id, case when id%10=3 then 6 else 0 end as class, case when id%10=3 then 'SCINT' else 'NA' end as class_name from catalog", "catalog"))
 def x7(spark, d):
     cat = fx.catalog(spark, d)
-    return sources.reviewed(cat, cat.where("id % 10 = 3").select("id", F.lit(6).alias("class"))).select("id", "class")
+    told = sources.reviewed(cat, cat.where("id % 10 = 3").select("id", F.lit(6).alias("class")))
+    return sources.class_names(told).select("id", "class", "class_name")
 
 
 @register("a34_match_statistics", sql("select round(median(a.sep),6) as before, round(median(b.sep),6) as after, round(median(a.sep)-median(b.sep),6)+0.0 as score from near a join (select id, sep from near) b using (id)", "near"))

@@ -16,7 +16,7 @@ from .oracle import define, sql
 from .registry import register
 
 define("jd", "select *, epoch(ts)/86400.0::double+2440587.5 as jd from scans", "scans")
-define("lst", "select *, ((18.697374558+24.06570982441908*(jd-2451545.0)-118.2816667*24/360)%24+24)%24 as lst from jd", "jd")
+define("lst", "select *, ((18.697374558+24.06570982441908*(jd-2451545.0)-118.281667*24/360)%24+24)%24 as lst from jd", "jd")
 define("hourly", "select ts, min(scan_id) as scan_id, avg(lst) as lst from lst group by 1", "lst")
 define("wrapped", "select *, lst+sum(t) over (order by ts) as unwrapped from (select *, case when lst-lag(lst) over (order by ts)<-12 then 24.0 when lst-lag(lst) over (order by ts)>12 then -24.0 else 0.0 end as t from hourly)", "hourly")
 define("names", "select scan_id, concat(strftime(ts,'%Y%m%d_%H%M%S'),'_',spw,'MHz.ms') as name from scans", "scans")
@@ -244,9 +244,9 @@ def f6(spark, d):
     return r6(with_lst(spark, d).select("scan_id", "lst"), "lst", digits=5)
 
 
-@register("f16_calibration_window", sql("select ts, abs(((lst-299.868153/15+12)%24+24)%24-12)<=20/120.0 as inside from hourly", "hourly"))
+@register("f16_calibration_window", sql("select ts, abs(((lst-299.868152625/15+12)%24+24)%24-12)<=20/120.0 as inside from hourly", "hourly"))
 def f16(spark, d):
-    return hourly(spark, d).select("ts", (timeline.circular_hours(F.col("lst"), F.lit(299.868153 / 15)) <= 20 / 120.0).alias("inside"))
+    return hourly(spark, d).select("ts", (timeline.circular_hours(F.col("lst"), F.lit(299.868152625 / 15)) <= 20 / 120.0).alias("inside"))
 
 
 @register("a30_delay_scatter", sql("select round(1.4826*median(abs(delay_ns-m)),6) as noise from delays, (select median(delay_ns) as m from delays)", "delays"))

@@ -17,10 +17,10 @@ FLAGGED_ANTENNAS = (3, 7, 12)
 FLAGGED_BASELINES = ((0, 1), (2, 5), (4, 4))
 #: Calibrator name, right ascension, declination (degrees), flux (Jy) and spectral index at 80 MHz.
 CALIBRATORS = (
-    ("CAS_A", 350.8575, 58.148167, 16530.0, -0.72),
-    ("CYG_A", 299.868153, 40.733916, 16300.0, -0.58),
-    ("TAU_A", 83.633212, 22.01446, 1770.0, -0.27),
-    ("VIR_A", 187.705930, 12.391123, 2400.0, -0.86),
+    ("CasA", 350.85, 58.815, 16530.0, -0.72),
+    ("CygA", 299.868152625, 40.7339158333, 16300.0, -0.58),
+    ("TauA", 83.6330833333, 22.0145, 1770.0, -0.27),
+    ("VirA", 187.7059307500, 12.3911233056, 2400.0, -0.86),
 )
 
 
