@@ -37,7 +37,7 @@ MU = 8.0
 BASE = 1.5
 BITS, PROBES = 12, 8
 #: Bytes of text for each segment of the filter and for each block of texts; tokens that a task counts at once.
-SEGMENT_BYTES, BLOCK_BYTES, FLUSH_TOKENS = 24 << 20, 8 << 20, 1_500_000
+SEGMENT_BYTES, BLOCK_BYTES, FLUSH_TOKENS = 8 << 20, 8 << 20, 1_500_000
 LEAST_PARTS = 40
 END, START = np.uint64(0x9DDFEA08EB382D69), np.uint64(0xC3A5C85C97CB3127)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
