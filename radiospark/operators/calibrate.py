@@ -65,7 +65,7 @@ def apply_bandpass_flagged(vis: DataFrame, gains: DataFrame | None = None, use_f
 
 def solve_gain_scale(target: DataFrame, to_scale: DataFrame) -> DataFrame:
     """(ant, chan, pol, scale): sqrt(target / to_scale) of the autocorrelations XX and YY; 1 where either is flagged."""
-    side = lambda df, name: df.where("ant1 = ant2 and corr in (0, 3)").select(F.col("ant1").alias("ant"), "chan", F.expr("cast(corr as int) div 2").alias("pol"), F.col("re").alias(name), F.col("flag").alias(f"{name}_flag"))
+    side = lambda df, name: df.where("ant1 = ant2 and corr in (0, 3)").select(F.col("ant1").alias("ant"), "chan", F.expr("cast(corr as int) div 2").cast("int").alias("pol"), F.col("re").alias(name), F.col("flag").alias(f"{name}_flag"))
     both = side(target, "t").join(side(to_scale, "s"), ["ant", "chan", "pol"])
     return both.select("ant", "chan", "pol", F.when(F.col("t_flag") | F.col("s_flag"), 1.0).otherwise(F.sqrt(F.abs(F.try_divide("t", "s")))).alias("scale"))
 

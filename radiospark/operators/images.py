@@ -174,4 +174,4 @@ def light_curve(pixels: DataFrame, noise_by: list[str], threshold: float = 6.0)
 
 
 def ranked(df: DataFrame, by: list[str], order: list) -> DataFrame:
-    return df.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+    return df.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("bigint"))

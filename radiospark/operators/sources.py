@@ -61,7 +61,7 @@ def with_sky(found: DataFrame, ra0: float, dec0: float, scale: float, centre: fl
 
 def numbered(df: DataFrame, order: list[str]) -> DataFrame:
     """Add ``id`` 0, 1, ... in the given order (one catalogue's rows)."""
-    return df.withColumn("id", F.row_number().over(Window.orderBy(*order)) - 1)
+    return df.withColumn("id", (F.row_number().over(Window.orderBy(*order)) - 1).cast("bigint"))
 
 
 def nearest_on_sky(left: DataFrame, right: DataFrame, first_deg: float = 4.0) -> DataFrame:

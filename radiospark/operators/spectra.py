@@ -34,7 +34,7 @@ def baseline_spectra(vis: DataFrame, baselines: DataFrame) -> DataFrame:
 
 def numbered_scans(df: DataFrame, ts: str = "ts") -> DataFrame:
     """``df`` with ``scan``, the place of its time among all distinct times."""
-    times = df.select(ts).distinct().withColumn("scan", F.row_number().over(Window.orderBy(ts)) - 1)
+    times = df.select(ts).distinct().withColumn("scan", (F.row_number().over(Window.orderBy(ts)) - 1).cast("bigint"))
     return df.join(times, ts)
 
 

@@ -90,7 +90,7 @@ def with_calibration(scans: DataFrame, tables: DataFrame) -> DataFrame:
 def overlapping_pairs(df: DataFrame, by: list[str], order: str, key: str) -> DataFrame:
     """(by, pair, key): items i and i + 1 of each group as pair i."""
     w = Window.partitionBy(*by).orderBy(order)
-    both = df.withColumn("pair", F.row_number().over(w) - 1).withColumn("_next", F.lead(key).over(w)).where("_next is not null")
+    both = df.withColumn("pair", (F.row_number().over(w) - 1).cast("bigint")).withColumn("_next", F.lead(key).over(w)).where("_next is not null")
     return both.select(*by, "pair", F.explode(F.array(F.col(key), F.col("_next"))).alias(key))
 
 

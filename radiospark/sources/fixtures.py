@@ -28,7 +28,7 @@ def vis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(scan, ant1, ant2, chan, corr, re, im, flag), ant1 <= ant2."""
     a, b = F.col("l_suppkey") % N_ANT, F.col("l_partkey") % N_ANT
     keys = {
-        "scan": F.year("l_shipdate") - 1995, "ant1": F.least(a, b), "ant2": F.greatest(a, b), "chan": F.col("l_orderkey") % N_CHAN, "corr": F.col("l_linenumber") % 4,
+        "scan": (F.year("l_shipdate") - 1995).cast("bigint"), "ant1": F.least(a, b), "ant2": F.greatest(a, b), "chan": F.col("l_orderkey") % N_CHAN, "corr": F.col("l_linenumber") % 4,
     }
     return (
         table(spark, sf_dir, "lineitem").groupBy(*(c.alias(k) for k, c in keys.items()))
@@ -75,7 +75,7 @@ def images(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import Window
 
     by = Window.partitionBy("label").orderBy("vec_id")
-    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("image_id"), F.col("label").alias("band"), (F.row_number().over(by) - 1).alias("seq"))
+    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("image_id"), F.col("label").alias("band"), (F.row_number().over(by) - 1).cast("bigint").alias("seq"))
 
 
 def scans(spark: SparkSession, sf_dir: str) -> DataFrame:
