@@ -170,11 +170,11 @@ def parse_quality_lines(lines: DataFrame, kind: str) -> DataFrame:
 
 def mirrored(df: DataFrame, by: list[str], axis: str, half: int) -> DataFrame:
     """``df`` with its edges mirrored (half-sample) by ``half`` places, ``_real`` telling the rows that were there."""
-    size = F.max(axis).over(Window.partitionBy(*by))
-    own = df.withColumn("_n", size).withColumn("_real", F.lit(True))
-    low = own.where(F.col(axis) < half).withColumn(axis, -F.col(axis) - 1).withColumn("_real", F.lit(False))
-    high = own.where(F.col(axis) > F.col("_n") - half).withColumn(axis, 2 * F.col("_n") - F.col(axis) + 1).withColumn("_real", F.lit(False))
-    return own.unionByName(low).unionByName(high).drop("_n")
+    last = F.max(axis).over(Window.partitionBy(*by))
+    at, there = F.col(axis), lambda place, real: F.struct(place.alias("place"), F.lit(real).alias("real"))
+    places = F.array(there(at, True), F.when(at < half, there(-at - 1, False)), F.when(at > F.col("_n") - half, there(2 * F.col("_n") - at + 1, False)))
+    sent = df.withColumn("_n", last).withColumn("_at", F.explode(F.filter(places, lambda p: p.isNotNull())))
+    return sent.withColumns({axis: F.col("_at.place"), "_real": F.col("_at.real")}).drop("_n", "_at")
 
 
 def running(df: DataFrame, by: list[str], axis: str, value: str, half: int, kind: str) -> DataFrame:
