@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Shared, fold, labelled_sample, mix64, pieces_of, renamed, token_hashes
+from .common import Shared, fold, labelled_sample, mix64, pieces_of, release, renamed, token_hashes, written
 
 
 @dataclass(frozen=True)
@@ -144,8 +144,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", settings: Se
                     names=["doc_id", "label", "at", "times"],
                 )
 
-    found = sample.select(F.col("doc_id").cast("long"), "label", "text").mapInArrow(run, schema)
+    # Written by all tasks at once; then read in part after part, so that the driver never holds two copies.
+    found = written(sample.select(F.col("doc_id").cast("long"), "label", "text").mapInArrow(run, schema), "sample")
     rows = [(r["doc_id"], r["label"], np.frombuffer(r["at"], np.int32), np.frombuffer(r["times"], np.uint16).astype(np.float32)) for r in found.toLocalIterator()]
+    release(found)
     rows.sort(key=lambda r: (r[0], r[2].tobytes()))
     return train([r[1:] for r in rows], settings)
 
