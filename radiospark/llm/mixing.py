@@ -162,7 +162,8 @@ def _plan(sizes: DataFrame, block_words: int, seed: int) -> tuple[DataFrame, Dat
     size = np.array([r["source_size"] for r in rows], dtype=np.int64)
     n = -(-size // block_words)
     quota = np.array([round(r["target"] * int(k) / r["source_size"]) if r["source_size"] else 0 for r, k in zip(rows, n)], dtype=np.int64)
-    return docs, pieces, slots(spark, draws(np.minimum(quota, MOST * n), seed), n, seed)
+    # Written, so that joins see how large the slots are: their number grows with the words.
+    return docs, pieces, written(slots(spark, draws(np.minimum(quota, MOST * n), seed), n, seed), "slots")
 
 
 def mix_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
