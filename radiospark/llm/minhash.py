@@ -7,10 +7,12 @@ those below its elements' weights. Two documents agree on a coordinate with the
 similarity. Large documents look at low ranks alone, so the darts looked at are about k ln k + 2k whatever the size.
 
 Bands of coordinates are joined. Documents of equal shingle sets are one class from the start and go on as one. In a
-bucket of few classes all pairs are candidates; in a larger one each class is a candidate with the smallest, and its
-members meet again, unless already joined, in a second set of longer bands (8 coordinates in place of 4), which only
-alike documents share. So no bucket ever yields all its pairs. Every candidate is checked on whole texts, and links make
-classes by connected components.
+bucket of few classes all pairs are candidates; in a larger one each class is a candidate with the smallest. Every
+candidate is checked on whole texts. The members of larger buckets that are not all joined by that meet again in an exact
+way: two sets of similarity t share one of the n - ceil(t n) + 1 rarest shingles of each. Where few share such a shingle
+all pairs are candidates, if they share a band too; those who share common ones with many make a crowd, of which all pairs
+are counted in blocks of matrix products. No bucket yields all its pairs as rows. Links make classes by connected
+components.
 
 With 32 bands of 4, a pair of similarity 0.8 is missed by all bands with a probability below 1e-7.
 
@@ -30,15 +32,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, pieces_of, release, token_hashes, written
+from .common import Shared, mix64, pieces_of, release, token_hashes, written
 from .graph import connected_components
 
 WORDS = 5
 SIMILARITY = 0.8
 K = 128
-ROWS, LONG_ROWS, LONG_BANDS = 4, 8, 48
+ROWS = 4
 #: Buckets of at most so many classes give all their pairs.
 SMALL = 12
+#: Slots that count shingles for their order, a power of two; any order is right, a good one makes few candidates.
+SLOTS = 1 << 20
+#: Shingles of a block of a crowd: at most about the first, and as few as the second where that makes SPREAD blocks or fewer.
+BLOCK, LEAST_BLOCK, SPREAD = 1 << 20, 1 << 16, 8
 #: The lowest cell of ranks is [0, 2**LOWEST); each further cell doubles the range.
 LOWEST = -4
 _FILL = np.uint64(2**64 - 1)
@@ -210,6 +216,151 @@ def _within(shared: DataFrame, threshold: float) -> DataFrame:
     return pairs.distinct()
 
 
+def _order(docs: DataFrame) -> np.ndarray:
+    """How often each slot's shingles occur in ``docs``: SLOTS numbers whatever the table."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, dtype=np.int64)
+        for batch in batches:
+            for _, texts in pieces_of(batch, "text", 2 << 20):
+                total += np.bincount((shingle_sets(texts)[0] & np.uint64(SLOTS - 1)).astype(np.int64), minlength=SLOTS)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["slot", "times"])
+
+    found = docs.select("text").mapInArrow(run, "slot long, times long").groupBy("slot").agg(F.sum("times").alias("times")).toArrow()  # SLOTS rows at most
+    out = np.zeros(SLOTS, dtype=np.int64)
+    out[found["slot"].to_numpy()] = found["times"].to_numpy()
+    return out
+
+
+def _prefixes(docs: DataFrame, threshold: float) -> DataFrame:
+    """(id, own, n, key) for (id, own, text): the shingles of which two similar sets have one in common, without those that
+    occur once."""
+    order = Shared(docs.sparkSession, _order(docs))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        times = order.value
+        for batch in batches:
+            for part, texts in pieces_of(batch, "text", 2 << 20):
+                elements, _, sizes = shingle_sets(texts)
+                owner = np.repeat(np.arange(len(texts)), sizes)
+                often = times[(elements & np.uint64(SLOTS - 1)).astype(np.int64)]
+                by = np.lexsort((elements, often, owner))
+                place = np.arange(len(elements)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                taken = place <= (sizes - np.ceil(threshold * sizes - 1e-9))[owner]
+                taken = by[taken & (often[by] > 1)]
+                rows = pa.array(owner[taken])
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(c).take(rows) for c in ("id", "own")), pa.array(sizes[owner[taken]], pa.int64()), pa.array(elements[taken].view(np.int64))],
+                    names=["id", "own", "n", "key"],
+                )
+
+    return docs.select("id", "own", "text").mapInArrow(run, "id long, own long, n long, key long")
+
+
+def common(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """The number of elements that each set of ``a`` has in common with each of ``b``: frequent elements by matrix products,
+    the others one by one."""
+    out = np.zeros((len(a), len(b)), dtype=np.float32)
+    every, sides = np.concatenate([*a, *b]), np.repeat(np.arange(len(a) + len(b)), [len(x) for x in (*a, *b)])
+    order = np.lexsort((sides, every))
+    every, sides = every[order], sides[order]
+    starts = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, np.int64)
+    ends = np.append(starts[1:], len(every))
+    mids = starts + np.add.reduceat(sides < len(a), starts) if len(starts) else starts
+    work = (mids - starts) * (ends - mids)
+    for s, m, e in zip(*(x[(work > 0) & (work <= 4096)].tolist() for x in (starts, mids, ends))):
+        out[sides[s:m, None], sides[None, m:e] - len(a)] += 1
+    frequent = np.flatnonzero(work > 4096)
+    for at in range(0, len(frequent), 1024):
+        chosen = frequent[at : at + 1024]
+        left, right = np.zeros((len(a), len(chosen)), np.float32), np.zeros((len(b), len(chosen)), np.float32)
+        for k, c in enumerate(chosen.tolist()):
+            left[sides[starts[c] : mids[c]], k] = 1
+            right[sides[mids[c] : ends[c]] - len(a), k] = 1
+        out += left @ right.T
+    return out
+
+
+def _joined(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links from the smallest id of each component of the links (a, b) to its other ids."""
+    ids, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    u, v = ends[: len(a)], ends[len(a) :]
+    least = np.arange(len(ids))
+    while True:
+        before = least.copy()
+        low = np.minimum(least[u], least[v])
+        np.minimum.at(least, u, low)
+        np.minimum.at(least, v, low)
+        least = least[least]
+        if (least == before).all():
+            return ids[least][least != np.arange(len(ids))], ids[least != np.arange(len(ids))]
+
+
+def _crowd_links(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between members (crowd, id, own, n) of one crowd and different ``own``, of all pairs in blocks.
+
+    Only neighbouring classes of size meet, and the blocks of a crowd's largest ``own`` do not meet each other.
+    """
+    largest = members.groupBy("crowd", "own").count().groupBy("crowd").agg(F.max_by("own", F.struct("count", "own")).alias("largest"))
+    rows = members.join(largest, "crowd").withColumn("side", (F.col("own") == F.col("largest")).cast("int")).withColumn("size", F.floor(F.log("n") / float(np.log(1 / threshold))))
+    total = F.sum("n")
+    blocks = F.greatest(F.ceil(total / BLOCK), F.least(F.lit(SPREAD), F.ceil(total / LEAST_BLOCK))).cast("int")
+    units = written(rows.groupBy("crowd", "size", "side").agg(blocks.alias("blocks")), "units")
+    rows = rows.join(units, ["crowd", "size", "side"])
+    own = F.struct("size", "side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"))
+    rows = rows.select("crowd", "id", "own", "side", own.alias("mine"), F.explode(F.array(*(F.col("size") + k for k in (-1, 0, 1)))).alias("size"))
+    others = units.select("crowd", "size", F.col("side").alias("other"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    met = rows.join(others, ["crowd", "size"]).where("side + other < 2")
+    met = met.withColumn("theirs", F.struct("size", F.col("other").alias("side"), "block"))
+    met = met.select("crowd", F.least("mine", "theirs").alias("x"), F.greatest("mine", "theirs").alias("y"), (F.col("mine") <= F.col("theirs")).alias("first"), "id", "own")
+    met = met.join(texts.select("id", "text"), "id")
+
+    def run(table: pa.Table) -> pa.Table:
+        sets, at = [], 0
+        for batch in table.select(["text"]).combine_chunks().to_batches():
+            for _, some in pieces_of(batch, "text", 2 << 20):
+                elements, _, sizes = shingle_sets(some)
+                sets += np.split(elements, np.cumsum(sizes)[:-1])
+        ids, own, first = (table[c].to_numpy() for c in ("id", "own", "first"))
+        left, right = np.flatnonzero(first), np.flatnonzero(~first)
+        if table["x"][0] == table["y"][0]:
+            right = left
+        found, n = [], np.array([len(s) for s in sets])
+        for at in range(0, len(left), 1024):
+            for to in range(0, len(right), 1024):
+                i, j = left[at : at + 1024], right[to : to + 1024]
+                both = common([sets[k] for k in i], [sets[k] for k in j])
+                alike = (both > 0) & (both >= threshold * (n[i][:, None] + n[j][None] - both)) & (own[i][:, None] != own[j][None])
+                p, q = np.nonzero(alike)
+                found.append(np.stack(_joined(ids[i[p]], ids[j[q]])))
+        a, b = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return met.groupBy("crowd", "x", "y").applyInArrow(run, "a long, b long")
+
+
+def _crowded_links(shared: DataFrame, sets: DataFrame, texts: DataFrame, parts: DataFrame, threshold: float) -> DataFrame:
+    """The links among the members of larger buckets that ``parts`` does not join."""
+    crowded = shared.where(F.col("members") > SMALL).select("key", "id").join(parts.select(F.col("node").alias("id"), F.col("component").alias("own")), "id", "left")
+    crowded = written(crowded.withColumn("own", F.coalesce("own", "id")), "crowded")
+    apart = crowded.groupBy("key").agg(F.min("own").alias("least"), F.max("own").alias("most")).where("least != most")
+    open_ = written(crowded.join(apart, "key").select("id", "own").distinct(), "open")
+    docs = written(texts.select("id", "text").dropDuplicates(["id", "text"]).join(open_, "id"), "texts")
+    rows = written(_prefixes(docs, threshold), "prefixes")
+    met = _shared(rows)
+    few = _within(met.where(F.col("members") <= SMALL), threshold)
+    banded = lambda side: sets.join(open_, "id").select(F.col("id").alias(side), F.col("keys").alias("keys_" + side))
+    few = few.join(banded("a"), "a").join(banded("b"), "b").where(F.arrays_overlap("keys_a", "keys_b")).select("a", "b").distinct()
+    many = written(met.where(F.col("members") > SMALL).select(F.col("head.id").alias("a"), F.col("id").alias("b"), "own", "n").distinct(), "crowds")
+    crowds = connected_components(many)
+    members = many.select(F.col("b").alias("id"), "own", "n").distinct().join(crowds.withColumnRenamed("node", "id"), "id", "left")
+    members = written(members.withColumn("crowd", F.coalesce("component", "id")).drop("component"), "members")
+    out = written(_links(few, docs, threshold).unionAll(_crowd_links(members, docs, threshold)), "links")
+    release(crowded, open_, docs, rows, met, many, members)
+    return out
+
+
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = SIMILARITY) -> DataFrame:
     """One row a document: doc_id, class_id (the smallest id of its class), n_shingles, kept (doc_id = class_id)."""
     nameless = F.lit(-(1 << 62)) - F.shiftrightunsigned(F.xxhash64(text), 2)  # below all ids in use
@@ -222,14 +373,12 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     texts = written(given.join(wanted, "id"), "texts")
     links = written(_links(_within(shared, threshold), texts, threshold), "links")
     parts = connected_components(links)
-    again = _signed(texts.where(F.col("members") > SMALL).select("id", "text"), LONG_ROWS, LONG_BANDS, 2)
-    again = again.join(parts, F.col("id") == F.col("node"), "left").select("id", "n", F.coalesce("component", "id").alias("own"), F.explode("keys").alias("key"))
-    crowded = _shared(again)
-    every = written(links.unionAll(_links(_within(crowded, threshold), texts, threshold)), "links")
+    more = _crowded_links(shared, sets, texts, parts, threshold)
+    every = links.unionAll(more)
     parts = connected_components(every)
     known = sets.select("h1", "h2", F.col("id").alias("node")).join(parts, "node", "left")
     known = written(known.select("h1", "h2", F.coalesce("component", "node").alias("class")), "classes")
-    release(shared, wanted, texts, links, crowded, every, sets)
+    release(shared, wanted, texts, links, more, sets)
     out = signed.select("id", "h1", "h2", "n").join(known, ["h1", "h2"], "left")
     class_, named = F.coalesce("class", "id"), lambda c: F.when(c > -(1 << 62), c)
     return out.select(named(F.col("id")).alias("doc_id"), named(class_).alias("class_id"), F.col("n").alias("n_shingles"), (F.col("id") == class_).alias("kept"))

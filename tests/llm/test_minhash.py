@@ -102,6 +102,45 @@ def test_against_brute_force(spark):
     assert M.classes(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_links_inside_a_crowd(spark):
+    """A large family, less than alike to each other, holds pairs that are alike."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    base = [word() for _ in range(400)]
+    rows = []
+
+    def changed(words, times):
+        copy = list(words)
+        for at in rng.sample(range(0, 400, 6), times):
+            copy[at] = word()
+        rows.append((len(rows), " ".join(copy), "x"))
+        return copy
+
+    for k in range(400):  # 0.73 to 0.80 to most others
+        one = changed(base, 6)
+        if k % 6 == 0:  # about 0.84 to one of them
+            changed(one, 7)
+    sets = [shingles(t) for _, t, _ in rows]
+    at = {x: k for k, x in enumerate(set().union(*sets))}
+    table = np.zeros((len(sets), len(at)), dtype=np.float32)
+    for k, s in enumerate(sets):
+        table[k, [at[x] for x in s]] = 1
+    both, sizes = table @ table.T, table.sum(axis=1)
+    alike, want = both >= 0.8 * (sizes[:, None] + sizes - both), np.arange(len(sets))
+    for _ in range(len(sets)):
+        want = np.where(alike, want, len(sets)).min(axis=1)
+    assert 60 <= (want != np.arange(len(sets))).sum() <= 300
+    got = {r["doc_id"]: r["class_id"] for r in M.classes(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [got[k] for k in range(len(sets))] == want.tolist()
+
+
+def test_common_elements():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(np.concatenate([rng.integers(0, 60, 40), rng.integers(0, 4000, 60)]).astype(np.uint64)) for _ in range(230)] + [np.zeros(0, np.uint64)]
+    a, b = sets[:120], sets[100:]
+    assert (M.common(a, b) == [[len(np.intersect1d(x, y)) for y in b] for x in a]).all()
+
+
 def test_whole_table(spark, sf_dir):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     got = {r["doc_id"]: r["class_id"] for r in op3_dart_minhash(spark, sf_dir).collect()}
