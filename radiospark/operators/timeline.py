@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+
 
 def antenna_numbers(df: DataFrame, names: DataFrame, prefix: int) -> DataFrame:
     """Add ``number``, the digits of the antenna's name after ``prefix`` characters, or else its own number."""
@@ -48,17 +50,27 @@ def not_done(wanted: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def nearest_in_time(pivots: DataFrame, times: DataFrame, bucket_hours: int = 24) -> DataFrame:
-    """For each pivot (pid, ts) the nearest of ``times`` (ts, value), the earlier on ties; null if none is in the
-    neighbouring buckets.
+    """For each pivot (pid, ts) the nearest of ``times`` (ts, value) at any distance, the earlier on ties; null if there
+    are no times.
 
-    Both sides meet by buckets of time and its neighbours, so that no pair further than two buckets apart is made.
+    Both sides meet by buckets of time and its neighbours. A gap of at most a bucket cannot be bettered from elsewhere; the
+    pivots without one meet again in buckets 16 times as wide, the last of which hold all times there are.
     """
-    bucket = lambda c: F.floor(F.unix_micros(F.col(c).cast("timestamp")) / F.lit(3.6e9 * bucket_hours)).cast("bigint")
-    left = pivots.withColumn("_b", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda k: bucket("ts") + k)))
-    right = times.select(F.col("ts").alias("near_ts"), "value", bucket("ts").alias("_b"))
-    gap = F.abs(F.unix_micros(F.col("near_ts").cast("timestamp")) - F.unix_micros(F.col("ts").cast("timestamp")))
-    best = left.join(right, "_b").groupBy("pid").agg(F.min(F.struct(gap.alias("gap"), "near_ts", "value")).alias("best"))
-    return pivots.join(best, "pid", "left").select("pid", "ts", F.col("best.near_ts").alias("near_ts"), F.col("best.value").alias("value"))
+    found, left = None, pivots.where("ts is not null")
+    while True:
+        width = 3.6e9 * bucket_hours
+        bucket = lambda c: F.floor(F.unix_micros(F.col(c).cast("timestamp")) / F.lit(width)).cast("bigint")  # noqa: B023, E731
+        near = left.withColumn("_b", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda k: bucket("ts") + k)))
+        right = times.select(F.col("ts").alias("near_ts"), "value", bucket("ts").alias("_b"))
+        gap = F.abs(F.unix_micros(F.col("near_ts").cast("timestamp")) - F.unix_micros(F.col("ts").cast("timestamp")))
+        best = near.join(right, "_b").groupBy("pid").agg(F.min(F.struct(gap.alias("gap"), "near_ts", "value")).alias("best"))
+        best = written(best.where(F.col("best.gap") <= width), "nearest")
+        found = best if found is None else found.unionAll(best)
+        left = left.join(best, "pid", "left_anti")
+        if width > 1e18 or left.isEmpty():  # 30,000 years
+            break
+        bucket_hours *= 16
+    return pivots.join(found, "pid", "left").select("pid", "ts", F.col("best.near_ts").alias("near_ts"), F.col("best.value").alias("value"))
 
 
 def bad_antennas_on(flags: DataFrame, date: str, sources: list[str], date_map: dict[str, str] | None = None) -> DataFrame:

@@ -183,3 +183,15 @@ def test_empty_tables(spark):
     vis = spark.createDataFrame([], VIS)
     for df in (calibrate.bin_channels(vis), calibrate.stokes(vis), flags.bad_baselines(vis), flags.template_scores(vis), flags.bad_channels(vis), flags.occupancy(vis)):
         assert df.count() == 0
+
+
+def test_nearest_time_at_any_distance(spark):
+    stamp = lambda df: df.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    pivots = [(1, "2024-05-10 23:59:00"), (2, "2024-08-01 00:00:00"), (3, "1950-01-01 00:00:00"), (4, "2024-05-10 00:30:00"), (5, None)]
+    times = [("2024-05-09 00:00:00", "a"), ("2024-05-12 00:01:00", "b"), ("2024-05-09 23:59:00", "c"), ("2024-05-10 01:01:00", "d")]
+    times += [("2024-06-01 00:00:00", "e")]
+    p, t = stamp(spark.createDataFrame(pivots, "pid int, ts string")), stamp(spark.createDataFrame(times, "ts string, value string"))
+    got = lambda t: {r["pid"]: r["value"] for r in timeline.nearest_in_time(p, t).collect()}
+    assert got(t.where("value in ('a', 'b')")) == {1: "b", 2: "b", 3: "a", 4: "a", 5: None}
+    assert got(t) == {1: "d", 2: "e", 3: "a", 4: "c", 5: None}
+    assert got(t.where("false")) == dict.fromkeys(range(1, 6))
