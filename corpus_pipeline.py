@@ -7,7 +7,7 @@ stage's ``docs``. All but the last return the columns of ``documents``.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from radiospark.llm import bpe, exact_dedup, minhash, mixing, quality
@@ -16,10 +16,14 @@ from radiospark.llm.common import table, written
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
-def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id ``kept`` holds; a null id is an id like any other."""
-    ids = kept.select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_kept"]), "left_semi")
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key of each row, ``_row``, written so that it stays the same; ids can be null or repeated."""
+    return written(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+
+
+def _place() -> Column:
+    """The order of rows that resemble each other: by id, null ids last, then by row."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,13 +33,18 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts keep the row with the smallest doc_id."""
-    return _only(docs, exact_dedup.exact_duplicates(docs).where("kept"))
+    """Of equal texts keep the row with the smallest doc_id, one row whatever their ids."""
+    rows = _keyed(docs)
+    kept = exact_dedup.exact_duplicates(rows.select(_place().alias("doc_id"), "text")).where("kept")
+    return rows.join(kept.select("doc_id._row"), "_row", "left_semi").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates keep the document with the smallest doc_id."""
-    return _only(docs, minhash.classes(docs).where("kept"))
+    """Of each class of near duplicates keep the row with the smallest doc_id, one row whatever their ids."""
+    rows = _keyed(docs)
+    found = minhash.classes(rows, "_row").select(F.col("doc_id").alias("_row"), "class_id")
+    kept = found.join(rows.select("_row", "doc_id"), "_row").groupBy("class_id").agg(F.min(_place()).alias("first"))
+    return rows.join(kept.select("first._row"), "_row", "left_semi").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

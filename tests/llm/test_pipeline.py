@@ -58,3 +58,17 @@ def test_null_ids_and_empty_tables(spark, sf_dir):
         for _, stage in P.STAGES:
             now = P.written(stage(spark, now, sf_dir), "t")
         assert now.count() <= 2 * given.count() and bool(now.count()) == bool(given.count())
+
+
+def test_one_row_is_kept_whatever_the_ids(spark):
+    """Repeated rows, null ids and ids with several texts: the rows decide."""
+    words = [" ".join(f"{c}{k}" for k in range(60)) for c in "abcd"]
+    near = words[0] + " more"
+    rows = [(1, words[0]), (1, words[0]), (3, words[0]), (3, words[1]), (None, words[1]), (None, words[2]), (None, words[2]), (None, words[0]), (4, near), (None, near + " yet"), (5, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    exact = P.written(P.exact_duplicates(spark, docs, ""), "t")
+    said = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+    want = [(1, words[0]), (3, words[1]), (None, words[2]), (5, None)]
+    assert exact.columns == docs.columns and said(exact) == sorted([*want, (4, near), (None, near + " yet")], key=str)
+    assert said(P.near_duplicates(spark, exact, "")) == sorted(want, key=str)
+    assert said(P.near_duplicates(spark, docs, "")) == sorted([*want, (None, "")], key=str)
