@@ -60,13 +60,47 @@ def test_nulls_small_sources_and_repeats(spark):
     assert mixing.mix_report(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
-def test_permutations_and_draws():
+def test_permutations():
     for n in (1, 2, 3, 7, 100, 1000):
         x = np.arange(n)
         assert sorted(mixing.permuted(x, np.full(n, n), np.full(n, 9, dtype=np.uint64)).tolist()) == x.tolist()
-    quota = np.array([40_000, 3, 0, 9_999])
-    counts = mixing.draws(quota)
-    assert counts.sum(axis=0).tolist() == quota.tolist() and (counts >= 0).all() and len(counts) == -(-quota.sum() // mixing.SHARD_BLOCKS)
+
+
+def test_draws_of_few_and_of_many_sources(spark):
+    few = spark.createDataFrame([(0, 30_000, 40_000), (1, 2, 3), (2, 5, 0), (3, 9_999, 9_999)], "s long, blocks long, quota long")
+    many = spark.range(10_000).selectExpr("id as s", "id % 7 + 1 as blocks", "id % 5 as quota")
+    for given, group in ((few, mixing.GROUP), (few, 2), (many, 512)):
+        got = mixing.draws(given, shard_blocks=512, group=group).collect()
+        quota = {r["s"]: r["quota"] for r in given.collect()}
+        total = dict.fromkeys(quota, 0)
+        for r in sorted(got, key=lambda r: (r["s"], r["shard"])):
+            assert r["n"] > 0 and r["first"] == total[r["s"]]
+            total[r["s"]] += r["n"]
+        assert total == quota
+        shards = {}
+        for r in got:
+            shards[r["shard"]] = shards.get(r["shard"], 0) + r["n"]
+        assert len(shards) == -(-sum(quota.values()) // 512) and max(shards.values()) < 1.5 * 512
+
+
+def test_the_mix_depends_on_data_and_seed_alone(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = docs.unionByName(docs.limit(5))  # repeated rows are interchangeable
+    found = []
+    for parts, cores in ((1, "8"), (3, "5"), (17, "3")):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", cores)
+        dealt = docs.repartition(parts, "n_chars").sortWithinPartitions("lang", "n_chars")
+        found.append(sorted(map(tuple, mixing.mix_report(dealt).collect())))
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] == found[2]
+    assert sorted(map(tuple, mixing.mix_report(docs, seed=18).collect())) != found[0]
+
+
+def test_a_very_long_text(spark):
+    rows = [(1, "a", "word " * 1_000_000, "x"), (2, "b", "some other words " * 50, "x")]
+    report = mixing.mix_report(spark.createDataFrame(rows, SCHEMA)).collect()
+    check(rows, [r.asDict() | {"source": "ab"[r["doc_id"] - 1]} for r in report], mixing.BLOCK_WORDS)
 
 
 def test_documents_as_taken(spark, sf_dir):
