@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import pieces_of, renamed
+from .common import lean, pieces_of, renamed
 
 NO_RANK = np.int32(2**31 - 1)
 #: Rows wider than this keep their pairs in a heap: the same merges, without moving the whole row each round.
@@ -247,6 +247,7 @@ def _mapped(
     shared = _Shared(df.sparkSession, load_ranks(ranks_path))
     schema = T.StructType([*source.schema.fields, *(T.StructField(name, kind) for name, kind, _ in columns)])
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(shared)
         encoder = Encoder(vocabulary, pattern)
@@ -271,6 +272,7 @@ def decode(df: DataFrame, ranks_path: str, ids: str = "ids", into: str = "decode
     shared = _Shared(df.sparkSession, load_ranks(ranks_path))
     schema = T.StructType([*source.schema.fields, T.StructField(into, T.BinaryType())])
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = _vocabulary(shared)
         for batch in batches:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +20,7 @@ __all__ = [
     "WHITE",
     "fold",
     "labelled_sample",
+    "lean",
     "mix64",
     "pieces_of",
     "release",
@@ -42,6 +45,28 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 
 
+def give_back() -> None:
+    """Return what this process has freed to the machine: Spark keeps Python workers for later stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library keeps its own house
+        pass
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task's function that gives its memory back when its task ends."""
+
+    @functools.wraps(run)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return task
+
+
 def fold(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id's decimal text, modulo ``modulus``; a null id counts as empty text (0)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
@@ -133,9 +158,10 @@ def renamed(df: DataFrame, taken: set[str], prefix: str = "in_") -> DataFrame:
     return df.withColumnsRenamed({c: prefix + c for c in df.columns if c in taken})
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, modulus: int = 3, held: int = 1) -> DataFrame:
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, modulus: int = 3, held: int = 1, parts: int = 24) -> DataFrame:
     """(doc_id, text, label): whole texts of at most ``per_class`` labelled rows of each class, chosen by a hash of the id,
-    from the rows outside the held-out fold alone. The bound makes it fit to be collected."""
+    from the rows outside the held-out fold alone. Of rows with one id the text of the smallest hash is taken, so the bound
+    holds for rows and makes them fit to be collected. They are dealt over ``parts`` tasks."""
     usable = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), modulus) != held))
     usable = usable.groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label"))
     order = F.xxhash64(F.lit("sample"), "doc_id")
@@ -143,7 +169,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     for value in (0, 1):
         part = usable.where(F.col("label") == value).orderBy(order, "doc_id").limit(per_class)
         chosen = part if chosen is None else chosen.unionAll(part)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # 2 * per_class rows at most
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # 2 * per_class rows at most
+    one = rows.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first"))
+    return one.select("doc_id", F.col("first.text").alias("text"), "label").repartition(parts, "doc_id")
 
 
 class Shared:

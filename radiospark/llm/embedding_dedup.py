@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, release, written
+from .common import Shared, lean, release, written
 from .graph import connected_components
 
 THRESHOLD = 0.95
@@ -69,6 +69,7 @@ def _tiles(nodes: DataFrame, basis: Shared, threshold: float, tile: int) -> Data
     """(tile, dim, n, nodes, many, rows): up to ``tile`` vectors each, near each other on the leading axes."""
     width = float(np.sqrt(2 - 2 * threshold)) or 1.0
 
+    @lean
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.column("v").to_pylist()
@@ -86,6 +87,7 @@ def _tiles(nodes: DataFrame, basis: Shared, threshold: float, tile: int) -> Data
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = placed.withColumn("dim", F.size("v")).repartitionByRange(parts, "dim", *keys, "node").sortWithinPartitions("dim", *keys, "node")
 
+    @lean
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, n = TaskContext.get().partitionId(), 0
         held: list[tuple[int, int, list[float]]] = []
@@ -161,6 +163,7 @@ def _compared(tiles: DataFrame, basis: Shared, buckets: int, threshold: float, l
     sent = own.withColumn("pair", F.explode(pair)).withColumn("side", (F.col("bucket") != F.col("pair.i")).cast("int"))
     sent = sent.withColumn("group", F.col("pair.i") * buckets + F.col("pair.j")).drop("pair", "bucket").repartition("group").sortWithinPartitions("group", "side", "tile")
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, left = None, []
         gathered: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []

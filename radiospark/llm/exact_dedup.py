@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import pieces_of, release, white_runs, written
+from .common import lean, pieces_of, release, white_runs, written
 
 BLOCK_BYTES = 4096
 
@@ -39,6 +39,7 @@ def cut(docs: DataFrame, block_bytes: int = BLOCK_BYTES, slice_bytes: int = 8 <<
          T.StructField("doc_id", kind), T.StructField("sha", T.BinaryType()), T.StructField("idxs", T.ArrayType(T.IntegerType()))]
     )
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, n = TaskContext.get().partitionId(), 0
         for batch in batches:

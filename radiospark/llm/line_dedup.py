@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WHITE, mix64, pieces_of, renamed, written
+from .common import WHITE, lean, mix64, pieces_of, renamed, written
 
 THRESHOLD = 10
 SHORTEST = 1
@@ -132,6 +132,7 @@ def with_keys(docs: DataFrame, text: str, shortest: int) -> DataFrame:
     longs = T.ArrayType(T.LongType())
     schema = T.StructType([*docs.schema.fields, T.StructField("_k1", longs), T.StructField("_k2", longs)])
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in pieces_of(batch, text):
@@ -219,6 +220,7 @@ def _hits(index: LineIndex, keys: DataFrame) -> DataFrame:
     filters = index.filters.select(F.explode(copies).alias("group"), F.lit(0).alias("kind"), none.alias("rid"), none.alias("k1"), none.alias("k2"), "filter")
     dealt = lines.unionAll(filters).repartition("group").sortWithinPartitions("group", "kind")
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, current = None, None
         for batch in batches:
@@ -252,6 +254,7 @@ def cleaned(docs: DataFrame, index: LineIndex | None = None, text: str = "text",
     drop = sure.groupBy("rid").agg(F.collect_list(F.struct("k1", "k2")).alias("_drop")).withColumnRenamed("rid", "_rid")
     schema = T.StructType([*source.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in pieces_of(batch, text):

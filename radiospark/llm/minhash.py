@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, mix64, pieces_of, release, token_hashes, written
+from .common import Shared, lean, mix64, pieces_of, release, token_hashes, written
 from .graph import connected_components
 
 WORDS = 5
@@ -145,6 +145,7 @@ def band_keys(matrix: np.ndarray, rows: int, bands: int, salt: int) -> np.ndarra
 def _signed(docs: DataFrame, rows: int, bands: int, salt: int) -> DataFrame:
     """(id, h1, h2, n, keys) for (id, text): digest and size of the shingle set, and its band keys (null without words)."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in pieces_of(batch, "text", 2 << 20):
@@ -174,6 +175,7 @@ def _links(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
     both = both.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, left in pieces_of(batch, "text_a", 2 << 20):
@@ -219,6 +221,7 @@ def _within(shared: DataFrame, threshold: float) -> DataFrame:
 def _order(docs: DataFrame) -> np.ndarray:
     """How often each slot's shingles occur in ``docs``: SLOTS numbers whatever the table."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SLOTS, dtype=np.int64)
         for batch in batches:
@@ -238,6 +241,7 @@ def _prefixes(docs: DataFrame, threshold: float) -> DataFrame:
     occur once."""
     order = Shared(docs.sparkSession, _order(docs))
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         times = order.value
         for batch in batches:

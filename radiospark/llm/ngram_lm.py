@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, mix64, pieces_of, token_hashes, written
+from .common import fold, lean, mix64, pieces_of, token_hashes, written
 
 SMOOTH = 0.1
 MU = 8.0
@@ -158,6 +158,7 @@ def train(docs: DataFrame, text_bytes: int) -> Model:
     segments = max(LEAST_PARTS, text_bytes // SEGMENT_BYTES)
     kinds = {"segment": pa.int64(), "words": pa.binary(), "word_counts": pa.binary(), "pairs": pa.binary(), "pair_counts": pa.binary()}
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Shared, fold, labelled_sample, mix64, pieces_of, release, renamed, token_hashes, written
+from .common import Shared, fold, labelled_sample, lean, mix64, pieces_of, release, renamed, token_hashes, written
 
 
 @dataclass(frozen=True)
@@ -135,6 +135,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", settings: Se
     sample = labelled_sample(docs, labels, label, settings.train_docs)
     schema = "doc_id long, label int, at binary, times binary"
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in pieces_of(batch, "text"):
@@ -158,6 +159,7 @@ def scored(docs: DataFrame, table: np.ndarray, threshold: float = 0.5, settings:
     shared = Shared(docs.sparkSession, np.asarray(table, dtype=np.float32))
     schema = T.StructType([*source.schema.fields, T.StructField("score", T.DoubleType())])
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in pieces_of(batch, "text", 2 << 20):

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Shared, fold, labelled_sample, pieces_of, renamed, token_hashes
+from .common import Shared, fold, labelled_sample, lean, pieces_of, renamed, token_hashes
 
 THRESHOLD = 0.7
 TRAIN_DOCS = 2500  # of each class at most
@@ -183,6 +183,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", train_docs: in
     """Train on a bounded sample of the labelled rows outside the held-out fold."""
     sample = labelled_sample(docs, labels, label, train_docs)
 
+    @lean
     def beginnings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in pieces_of(batch, "text"):
@@ -198,6 +199,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", train_docs: in
     fine = counted.where((F.col("with") >= LEAST_ROWS) & (F.col("with") >= LEAST_SHARE * (F.col("with") + F.col("without"))))
     stems = [r["stem"] for r in fine.orderBy(F.desc("with"), "stem").limit(CANDIDATES).collect()]
 
+    @lean
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = {s: k for k, s in enumerate(stems)}
         for batch in batches:
@@ -230,6 +232,7 @@ def scored(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataF
     shared = Shared(docs.sparkSession, (model.stems, model.weights))
     schema = T.StructType([*source.schema.fields, T.StructField("score", T.DoubleType())])
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stems, weights = shared.value
         numbers = {s: k for k, s in enumerate(stems)}

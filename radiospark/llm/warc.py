@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import release, scratch_path, written
+from .common import lean, release, scratch_path, written
 
 LEAST_BYTES = 100
 SEGMENT_BYTES = 8192
@@ -117,6 +117,7 @@ def write_archive(
     body = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
     chosen = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), body.alias("payload"))
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out, size = [], 0
@@ -140,6 +141,7 @@ def write_archive(
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
     """The records as they stand in the archives, one row each."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["origin", "number", "total", "type", "refers", "digest", "block"]
         kinds = [pa.string(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary()]
@@ -193,6 +195,7 @@ def reassembled(segments: DataFrame) -> DataFrame:
         F.max(F.when(F.col("number") <= 1, F.col("type"))).alias("type"), F.max("refers").alias("refers"), F.max("digest").alias("digest"),
     )
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
