@@ -5,9 +5,11 @@ are sorted and numbered, so that equal blocks and only equal blocks share an int
 paired and the distinct pairs sorted and numbered again, until every document has one name. (rounds, name) is its
 identity: two documents share it if and only if their texts are equal, with no hash to collide.
 
-At scale: each task sends a distinct block once, whatever the number of copies it saw; names come from sorting within
-hash buckets (name = rank * buckets + bucket), so no task sees more than its buckets; the rounds move integers only, for
-the documents longer than a block. A group of copies is only ever counted and given its smallest id by an aggregation
+At scale: blocks are made distinct by an aggregation with partial sums before they are sorted, so a block in very many
+documents is one row a task; names come from sorting each hash partition (partition and rank in it), so no task sees more
+than its partition, and go back to their places by a 128-bit digest of the block. Digests only address: where two
+different blocks share one, which is looked for every time, the blocks themselves are joined. The rounds move integers
+only, for the documents longer than a block. A group of copies is only ever counted and given its smallest id by an aggregation
 with partial sums, and joined back as a skewed join that Spark can split.
 
 Defined cases: null text counts as empty, and all empty texts are equal; a null id sorts after all others; of equal rows
@@ -21,7 +23,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,11 +33,11 @@ BLOCK_BYTES = 4096
 
 
 def cut(docs: DataFrame, block_bytes: int = BLOCK_BYTES, slice_bytes: int = 8 << 20) -> DataFrame:
-    """Rows of two kinds, for (doc_id, text): a slice's distinct blocks (slice, idx, block), and its documents
+    """Rows of two kinds, for (doc_id, text): a slice's distinct blocks (slice, idx, digest, block), and its documents
     (slice, row, doc_id, sha, idxs), whose blocks are named by position in the slice."""
     kind = docs.schema["doc_id"].dataType
     schema = T.StructType(
-        [T.StructField("slice", T.LongType()), T.StructField("idx", T.IntegerType()), T.StructField("block", T.BinaryType()), T.StructField("row", T.IntegerType()),
+        [T.StructField("slice", T.LongType()), T.StructField("idx", T.IntegerType()), T.StructField("digest", T.BinaryType()), T.StructField("block", T.BinaryType()), T.StructField("row", T.IntegerType()),
          T.StructField("doc_id", kind), T.StructField("sha", T.BinaryType()), T.StructField("idxs", T.ArrayType(T.IntegerType()))]
     )
 
@@ -54,26 +56,36 @@ def cut(docs: DataFrame, block_bytes: int = BLOCK_BYTES, slice_bytes: int = 8 <<
                 n += 1
                 nothing = pa.nulls
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([at] * b, pa.int64()), pa.array(range(b), pa.int32()), pa.array(list(numbers), pa.binary()), nothing(b, pa.int32()), nothing(b, rows.column("doc_id").type), nothing(b, pa.binary()), nothing(b, pa.list_(pa.int32()))],
+                    [pa.array([at] * b, pa.int64()), pa.array(range(b), pa.int32()), pa.array([hashlib.blake2b(x, digest_size=16).digest() for x in numbers], pa.binary()), pa.array(list(numbers), pa.binary()), nothing(b, pa.int32()), nothing(b, rows.column("doc_id").type), nothing(b, pa.binary()), nothing(b, pa.list_(pa.int32()))],
                     names=schema.fieldNames(),
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([at] * d, pa.int64()), nothing(d, pa.int32()), nothing(d, pa.binary()), pa.array(range(d), pa.int32()), rows.column("doc_id"), pa.array(shas, pa.binary()), pa.array(idxs, pa.list_(pa.int32()))],
+                    [pa.array([at] * d, pa.int64()), nothing(d, pa.int32()), nothing(d, pa.binary()), nothing(d, pa.binary()), pa.array(range(d), pa.int32()), rows.column("doc_id"), pa.array(shas, pa.binary()), pa.array(idxs, pa.list_(pa.int32()))],
                     names=schema.fieldNames(),
                 )
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def named(rows: DataFrame, *content: str) -> DataFrame:
-    """Add ``name``: equal for rows of equal ``content``, different for others."""
-    buckets = 16 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by = Window.partitionBy("bucket").orderBy(*content)
-    return (
-        rows.withColumn("bucket", F.pmod(F.xxhash64(*content), F.lit(buckets)))
-        .withColumn("name", F.dense_rank().over(by).cast("bigint") * buckets + F.col("bucket"))
-        .drop("bucket")
-    )
+def named(distinct: DataFrame, *content: str) -> DataFrame:
+    """The distinct rows ``distinct`` with ``name``, an integer of their own: the place among the sorted rows of a partition.
+
+    The number holds the partition and the rank, so it has to be written before anything is made of it.
+    """
+    return distinct.sortWithinPartitions(*content).withColumn("name", F.monotonically_increasing_id())
+
+
+def _block_names(parts: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """(slice, idx, name) of the blocks in ``parts``; the written tables behind it."""
+    blocks = parts.where(F.col("block").isNotNull())
+    numbers = named(blocks.select("digest", "block").distinct(), "block")
+    by = ["digest"]
+    names = written(numbers.select("digest", "name"), "sorted")
+    if not names.groupBy("digest").count().where("count > 1").isEmpty():
+        by = ["digest", "block"]
+        release(names)
+        names = written(numbers, "sorted")
+    return blocks.select("slice", "idx", *by).join(names, by).select("slice", "idx", "name"), [names]
 
 
 def _names(rows: DataFrame) -> DataFrame:
@@ -90,10 +102,10 @@ def _pair(i: Column) -> Column:
 def identities(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row a document: slice and row (its place), doc_id, sha, rounds and name (its identity)."""
     parts = written(cut(docs, block_bytes), "blocks")
-    names = named(parts.where(F.col("block").isNotNull()).select("slice", "idx", "block"), "block").select("slice", "idx", "name")
+    names, behind = _block_names(parts)
     own = parts.where(F.col("row").isNotNull()).select("slice", "row", "doc_id", "sha", F.posexplode("idxs").alias("pos", "idx"))
     state = written(_names(own.join(names, ["slice", "idx"])), "names")
-    release(parts)
+    release(parts, *behind)
     done, rounds, states = [], 0, [state]
     longest = state.agg(F.max(F.size("names"))).first()[0] or 0
     while True:
@@ -103,7 +115,9 @@ def identities(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         halves = F.transform(F.expr("sequence(0, (size(names) - 1) div 2)"), lambda i: _pair(i.cast("int")))
         pairs = state.where(F.size("names") > 1).select("slice", "row", "doc_id", "sha", F.posexplode(halves).alias("pos", "pair"))
         pairs = pairs.select("slice", "row", "doc_id", "sha", "pos", "pair.a", "pair.b")
-        state = written(_names(pairs.join(named(pairs.select("a", "b").distinct(), "a", "b"), ["a", "b"])), "names")
+        numbers = written(named(pairs.select("a", "b").distinct(), "a", "b"), "sorted")
+        state = written(_names(pairs.join(numbers, ["a", "b"])), "names")
+        release(numbers)
         states.append(state)
         rounds, longest = rounds + 1, (longest + 1) // 2
     out = done[0]

@@ -3,8 +3,10 @@ import random
 import re
 
 import duckdb
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from radiospark.llm import exact_dedup
 from radiospark.llm.exact_dedup import exact_duplicates
 from radiospark.llm.queries import OP4_SQL, op4_block_naming
 
@@ -33,6 +35,22 @@ def test_against_brute_force(spark):
     assert sorted([tuple(r) for r in got.collect()], key=str) == brute(rows)
 
 
+def test_different_blocks_of_one_digest(spark, monkeypatch):
+    """With digests of one value the blocks themselves are compared."""
+    rows = [(i, t, "x") for i, t in enumerate(["a" * 40, "b" * 40, "a" * 40, "c", "", None])]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    cut = exact_dedup.cut
+    monkeypatch.setattr(exact_dedup, "cut", lambda *args: cut(*args).withColumn("digest", F.when(F.col("block").isNotNull(), F.lit(b"same"))))
+    assert sorted([tuple(r) for r in exact_duplicates(frame, block_bytes=16).collect()], key=str) == brute(rows)
+
+
+def test_a_block_in_all_documents_and_a_very_long_text(spark):
+    long = "head " * 400_000
+    rows = [(i, "x" * 64 + str(i % 50), "x") for i in range(2000)] + [(9000, long, "x"), (9001, long + "z", "x"), (9002, long, "x")]
+    got = exact_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(16), block_bytes=64)
+    assert sorted([tuple(r) for r in got.collect()], key=str) == brute(rows)
+
+
 def test_empty_table(spark):
     assert exact_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
