@@ -13,7 +13,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import lean, pieces_of, renamed
+from .common import Shared, lean, pieces_of, renamed
 
 NO_RANK = np.int32(2**31 - 1)
 #: Rows wider than this keep their pairs in a heap: the same merges, without moving the whole row each round.
@@ -227,24 +226,12 @@ def _vocabulary(shared) -> Vocabulary:
     return _READY[shared.id]
 
 
-class _Shared:
-    """A broadcast with its number."""
-
-    def __init__(self, spark, value):
-        self.cast = spark.sparkContext.broadcast(value)
-        self.id = uuid.uuid4().hex
-
-    @property
-    def value(self):
-        return self.cast.value
-
-
 def _mapped(
     df: DataFrame, text: str, ranks_path: str, pattern: str, columns: list[tuple[str, T.DataType, pa.DataType]],
     make: Callable[[Vocabulary, np.ndarray], tuple], slice_bytes: int,
 ) -> DataFrame:
     source = renamed(df, {name for name, _, _ in columns} - {text})
-    shared = _Shared(df.sparkSession, load_ranks(ranks_path))
+    shared = Shared(df.sparkSession, load_ranks(ranks_path))
     schema = T.StructType([*source.schema.fields, *(T.StructField(name, kind) for name, kind, _ in columns)])
 
     @lean
@@ -269,7 +256,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", int
 def decode(df: DataFrame, ranks_path: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """Add the bytes that ``ids`` stand for as ``into`` binary; a null array gives null."""
     source = renamed(df, {into})
-    shared = _Shared(df.sparkSession, load_ranks(ranks_path))
+    shared = Shared(df.sparkSession, load_ranks(ranks_path))
     schema = T.StructType([*source.schema.fields, T.StructField(into, T.BinaryType())])
 
     @lean

@@ -89,7 +89,7 @@ def sparse(text: bytes, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
     every = np.concatenate([words, grams, pairs, [_end_bucket(settings)]])
     weight = np.concatenate([times, times[owners], np.ones(len(pairs) + 1)])
     at, number = np.unique(every, return_inverse=True)
-    return at.astype(np.int32), np.bincount(number, weights=weight).astype(np.float32)
+    return at.astype(np.int32), np.bincount(number, weights=weight)
 
 
 def train(rows: list[tuple[int, np.ndarray, np.ndarray]], settings: Settings) -> np.ndarray:
@@ -133,7 +133,7 @@ def score(texts: list[bytes], table: np.ndarray, settings: Settings) -> np.ndarr
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", settings: Settings = Settings()) -> np.ndarray:
     """Train on a bounded sample of the labelled rows outside the held-out fold."""
     sample = labelled_sample(docs, labels, label, settings.train_docs)
-    schema = "doc_id long, label int, at binary, times binary"
+    schema = "doc_id string, label int, at binary, times binary"
 
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,13 +141,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", settings: Se
             for part, texts in pieces_of(batch, "text"):
                 made = [sparse(t, settings) for t in texts]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").cast(pa.int64()), part.column("label"), pa.array([a.tobytes() for a, _ in made], pa.binary()), pa.array([np.minimum(t, 65535).astype(np.uint16).tobytes() for _, t in made], pa.binary())],
+                    [part.column("doc_id"), part.column("label"), pa.array([a.tobytes() for a, _ in made], pa.binary()), pa.array([t.astype(np.uint32).tobytes() for _, t in made], pa.binary())],
                     names=["doc_id", "label", "at", "times"],
                 )
 
     # Written by all tasks at once; then read in part after part, so that the driver never holds two copies.
-    found = written(sample.select(F.col("doc_id").cast("long"), "label", "text").mapInArrow(run, schema), "sample")
-    rows = [(r["doc_id"], r["label"], np.frombuffer(r["at"], np.int32), np.frombuffer(r["times"], np.uint16).astype(np.float32)) for r in found.toLocalIterator()]
+    found = written(sample.select(F.col("doc_id").cast("string"), "label", "text").mapInArrow(run, schema), "sample")
+    rows = [(r["doc_id"], r["label"], np.frombuffer(r["at"], np.int32), np.frombuffer(r["times"], np.uint32).astype(np.float32)) for r in found.toLocalIterator()]
     release(found)
     rows.sort(key=lambda r: (r[0], r[2].tobytes()))
     return train([r[1:] for r in rows], settings)
