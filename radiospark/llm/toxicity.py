@@ -4,11 +4,12 @@ Voters look at whole texts: each lexicon voter looks for words that begin with o
 masked words, exclamation and texts without any stem. The stems are found in the bounded sample of labelled rows: word
 beginnings that toxic rows have and others do not, chosen until each toxic row is covered a few times.
 
-A generative label model explains the votes (toxic, clean, abstain) of the sample by a hidden class: every voter, the
-label itself among them, has a table of vote probabilities for each class; voters that stay correlated within a class are
-put together in blocks with a joint table. Expectation-maximisation estimates all tables and the class balance, and
-gives each row a posterior. A logistic regression on the votes and on how often and how densely stems occur is trained on
-the posteriors; it scores all whole texts. Only stems and weights (a few kB) are broadcast.
+A generative label model explains the votes (toxic, clean, abstain) of the sample by a hidden class. It never sees a
+label: it starts from the balance of votes, and labels serve to choose the stems and, in the end, to say which of the two
+classes is the toxic one. Every voter has a table of vote probabilities for each class; voters that stay correlated within
+a class are put together in blocks with a joint table. Expectation-maximisation estimates all tables and the class balance,
+and gives each row a posterior. A logistic regression on the votes and on how often and how densely stems occur is trained
+on the posteriors; it scores all whole texts. Only stems and weights (a few kB) are broadcast.
 
 Defined cases: null and empty texts get the score of a text without votes; without labelled rows of both classes every
 score is 0.5; repeated rows are scored each; a null id counts as the fold of the empty text (0: not held out); an empty
@@ -104,10 +105,11 @@ def features_of(hits: np.ndarray, totals: np.ndarray) -> np.ndarray:
 
 
 def label_model(votes: np.ndarray, rounds: int = 40) -> tuple[np.ndarray, list[list[int]], np.ndarray]:
-    """(posterior of class 1 of each row, blocks of voters, P(right | votes) of each voter); the last voter is the label,
-    from which the first estimate starts."""
+    """(posterior of class 1 of each row, blocks of voters, P(right | votes) of each voter), from votes alone; the first
+    estimate is the balance of a row's votes."""
     rows, voters = votes.shape
-    p = np.clip((votes[:, -1] == TOXIC).astype(float), 0.02, 0.98)
+    balance = (votes == TOXIC).sum(axis=1) - (votes == CLEAN).sum(axis=1)
+    p = 1 / (1 + np.exp(0.5 - np.clip(balance, -30.0, 30.0)))
     blocks: list[list[int]] = [[v] for v in range(voters)]
 
     def fitted(blocks: list[list[int]], p: np.ndarray) -> np.ndarray:
@@ -137,7 +139,7 @@ def label_model(votes: np.ndarray, rounds: int = 40) -> tuple[np.ndarray, list[l
             strength = np.maximum(strength, np.abs(cov) / np.maximum(np.outer(scale, scale), 1e-6) * (np.outer(scale, scale) > 1e-4))
     np.fill_diagonal(strength, 0)
     block_of = list(range(voters))
-    for a, b in sorted(zip(*np.nonzero(np.triu(strength[:-1, :-1] >= CORRELATED))), key=lambda ab: -strength[ab]):
+    for a, b in sorted(zip(*np.nonzero(np.triu(strength >= CORRELATED))), key=lambda ab: -strength[ab]):
         joined = [v for v in range(voters) if block_of[v] in (block_of[a], block_of[b])]
         if block_of[a] != block_of[b] and len(joined) <= BLOCK:
             for v in joined:
@@ -148,6 +150,11 @@ def label_model(votes: np.ndarray, rounds: int = 40) -> tuple[np.ndarray, list[l
     return p, blocks, right
 
 
+def oriented(posterior: np.ndarray, truth: np.ndarray) -> bool:
+    """Whether the classes have to change places: class 1 is likelier for rows of label 0."""
+    return posterior[truth == 1].mean() < posterior[truth == 0].mean()
+
+
 def logistic(x: np.ndarray, target: np.ndarray, ridge: float = 0.3, rounds: int = 30) -> np.ndarray:
     """Ridge logistic regression on soft targets, by Newton steps."""
     w = np.zeros(x.shape[1])
@@ -206,11 +213,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", train_docs: in
             for part, texts in pieces_of(batch, "text"):
                 hits, totals = stem_counts(texts, numbers)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").cast(pa.int64()), part.column("label"), pa.array([h.astype(np.float32).tobytes() for h in hits], pa.binary()), pa.array([t.tobytes() for t in totals], pa.binary())],
+                    [part.column("doc_id"), part.column("label"), pa.array([h.astype(np.float32).tobytes() for h in hits], pa.binary()), pa.array([t.tobytes() for t in totals], pa.binary())],
                     names=["doc_id", "label", "hits", "totals"],
                 )
 
-    rows = sample.mapInArrow(counts, "doc_id long, label int, hits binary, totals binary").collect()  # 2 * train_docs at most
+    named = sample.select(F.col("doc_id").cast("string"), "label", "text")
+    rows = named.mapInArrow(counts, "doc_id string, label int, hits binary, totals binary").collect()  # 2 * train_docs at most
     rows.sort(key=lambda r: (r["doc_id"], bytes(r["totals"]), bytes(r["hits"])))
     truth = np.array([r["label"] for r in rows])
     if len(set(truth.tolist())) < 2:
@@ -219,9 +227,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", train_docs: in
     totals = np.stack([np.frombuffer(r["totals"], np.float64) for r in rows])
     chosen = _chosen_stems(hits, truth, stems)
     hits = hits[:, [stems.index(s) for s in chosen]]
-    votes = np.concatenate([votes_of(hits, totals), np.where(truth == 1, TOXIC, CLEAN)[:, None].astype(np.int8)], axis=1)
+    votes = votes_of(hits, totals)
     posterior, blocks, right = label_model(votes)
-    names = [*chosen, *PATTERNS, "label"]
+    if oriented(posterior, truth):
+        posterior, right = 1 - posterior, 1 - right
+    names = [*chosen, *PATTERNS]
     weights = logistic(features_of(hits, totals), posterior)
     return Model(chosen, weights, dict(zip(names, right.tolist())), [[names[v] for v in b] for b in blocks if len(b) > 1])
 

@@ -2,6 +2,7 @@ import numpy as np
 from pyspark.sql import types as T
 
 from radiospark.llm import toxicity as X
+from radiospark.llm.common import labelled_sample
 from radiospark.llm.queries import op6_toxicity
 
 DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("score", T.StringType())])
@@ -28,6 +29,47 @@ def test_label_model_recovers_accuracies():
     assert [0, 1] in blocks and ((posterior > 0.5) == y).mean() > 0.93
 
 
+def test_posteriors_beat_voters_and_their_majority():
+    rng = np.random.default_rng(5)
+    y = rng.random(8000) < 0.4
+    rights = [0.9, 0.88, 0.62, 0.6, 0.58, 0.55]
+    votes = np.stack([np.where(rng.random(8000) < 0.8, np.where((rng.random(8000) < r) == y, X.TOXIC, X.CLEAN), X.ABSTAIN) for r in rights], axis=1)
+    posterior, _, _ = X.label_model(votes)
+    hit = lambda guess: (guess == y).mean()
+    majority = (votes == X.TOXIC).sum(axis=1) > (votes == X.CLEAN).sum(axis=1)
+    single = max(hit(votes[:, v] == X.TOXIC) for v in range(len(rights)))
+    assert hit(posterior > 0.5) > hit(majority) + 0.03 and hit(posterior > 0.5) > single + 0.03
+    assert ((posterior > 0.05) & (posterior < 0.95)).mean() > 0.2  # unsure where votes differ
+
+
+def test_wrong_labels_do_not_pass_through(spark):
+    """Toxic rows that are labelled clean get the class that their votes say."""
+    rows = [(k, ("horrid vile nasty " if k % 3 == 0 else "kind mild quiet ") + f"text {k % 17}", "x") for k in range(900)]
+    labels = [(k, int(k % 3 == 0 and k % 90 != 0)) for k in range(900)]
+    model = X.fit(spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, LABELS))
+    got = X.scored(spark.createDataFrame(rows, DOCS), model).collect()
+    assert all(r["predicted"] == int(r["doc_id"] % 3 == 0) for r in got)
+    assert "label" not in model.accuracies
+
+
+def test_logistic_is_at_its_minimum():
+    rng = np.random.default_rng(2)
+    x, target = rng.normal(size=(300, 4)), rng.random(300)
+    w = X.logistic(x, target)
+    loss = lambda v: (np.log1p(np.exp(x @ v)) - target * (x @ v)).sum() + 0.15 * (v @ v)
+    assert all(loss(w) < loss(w + d) for d in 0.01 * np.concatenate([np.eye(4), -np.eye(4)]))
+
+
+def test_a_very_long_text_and_repeated_rows_in_the_sample(spark):
+    docs = [(k, "badword and more" if k % 2 else "and more good words", "x") for k in range(60)] * 20
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], LABELS)
+    assert labelled_sample(spark.createDataFrame(docs, DOCS), labels, "toxic", 10).count() == 20
+    model = X.fit(spark.createDataFrame(docs, DOCS), labels)
+    long = spark.createDataFrame([(1, "calm words " * 300_000 + "badword", "x"), (2, "calm words " * 300_000, "x")], DOCS)
+    scores = {r["doc_id"]: r["score"] for r in X.scored(long, model).select("doc_id", "score").collect()}
+    assert scores[1] > scores[2]
+
+
 def test_held_out_accuracy(spark):
     data = "/root/testdata/sf0.1"
     labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{data}/labels.parquet").collect()}
