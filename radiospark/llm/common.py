@@ -140,14 +140,15 @@ def token_hashes(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np
     return mix64(hashes), counts, data, starts, ends
 
 
-def pieces_of(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Slices of an Arrow batch of about ``limit`` bytes of text (one row at least), with the texts as UTF-8 bytes.
+def pieces_of(batch: pa.RecordBatch, column: str, limit: int = 4 << 20, beside: str | None = None) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Slices of an Arrow batch of about ``limit`` bytes of text (one row at least), with the texts as UTF-8 bytes; the texts
+    of the column ``beside`` count for the limit too.
 
     Null texts come as empty ones. A text is never cut.
     """
     texts = batch.column(column).cast(pa.large_binary())
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
-    part = np.cumsum(sizes) // limit
+    length = lambda c: np.asarray(pa.compute.fill_null(pa.compute.binary_length(c), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    part = np.cumsum(length(texts) + (length(batch.column(beside)) if beside else 0)) // limit
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows] if batch.num_rows else [0]
     for a, b in zip(cuts, cuts[1:]):
         yield batch.slice(a, b - a), [t or b"" for t in texts.slice(a, b - a).to_pylist()]

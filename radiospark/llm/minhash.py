@@ -178,7 +178,7 @@ def _links(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, left in pieces_of(batch, "text_a", 2 << 20):
+            for part, left in pieces_of(batch, "text_a", 2 << 20, "text_b"):
                 right = [t or b"" for t in part.column("text_b").cast(pa.binary()).to_pylist()]
                 ends, elements = 0, []
                 every, _, sizes = shingle_sets([*left, *right])
