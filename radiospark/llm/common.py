@@ -36,6 +36,8 @@ __all__ = [
 WHITE = b" \t\n\x0b\x0c\r"
 _IS_WHITE = np.zeros(256, dtype=bool)
 _IS_WHITE[list(WHITE)] = True
+#: Bytes of text hashed at once.
+WINDOW = 1 << 17
 #: A-Z to a-z, other bytes as they are.
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -128,8 +130,8 @@ def token_hashes(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np
     counts = np.diff(np.searchsorted(starts, bounds), prepend=0)
     hashes = np.zeros(len(starts), dtype=np.uint64)
     with np.errstate(over="ignore"):
-        for at in range(0, len(data), 1 << 20):  # windows bound the 8-byte temporaries
-            lo, hi = np.searchsorted(starts, [at, at + (1 << 20)])
+        for at in range(0, len(data), WINDOW):  # windows bound the 8-byte temporaries and the tables of powers
+            lo, hi = np.searchsorted(starts, [at, at + WINDOW])
             if lo == hi:
                 continue
             a, b = int(starts[lo]), int(ends[hi - 1])
