@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN_DIRS: dict[str, str] = {}
+_TRACKS: list[list[DataFrame]] = []
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -31,11 +34,13 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where the setting is absent (tests on one machine) a temporary folder is made and set.
+    Only where the setting is absent and the session runs in one process (tests) a temporary folder is made and set.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if path:
         return path.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN_DIRS:
         _OWN_DIRS[app] = tempfile.mkdtemp(prefix="radiospark-")
@@ -68,9 +73,22 @@ def written(df: DataFrame, label: str) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
+    for track in _TRACKS:
+        track.append(out)
     return out
 
 
+@contextlib.contextmanager
+def tracked() -> Iterator[list[DataFrame]]:
+    """The list of all tables that ``written`` makes inside the block, for ``release`` once nothing reads them any more."""
+    frames: list[DataFrame] = []
+    _TRACKS.append(frames)
+    try:
+        yield frames
+    finally:
+        _TRACKS[:] = [t for t in _TRACKS if t is not frames]
+
+
 def release(*frames: DataFrame) -> None:
     """Delete the files of tables from ``written`` that nothing will read any more."""
     for df in frames:
