@@ -26,12 +26,12 @@ def inverse_delays(delays: DataFrame) -> DataFrame:
     return delays.withColumn("delay_ns", -F.col("delay_ns"))
 
 
-def with_gains(vis: DataFrame, gains: DataFrame, columns: tuple[str, ...] = ("gr", "gi", "flag")) -> DataFrame:
-    """``vis`` with the gains of both antennas as g1_* and g2_*; null where there is none."""
+def with_gains(vis: DataFrame, gains: DataFrame, columns: tuple[str, ...] = ("gr", "gi", "flag"), by: tuple[str, ...] = ()) -> DataFrame:
+    """``vis`` with the gains of both antennas (of equal ``by``) as g1_* and g2_*; null where there is none."""
     out = vis.withColumn("_p", F.expr("cast(corr as int) div 2")).withColumn("_q", F.expr("cast(corr as int) % 2"))
     for k, ant, pol in ((1, "ant1", "_p"), (2, "ant2", "_q")):
-        side = gains.select(F.col("ant").alias(ant), "chan", F.col("pol").alias(pol), *(F.col(c).alias(f"g{k}_{c}") for c in columns))
-        out = out.join(side, [ant, "chan", pol], "left")
+        side = gains.select(*by, F.col("ant").alias(ant), "chan", F.col("pol").alias(pol), *(F.col(c).alias(f"g{k}_{c}") for c in columns))
+        out = out.join(side, [*by, ant, "chan", pol], "left")
     return out.drop("_p", "_q")
 
 
@@ -63,18 +63,18 @@ def apply_bandpass_flagged(vis: DataFrame, gains: DataFrame | None = None, use_f
     return apply_bandpass(out, usable)
 
 
-def solve_gain_scale(target: DataFrame, to_scale: DataFrame) -> DataFrame:
-    """(ant, chan, pol, scale): sqrt(target / to_scale) of the autocorrelations XX and YY; 1 where either is flagged."""
-    side = lambda df, name: df.where("ant1 = ant2 and corr in (0, 3)").select(F.col("ant1").alias("ant"), "chan", F.expr("cast(corr as int) div 2").cast("int").alias("pol"), F.col("re").alias(name), F.col("flag").alias(f"{name}_flag"))
-    both = side(target, "t").join(side(to_scale, "s"), ["ant", "chan", "pol"])
-    return both.select("ant", "chan", "pol", F.when(F.col("t_flag") | F.col("s_flag"), 1.0).otherwise(F.sqrt(F.abs(F.try_divide("t", "s")))).alias("scale"))
+def solve_gain_scale(target: DataFrame, to_scale: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """(*by, ant, chan, pol, scale): sqrt(target / to_scale) of the autocorrelations XX and YY; 1 where either is flagged."""
+    side = lambda df, name: df.where("ant1 = ant2 and corr in (0, 3)").select(*by, F.col("ant1").alias("ant"), "chan", F.expr("cast(corr as int) div 2").cast("int").alias("pol"), F.col("re").alias(name), F.col("flag").alias(f"{name}_flag"))
+    both = side(target, "t").join(side(to_scale, "s"), [*by, "ant", "chan", "pol"])
+    return both.select(*by, "ant", "chan", "pol", F.when(F.col("t_flag") | F.col("s_flag"), 1.0).otherwise(F.sqrt(F.abs(F.try_divide("t", "s")))).alias("scale"))
 
 
-def apply_gain_scale(vis: DataFrame, scale: DataFrame) -> DataFrame:
-    """V * s1 * s2; raises where an antenna of the data has no scale."""
-    both = with_gains(vis, scale, ("scale",))
+def apply_gain_scale(vis: DataFrame, scale: DataFrame, by: tuple[str, ...] = (), lenient: bool = False) -> DataFrame:
+    """V * s1 * s2; where an antenna of the data has no scale it raises, or leaves the data as they are if ``lenient``."""
+    both = with_gains(vis, scale, ("scale",), by)
     known = F.col("g1_scale").isNotNull() & F.col("g2_scale").isNotNull()
-    factor = F.when(known, F.col("g1_scale") * F.col("g2_scale")).otherwise(F.raise_error(F.lit("the scales do not cover the data")).cast("double"))
+    factor = F.when(known, F.col("g1_scale") * F.col("g2_scale")).otherwise(F.lit(1.0) if lenient else F.raise_error(F.lit("the scales do not cover the data")).cast("double"))
     return both.withColumns({c: F.col(c) * factor for c in ("re", "im")}).select(*vis.columns)
 
 
@@ -120,6 +120,15 @@ def phase_shift(vis: DataFrame, uvw: DataFrame, freqs: DataFrame, ra0: float, de
     return both.withColumns({"re": re, "im": im}).select(*vis.columns)
 
 
+def integrated(sets: list[DataFrame], keys: tuple[str, ...] = ("ant1", "ant2", "chan", "corr")) -> DataFrame:
+    """The mean of each sample over all (re-phased) ``sets``, as one field."""
+    every = sets[0].select(*keys, "re", "im")
+    for more in sets[1:]:
+        every = every.unionByName(more.select(*keys, "re", "im"))
+    done = every.groupBy(*keys).agg(F.count("*").alias("n"), F.avg("re").alias("re"), F.avg("im").alias("im"))
+    return done.select(F.lit(0).alias("field_id"), *keys, "n", "re", "im")
+
+
 def stokes(vis: DataFrame, keys: tuple[str, ...] = ("scan", "chan")) -> DataFrame:
     """Unflagged means over cross baselines, then I = Re(XX + YY) / 2 and V = Im(XY - YX) / 2."""
     good = vis.where("ant1 != ant2 and not flag")
@@ -127,12 +136,11 @@ def stokes(vis: DataFrame, keys: tuple[str, ...] = ("scan", "chan")) -> DataFram
     return good.groupBy(*keys).agg(((part(0, "re") + part(3, "re")) / 2).alias("i"), ((part(1, "im") - part(2, "im")) / 2).alias("v"))
 
 
-def subtract_model(vis: DataFrame, model: DataFrame, gain: float = 1.0, add: bool = False) -> DataFrame:
-    """V -/+ gain * model on equal keys; a sample without model stays. Several models of a sample add up."""
-    keys = [*CELL, "corr"]
+def subtract_model(vis: DataFrame, model: DataFrame, gain: float = 1.0, add: bool = False, keys: tuple[str, ...] = (*CELL, "corr")) -> DataFrame:
+    """V -/+ gain * model on equal ``keys``; a sample without model stays. Several models of a sample add up."""
     total = model.groupBy(*keys).agg(F.sum("re").alias("m_re"), F.sum("im").alias("m_im"))
     sign = gain if add else -gain
-    out = vis.join(total, keys, "left")
+    out = vis.join(total, list(keys), "left")
     return out.withColumns({c: F.col(c) + sign * F.coalesce(f"m_{c}", F.lit(0.0)) for c in ("re", "im")}).select(*vis.columns)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import amp, decibel
+from .ordering import median_of_all
 
 SAMPLE = ["scan", "ant1", "ant2", "chan", "corr"]
 
@@ -65,16 +66,17 @@ def pack_flags(df: DataFrame, obs: str, position: str = "pos", flag: str = "flag
     return df.groupBy(obs, F.expr(f"{position} div 8").alias("byte_idx")).agg(F.sum(bit).cast("bigint").alias("byte"))
 
 
-def unpack_flags(packed: DataFrame, obs: str, length: int | None = None) -> DataFrame:
-    """(obs, pos, flag) of packed flags, cut to ``length``; too few bytes raise."""
+def unpack_flags(packed: DataFrame, obs: str, length: int | DataFrame | None = None) -> DataFrame:
+    """(obs, pos, flag) of packed flags, cut to ``length``, or to each observation's own (obs, n); too few bytes raise."""
     out = packed.select(obs, "byte_idx", "byte", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("k"))
     out = out.select(obs, (F.col("byte_idx") * 8 + F.col("k")).alias("pos"), (F.expr("shiftright(byte, cast(7 - k as int)) & 1") == 1).alias("flag"))
     if length is None:
         return out
-    short = packed.groupBy(obs).agg(F.max("byte_idx").alias("last")).where((F.col("last") + 1) * 8 < length)
-    if not short.isEmpty():
+    held = packed.groupBy(obs).agg(((F.max("byte_idx") + 1) * 8).alias("_held"))
+    sizes = length.select(obs, F.col("n").alias("_n")) if isinstance(length, DataFrame) else held.select(obs, F.lit(length).alias("_n"))
+    if not sizes.join(held, obs, "left").where("coalesce(_held, 0) < _n").isEmpty():
         raise ValueError("there are fewer flags than asked for")
-    return out.where(F.col("pos") < length)
+    return out.join(sizes, obs).where("pos < _n").drop("_n")
 
 
 def occupancy(vis: DataFrame) -> DataFrame:
@@ -95,7 +97,7 @@ def flagged_solutions(gains: DataFrame) -> DataFrame:
 
 def flag_bad_solutions(gains: DataFrame, share: float = 0.01) -> DataFrame:
     """Flag gains whose amplitude is below a share of the median amplitude of all."""
-    middle = gains.agg(F.median(amp("gr", "gi")).alias("_middle"))
+    middle = median_of_all(gains, amp("gr", "gi"), "_middle")
     out = gains.join(F.broadcast(middle))  # one row
     return out.withColumn("flag", F.col("flag") | (amp("gr", "gi") < share * F.col("_middle"))).drop("_middle")
 

@@ -3,10 +3,13 @@ A33, J19, J23, W6)."""
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import release, written
+from .ordering import median_of_all, numbered
 
 SIGMA = 1.4826
 IMAGE = ["image_id"]
@@ -32,6 +35,16 @@ def outside_circle(value: Column, x0: float, y0: float, r: float) -> Column:
     return F.when(dx * dx + dy * dy <= r * r, value)
 
 
+def untiled(cells: DataFrame, size: int) -> DataFrame:
+    """P20, the way back: pixels (x, y) from cell numbers and places in the cell."""
+    return cells.withColumns({a: F.col(f"c{a}") * size + F.col(f"i{a}") for a in "xy"}).drop("cx", "cy", "ix", "iy")
+
+
+def write_planes(pixels: DataFrame, path: str) -> None:
+    """Planes as Parquet, each image's pixels together and in order."""
+    pixels.repartitionByRange("image_id").sortWithinPartitions("image_id", "y", "x").write.parquet(path)
+
+
 def tiled(pixels: DataFrame, size: int) -> DataFrame:
     """P20: add cell numbers (cx, cy) and places in the cell (ix, iy)."""
     return pixels.withColumns({f"c{a}": F.floor(F.col(a) / float(size)).cast("int") for a in "xy"} | {f"i{a}": F.col(a) % size for a in "xy"})
@@ -64,7 +77,10 @@ def gated_co_add(pixels: DataFrame, by: list[str], where: Column, k: float) -> D
 
 
 def mad_noise(df: DataFrame, by: list[str], value: str = "val") -> DataFrame:
-    """1.4826 * median(|v - median|)."""
+    """1.4826 * median(|v - median|) of each group, or of all rows."""
+    if not by:
+        both = df.join(F.broadcast(median_of_all(df, F.col(value), "middle")))  # one row
+        return median_of_all(both, SIGMA * F.abs(F.col(value) - F.col("middle")), "noise")
     middle = df.groupBy(*by).agg(F.median(value).alias("middle"))
     return df.join(middle, by).groupBy(*by).agg((SIGMA * F.median(F.abs(F.col(value) - F.col("middle")))).alias("noise"))
 
@@ -149,14 +165,34 @@ def resampled(source: DataFrame, targets: DataFrame, by: list[str]) -> DataFrame
     return got.join(total, ["x", "y"]).where(F.col("_got") > F.col("_all") - 1e-9).select(*by, "x", "y", "val")
 
 
-def median_residual(pixels: DataFrame, half: int) -> DataFrame:
-    """Value minus the median of its (2 half + 1)^2 neighbourhood, padded with zeros."""
-    offsets = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(-half, half + 1) for j in range(-half, half + 1)))
-    sent = pixels.select("image_id", F.explode(offsets).alias("o"), "x", "y", "val").select("image_id", (F.col("x") + F.col("o.i")).alias("x"), (F.col("y") + F.col("o.j")).alias("y"), "val")
-    held = sent.groupBy("image_id", "x", "y").agg(F.collect_list("val").alias("h"))  # (2 half + 1)^2 values at most
-    zeros = F.array_repeat(F.lit(0.0), F.lit((2 * half + 1) ** 2) - F.size("h"))
-    middle = F.array_sort(F.concat("h", zeros))[(2 * half + 1) ** 2 // 2]
-    return pixels.join(held, ["image_id", "x", "y"]).select("image_id", "x", "y", (F.col("val") - middle).alias("val"))
+def median_residual(pixels: DataFrame, half: int, tile: int = 256) -> DataFrame:
+    """Value minus the median of its (2 half + 1)^2 neighbourhood, padded with zeros.
+
+    Pixels go to their square of side ``tile``, and to the neighbours whose rim of ``half`` pixels they lie in; a task takes
+    the medians of a square with its rim at once.
+    """
+    reach = range(-1 - half // tile, 2 + half // tile)
+    steps = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in reach for j in reach))
+    sent = pixels.select("image_id", "x", "y", F.col("val").cast("double").alias("val"), F.explode(steps).alias("s"))
+    sent = sent.withColumns({f"_{a}": F.floor(F.col(a) / float(tile)).cast("int") + F.col(f"s.{k}") for a, k in (("x", "i"), ("y", "j"))})
+    near = [F.col(a).between(F.col(f"_{a}") * tile - half, (F.col(f"_{a}") + 1) * tile - 1 + half) for a in "xy"]
+
+    def work(rows: pd.DataFrame) -> pd.DataFrame:
+        x0, y0 = int(rows["_x"].iloc[0]) * tile, int(rows["_y"].iloc[0]) * tile
+        x, y = rows["x"].to_numpy(np.int64), rows["y"].to_numpy(np.int64)
+        own = (x >= x0) & (x < x0 + tile) & (y >= y0) & (y < y0 + tile)
+        if not own.any():
+            return pd.DataFrame({"image_id": rows["image_id"][:0], "x": x[:0], "y": y[:0], "val": np.zeros(0)})
+        wide, high = x[own].max() - x0 + 1, y[own].max() - y0 + 1
+        plane = np.zeros((high + 2 * half, wide + 2 * half))
+        fits = (x < x0 + wide + half) & (y < y0 + high + half)
+        plane[y[fits] - y0 + half, x[fits] - x0 + half] = rows["val"].to_numpy()[fits]
+        around = np.lib.stride_tricks.sliding_window_view(plane, (2 * half + 1, 2 * half + 1))
+        middle = np.concatenate([np.median(line.reshape(wide, -1), axis=1)[None] for line in around])
+        return pd.DataFrame({"image_id": rows["image_id"].to_numpy()[own], "x": x[own], "y": y[own], "val": rows["val"].to_numpy()[own] - middle[y[own] - y0, x[own] - x0]})
+
+    kinds = {f.name: f.dataType.simpleString() for f in pixels.schema.fields}
+    return sent.where(near[0] & near[1]).drop("s").groupBy("image_id", "_x", "_y").applyInPandas(work, f"image_id {kinds['image_id']}, x {kinds['x']}, y {kinds['y']}, val double")
 
 
 def moving_pairs(images: DataFrame) -> DataFrame:
@@ -174,4 +210,7 @@ def light_curve(pixels: DataFrame, noise_by: list[str], threshold: float = 6.0)
 
 
 def ranked(df: DataFrame, by: list[str], order: list) -> DataFrame:
+    """Add ``rank`` 1, 2, ... in each group, or over all rows by range partitions."""
+    if not by:
+        return numbered(df, order, "rank", 1)
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("bigint"))

@@ -113,11 +113,9 @@ def with_missing_flagged(df: DataFrame, value: str = "amp") -> DataFrame:
 
 def flag_statistics(df: DataFrame) -> DataFrame:
     """Flagged and all samples by time, by channel and by baseline, in one pass."""
-    df.createOrReplaceTempView("_flag_statistics")
-    return df.sparkSession.sql("""
-        select scan, chan, ant1, ant2, count_if(flag) as flagged, count(*) as total
-        from _flag_statistics group by grouping sets ((scan), (chan), (ant1, ant2))
-    """)
+    keys = ("scan", "chan", "ant1", "ant2")
+    sets = df.groupingSets([["scan"], ["chan"], ["ant1", "ant2"]], *keys)
+    return sets.agg(F.count_if("flag").alias("flagged"), F.count("*").alias("total"))
 
 
 def flagged(df: DataFrame, base: float = 4.0, step: float = 4.0, rounds: int = 2, rank: float = 0.2, plane: list[str] = PLANE) -> DataFrame:

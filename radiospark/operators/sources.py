@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sky import pixel_to_sky, separation
 from ..session import written
 from .components import connected_components
+from .ordering import numbered
 
 CELL = ["image_id", "cx", "cy"]
 #: Classes of reviewed candidates; 0 is that of candidates that nobody looked at yet.
@@ -59,25 +60,31 @@ def with_sky(found: DataFrame, ra0: float, dec0: float, scale: float, centre: fl
     return found.withColumns({"ra": ra, "dec": dec})
 
 
-def numbered(df: DataFrame, order: list[str]) -> DataFrame:
-    """Add ``id`` 0, 1, ... in the given order (one catalogue's rows)."""
-    return df.withColumn("id", (F.row_number().over(Window.orderBy(*order)) - 1).cast("bigint"))
+__all__ = ["class_names", "cluster_summary", "clusters", "detections", "nearest_on_sky", "numbered", "reviewed", "sifted", "vetoed", "with_sky"]
 
 
 def nearest_on_sky(left: DataFrame, right: DataFrame, first_deg: float = 4.0) -> DataFrame:
     """Each of ``left`` (id, ra, dec) with the nearest of ``right`` (pid, ra, dec, ...) as sep and near.
 
-    Both meet by zones of declination; rows whose nearest is further than a zone's height go on with zones four times as
-    high, until the zones hold the whole sky. So the result is exact, and near matches make few pairs.
+    Both meet by zones of declination, cut into cells of right ascension that are no narrower than a zone is high; rows
+    whose nearest is further than that go on with cells four times as large, until one holds the whole sky. So the result
+    is exact, and at a given density of sources a row meets a fixed number of them.
     """
     rest, out, height = left.select("id", "ra", "dec"), None, first_deg
     extra = [c for c in right.columns if c not in ("ra", "dec")]
     while True:
         zone = lambda c: F.floor((F.col(c) + 90.0) / height).cast("int")  # noqa: B023, E731
-        sent = rest.withColumn("_z", F.explode(F.array(*((zone("dec") + k) for k in (-1, 0, 1)))))
-        known = right.select(*extra, F.col("ra").alias("ra2"), F.col("dec").alias("dec2"), zone("dec").alias("_z"))
+        # Points within a height differ by asin(sin(height) / cos(dec)) in right ascension at most, which 1.6 times the
+        # quotient of both bounds; dec is that of the zone's edge next to the pole, or of a neighbour's.
+        edge = F.least(F.lit(90.0), F.greatest(F.abs(F.col("_z") * height - 90.0), F.abs((F.col("_z") + 1) * height - 90.0)) + height)
+        cells = F.greatest(F.lit(1), F.floor(360.0 * F.cos(F.radians(edge)) / (1.6 * height)).cast("int"))
+        place = F.floor(F.pmod(F.col("ra"), F.lit(360.0)) / 360.0 * F.col("_n")).cast("int")
+        sent = rest.withColumn("_z", F.explode(F.array(*((zone("dec") + k) for k in (-1, 0, 1))))).withColumn("_n", cells)
+        sent = sent.withColumn("_c", F.explode(F.array_distinct(F.array(*(F.pmod(place + k, F.col("_n")) for k in (-1, 0, 1)))))).drop("_n")
+        known = right.withColumn("_z", zone("dec")).withColumn("_n", cells).withColumn("_c", F.pmod(place, F.col("_n")))
+        known = known.select(*extra, F.col("ra").alias("ra2"), F.col("dec").alias("dec2"), "_z", "_c")
         sep = separation("dec", "ra", "dec2", "ra2")
-        best = sent.join(known, "_z").groupBy("id").agg(F.min(F.struct(sep.alias("sep"), *extra)).alias("near"))
+        best = sent.join(known, ["_z", "_c"]).groupBy("id").agg(F.min(F.struct(sep.alias("sep"), *extra)).alias("near"))
         both = rest.join(best, "id", "left")
         if height >= 180:
             found = both.where("near is not null")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import amp
+from ..session import written
 from . import calibrate
+from .ordering import numbered
 
 #: Frequency axis of a cube in MHz (first, step) and seconds a scan.
 FIRST_MHZ, STEP_MHZ, SCAN_S = 13.398, 0.023926, 10.031
@@ -34,12 +36,12 @@ def baseline_spectra(vis: DataFrame, baselines: DataFrame) -> DataFrame:
 
 def numbered_scans(df: DataFrame, ts: str = "ts") -> DataFrame:
     """``df`` with ``scan``, the place of its time among all distinct times."""
-    times = df.select(ts).distinct().withColumn("scan", (F.row_number().over(Window.orderBy(ts)) - 1).cast("bigint"))
-    return df.join(times, ts)
+    return df.join(numbered(df.select(ts).distinct(), [ts], "scan"), ts)
 
 
 def filled_cube(spectrum: DataFrame, kind: str = "sum") -> DataFrame:
     """(type, corr, scan, freq_idx, amp, present): every cell of the cube, 0 where nothing was written."""
+    spectrum = written(spectrum, "spectrum")  # read four times
     scans, chans, corrs = (spectrum.select(c).distinct() for c in ("scan", "chan", "corr"))
     cells = scans.join(F.broadcast(chans)).join(F.broadcast(corrs))  # the axes of the cube: bounded by the instrument
     out = cells.join(spectrum, ["scan", "chan", "corr"], "left")

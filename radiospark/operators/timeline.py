@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import written
+from .ordering import numbered
+from .ordering import unwrapped as unwrapped_whole
 
 
 def antenna_numbers(df: DataFrame, names: DataFrame, prefix: int) -> DataFrame:
@@ -44,33 +45,42 @@ def in_transit(df: DataFrame, sources: DataFrame, lst: str, window_minutes: floa
     return both.where(circular_hours(F.col(lst), F.col("_ra") / 15.0) <= window_minutes / 120.0).drop("_ra")
 
 
+def above_horizon(df: DataFrame, horizon: DataFrame, least: float) -> DataFrame:
+    """Add ``horizon`` of the whole degree ``az_i`` (a table of 361 rows), and ``visible``: ``el`` above it and above ``least``."""
+    out = df.join(F.broadcast(horizon.select("az_i", "horizon")), "az_i", "left")  # one row a degree
+    return out.withColumn("visible", F.col("el") > F.greatest(F.lit(least), F.coalesce("horizon", F.lit(least))))
+
+
 def not_done(wanted: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key has no output yet."""
     return wanted.join(done.select(*keys).distinct(), keys, "left_anti")
 
 
 def nearest_in_time(pivots: DataFrame, times: DataFrame, bucket_hours: int = 24) -> DataFrame:
-    """For each pivot (pid, ts) the nearest of ``times`` (ts, value) at any distance, the earlier on ties; null if there
-    are no times.
+    """For each pivot (pid, ts) the nearest of ``times`` (ts, value) at any distance, the earlier on ties and the smallest
+    value of equal times; null if there are no times or the pivot has none.
 
-    Both sides meet by buckets of time and its neighbours. A gap of at most a bucket cannot be bettered from elsewhere; the
-    pivots without one meet again in buckets 16 times as wide, the last of which hold all times there are.
+    Both sides are laid in one order of time by buckets; a pivot takes the last time before it and the first after it in its
+    bucket, and from the table of buckets (two times each) what lies beyond its ends. So no pairs are made.
     """
-    found, left = None, pivots.where("ts is not null")
-    while True:
-        width = 3.6e9 * bucket_hours
-        bucket = lambda c: F.floor(F.unix_micros(F.col(c).cast("timestamp")) / F.lit(width)).cast("bigint")  # noqa: B023, E731
-        near = left.withColumn("_b", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda k: bucket("ts") + k)))
-        right = times.select(F.col("ts").alias("near_ts"), "value", bucket("ts").alias("_b"))
-        gap = F.abs(F.unix_micros(F.col("near_ts").cast("timestamp")) - F.unix_micros(F.col("ts").cast("timestamp")))
-        best = near.join(right, "_b").groupBy("pid").agg(F.min(F.struct(gap.alias("gap"), "near_ts", "value")).alias("best"))
-        best = written(best.where(F.col("best.gap") <= width), "nearest")
-        found = best if found is None else found.unionAll(best)
-        left = left.join(best, "pid", "left_anti")
-        if width > 1e18 or left.isEmpty():  # 30,000 years
-            break
-        bucket_hours *= 16
-    return pivots.join(found, "pid", "left").select("pid", "ts", F.col("best.near_ts").alias("near_ts"), F.col("best.value").alias("value"))
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    bucket = F.floor(micros("ts") / F.lit(3.6e9 * bucket_hours)).cast("bigint")
+    one = times.where("ts is not null").groupBy("ts").agg(F.min("value").alias("value")).select("ts", F.struct("ts", "value").alias("at"))
+    both = pivots.where("ts is not null").select("ts", "pid", F.lit(None).cast(one.schema["at"].dataType).alias("at"), F.lit(True).alias("asks"))
+    both = both.unionByName(one.select("ts", F.lit(None).cast(pivots.schema["pid"].dataType).alias("pid"), "at", F.lit(False).alias("asks"))).withColumn("_b", bucket)
+    order = Window.partitionBy("_b").orderBy("ts", "asks")
+    upto, since = order.rowsBetween(Window.unboundedPreceding, 0), order.rowsBetween(0, Window.unboundedFollowing)
+    told = both.withColumns({"_last": F.last("at", ignorenulls=True).over(upto), "_next": F.first("at", ignorenulls=True).over(since)}).where("asks")
+    ends = both.groupBy("_b").agg(F.min("at").alias("_lo"), F.max("at").alias("_hi"))
+    line = Window.orderBy("_b")  # one row a bucket
+    ends = ends.select(
+        "_b", F.last("_hi", ignorenulls=True).over(line.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"), F.first("_lo", ignorenulls=True).over(line.rowsBetween(1, Window.unboundedFollowing)).alias("_after")
+    )
+    told = told.join(ends, "_b").withColumns({"_last": F.coalesce("_last", "_before"), "_next": F.coalesce("_next", "_after")})
+    gap = lambda c: F.abs(micros(f"{c}.ts") - micros("ts"))
+    best = F.when(F.col("_next").isNull() | (gap("_last") <= gap("_next")), F.col("_last")).otherwise(F.col("_next"))
+    found = told.select("pid", "ts", best.alias("best")).dropDuplicates(["pid", "ts"])
+    return pivots.join(found, ["pid", "ts"], "left").select("pid", "ts", F.col("best.ts").alias("near_ts"), F.col("best.value").alias("value"))
 
 
 def bad_antennas_on(flags: DataFrame, date: str, sources: list[str], date_map: dict[str, str] | None = None) -> DataFrame:
@@ -108,13 +118,19 @@ def overlapping_pairs(df: DataFrame, by: list[str], order: str, key: str) -> Dat
 
 def chunks(df: DataFrame, order: list[str], size: int, by: list[str] = ()) -> DataFrame:
     """Add ``chunk``: consecutive rows by ``size``, the last short."""
+    if not by:
+        return numbered(df, order, "chunk").withColumn("chunk", F.floor(F.col("chunk") / float(size)))
     return df.withColumn("chunk", F.floor((F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1) / float(size)))
 
 
 def chunks_of_time(df: DataFrame, ts: str, seconds: float, by: list[str] = ()) -> DataFrame:
     """Add ``chunk``: spans of ``seconds`` from the first time on."""
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    return df.withColumn("chunk", F.floor((micros - F.min(micros).over(Window.partitionBy(*by))) / F.lit(seconds * 1e6)).cast("bigint"))
+    if by:
+        first = F.min(micros).over(Window.partitionBy(*by))
+    else:
+        df, first = df.join(F.broadcast(df.agg(F.min(micros).alias("_first")))), F.col("_first")  # one row
+    return df.withColumn("chunk", F.floor((micros - first) / F.lit(seconds * 1e6)).cast("bigint")).drop("_first")
 
 
 def gaps(df: DataFrame, ts: str, by: list[str] = ()) -> DataFrame:
@@ -125,6 +141,8 @@ def gaps(df: DataFrame, ts: str, by: list[str] = ()) -> DataFrame:
 
 def unwrapped(df: DataFrame, by: list[str], order: str, hours: str) -> DataFrame:
     """Add ``unwrapped``: 24 h added or taken off at each step of more than 12 h."""
+    if not by:
+        return unwrapped_whole(df, order, hours)
     w = Window.partitionBy(*by).orderBy(order)
     step = F.col(hours) - F.lag(hours).over(w)
     turn = df.withColumn("_t", F.when(step < -12, 24.0).when(step > 12, -24.0).otherwise(0.0))
@@ -176,7 +194,7 @@ def padded(df: DataFrame, by: list[str], axis: str, first: int, last: int) -> Da
 
 def full_sidereal_hours(df: DataFrame, base: str, order: str, lst: str) -> DataFrame:
     """(start, end) of the whole sidereal hours that the rows with ``base`` cover, found on the unwrapped hours."""
-    turned = unwrapped(df.withColumn("_one", F.lit(1)), ["_one"], order, lst)
+    turned = unwrapped(df, [], order, lst)
     ends = turned.where(base).agg(F.min_by("unwrapped", order).alias("a"), F.max_by("unwrapped", order).alias("b"))
     limits = ends.select(F.floor("a").cast("double").alias("a"), F.ceil("b").cast("double").alias("b"))
     both = turned.join(F.broadcast(limits))  # one row

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from ..functions import sky
 from ..functions.numbers import rounded
-from ..operators import beam, images, sources
+from ..operators import beam, images, ordering, sources
+from ..session import scratch_path, written
 from ..sources import fixtures as fx
-from .oracle import define, sql
+from .oracle import again, define, sql
 from .registry import register
 
 BOX = "x>=2 and x<6 and y>=2 and y<6"
@@ -32,7 +33,9 @@ def middle_box():
 
 @register("s4_image_scan", sql("select image_id, count(*) as n, round(sum(val),6)+0.0 as total from pixels group by 1", "pixels"))
 def s4(spark, d):
-    return fx.pixels(spark, d).groupBy("image_id").agg(F.count("*").alias("n"), rounded(F.sum("val")).alias("total"))
+    path = scratch_path(spark, "planes")
+    images.write_planes(fx.pixels(spark, d), path)
+    return spark.read.parquet(path).groupBy("image_id").agg(F.count("*").alias("n"), rounded(F.sum("val")).alias("total"))
 
 
 @register("p12_cutout", sql(f"select image_id, x, y, round(val,6)+0.0 as val from pixels where {BOX}", "pixels"))
@@ -62,6 +65,11 @@ def p20(spark, d):
     return images.tiled(fx.pixels(spark, d), 4).groupBy("image_id", "cx", "cy").agg(F.count("*").alias("n"), rounded(F.sum(F.col("val") * F.col("ix") + F.col("iy"))).alias("total"))
 
 
+@register("p20_untiled", sql("select image_id, x, y, round(val,6)+0.0 as val from pixels", "pixels"))
+def p20u(spark, d):
+    return r6(images.untiled(images.tiled(fx.pixels(spark, d), 3), 3), "val")
+
+
 @register("p21_sound_images", sql("select image_id from pixels group by 1 having -min(val)*1.0 <= max(val)", "pixels"))
 def p21(spark, d):
     return images.sound_images(fx.pixels(spark, d), 1.0)
@@ -86,10 +94,16 @@ def a9(spark, d):
     return r6(images.co_added(banded(spark, d).withColumn("slot", F.expr("seq div 5")), ["band", "slot"], 3), "val")
 
 
-@register("k4_co_add_ladder", sql("select band, pair, x, y, round(sum(val)/count(*),6)+0.0 as val, count(distinct image_id) as n_images from (select a.band, a.seq as pair, p.* from images a join images b on a.band=b.band and b.seq=a.seq+1 join pixels p on p.image_id in (a.image_id,b.image_id)) where band<3 group by 1,2,3,4", "pixels", "images"))
+define("k4_freq", "select seq as image_id, seq//5 as slot, x, y, sum(val)/count(distinct image_id) as val from banded group by 1,2,3,4", "banded")
+define("k4_rms", f"select slot, image_id, stddev_pop(val) as rms from k4_freq where {BOX} group by 1,2", "k4_freq")
+define("k4_kept", "select image_id from (select *, 1.1*median(rms) filter (where rms>0) over (partition by slot) as cut from k4_rms) where rms<=cut", "k4_rms")
+
+
+@register("k4_co_add_ladder", sql("select slot, x, y, round(sum(val)/count(*),6)+0.0 as val, count(distinct image_id) as n_images from k4_freq where image_id in (select image_id from k4_kept) group by 1,2,3", "k4_kept"))
 def k4(spark, d):
-    pairs = images.moving_pairs(fx.images(spark, d).where("band < 3"))
-    return r6(images.co_added(fx.pixels(spark, d).join(pairs, "image_id"), ["band", "pair"]), "val")
+    """All bands of a time into one image, then the quiet images of each time slot."""
+    every = images.co_added(banded(spark, d), ["seq"]).select(F.col("seq").alias("image_id"), F.expr("seq div 5").alias("slot"), "x", "y", "val")
+    return r6(images.gated_co_add(every, ["slot"], middle_box(), 1.1), "val")
 
 
 @register("w1_overlapping_pairs", sql("select a.band, a.seq as pair, unnest([a.image_id, b.image_id]) as image_id from images a join images b on a.band=b.band and b.seq=a.seq+1", "images"))
@@ -102,15 +116,15 @@ def a11(spark, d):
     return r6(images.mad_noise(fx.pixels(spark, d), ["image_id"]), "noise")
 
 
-def _clip_sql() -> str:
-    parts = ["r0 as (select image_id, x, y, val from pixels)"]
+def _clip_sql(source: str = "pixels", p: str = "", end: str = "select image_id, round(stddev_pop(val),6) as rms, count(*) as n from {p}r5 group by 1") -> str:
+    parts = [f"{p}r0 as (select image_id, x, y, val from {source})"]
     state = "select image_id, any_value(m) as m, 1.4826*median(abs(val-m)) as s from (select *, median(val) over (partition by image_id) as m from {}) group by 1"
-    parts.append("n0 as (select *, s=0 as done from (" + state.format("r0") + "))")
+    parts.append(f"{p}n0 as (select *, s=0 as done from (" + state.format(f"{p}r0") + "))")
     for k in range(1, 6):
-        parts.append(f"r{k} as (select r.* from r{k - 1} r join n{k - 1} n using (image_id) where done or abs(val-m)<=2.0*s)")
-        parts.append(f"t{k} as ({state.format(f'r{k}')})")
-        parts.append(f"n{k} as (select image_id, case when o.done then o.m else t.m end as m, case when o.done then o.s else t.s end as s, o.done or t.s=0 or abs(t.s-o.s)<=1e-8+1e-3*abs(o.s) as done from n{k - 1} o join t{k} t using (image_id))")
-    return ",\n" + ",\n".join(parts) + "\nselect image_id, round(stddev_pop(val),6) as rms, count(*) as n from r5 group by 1"
+        parts.append(f"{p}r{k} as (select r.* from {p}r{k - 1} r join {p}n{k - 1} n using (image_id) where done or abs(val-m)<=2.0*s)")
+        parts.append(f"{p}t{k} as ({state.format(f'{p}r{k}')})")
+        parts.append(f"{p}n{k} as (select image_id, case when o.done then o.m else t.m end as m, case when o.done then o.s else t.s end as s, o.done or t.s=0 or abs(t.s-o.s)<=1e-8+1e-3*abs(o.s) as done from {p}n{k - 1} o join {p}t{k} t using (image_id))")
+    return ",\n" + ",\n".join(parts) + ("\n" + end.format(p=p) if end else "")
 
 
 @register("a12_clipped_rms", sql(_clip_sql(), "pixels"))
@@ -186,9 +200,9 @@ def a10(spark, d):
     return r6(images.co_added(moved.join(fx.images(spark, d), "image_id"), ["band"], 2), "val")
 
 
-@register("w6_median_residual", sql("select p.image_id, p.x, p.y, round(p.val-median(coalesce(q.val,0)),6)+0.0 as val from pixels p cross join (select i.i as i, j.j as j from (select unnest([-1,0,1]) as i) i, (select unnest([-1,0,1]) as j) j) o left join pixels q on q.image_id=p.image_id and q.x=p.x+o.i and q.y=p.y+o.j group by p.image_id,p.x,p.y,p.val", "pixels"))
+@register("w6_median_residual", sql("select p.image_id, p.x, p.y, round(p.val-median(coalesce(q.val,0)),6)+0.0 as val from pixels p cross join (select i.i as i, j.j as j from (select unnest(range(-10,11)) as i) i, (select unnest(range(-10,11)) as j) j) o left join pixels q on q.image_id=p.image_id and q.x=p.x+o.i and q.y=p.y+o.j group by p.image_id,p.x,p.y,p.val", "pixels"))
 def w6(spark, d):
-    return r6(images.median_residual(fx.pixels(spark, d), 1), "val")
+    return r6(images.median_residual(fx.pixels(spark, d), 10), "val")
 
 
 define("cells", "select *, (x//4)::int as cx, (y//4)::int as cy from pixels", "pixels")
@@ -254,16 +268,6 @@ def x5(spark, d):
     return r6(sources.numbered(made, ["image_id", "cluster"]).select("id", "image_id", "ra", "dec", F.col("peak").alias("peak_flux")), "ra", "dec", "peak_flux")
 
 
-@register("k3_transient_search")
-def k3(spark, d):
-    one = fx.pixels(spark, d)
-    diff = images.subtracted(one.withColumn("image_id", F.col("image_id") - 1), one, ["image_id", "x", "y"])
-    found = sources.detections(images.tiled(diff, 4).drop("ix", "iy"), 3.0)
-    made = sources.with_sky(sources.cluster_summary(sources.clusters(found, 1.5), 1, 8), *PLANE)
-    matched = sources.nearest_on_sky(sources.numbered(made, ["image_id", "cluster"]), fx.persist(spark, d))
-    return r6(matched.select("id", "ra", "dec", F.col("near.pid").alias("pid"), F.col("near.sep").alias("sep")), "ra", "dec", "sep")
-
-
 def _sep(d1, r1, d2, r2):
     return (
         f"degrees(atan2(sqrt((cos(radians({d2}))*sin(radians(abs({r2}-{r1}))))**2+(cos(radians({d1}))*sin(radians({d2}))-sin(radians({d1}))*cos(radians({d2}))*cos(radians(abs({r2}-{r1}))))**2),"
@@ -274,6 +278,31 @@ def _sep(d1, r1, d2, r2):
 define("near", f"select * from (select c.*, p.pid, p.flux, {_sep('c.dec', 'c.ra', 'p.dec', 'p.ra')} as sep, row_number() over (partition by c.id order by {_sep('c.dec', 'c.ra', 'p.dec', 'p.ra')}, p.pid) as r from catalog c, persist p) where r=1", "catalog", "persist")
 
 
+define("k3_diff", "select b.image_id, x, y, b.val-a.val as val from pixels a join (select image_id-1 as image_id, x, y, val from pixels) b using (image_id,x,y)", "pixels")
+define("k3_cells", "select *, (x//4)::int as cx, (y//4)::int as cy from k3_diff", "k3_diff")
+define("k3_loose", "select image_id,x,y,val,image_id*(1::bigint<<40)+y*(1<<20)+x as hit from k3_hits", "k3_hits")
+again("k3_", ["cells", "hits1", "hits2", "hits", "loose", "fof", "summary", "skied"], ["hits1", "hits2", "hits", "fof", "summary", "skied"])
+define("k3_noise", "select image_id, stddev_pop(val) as local_rms from k3_diff group by 1", "k3_diff")
+define("k3_catalog", "select row_number() over (order by image_id, cluster)-1 as id, image_id, ra, dec, abs(peak) as peak_flux, local_rms from k3_skied join k3_noise using (image_id)", "k3_skied", "k3_noise")
+define("k3_near", f"select * from (select c.*, p.pid, p.flux, {_sep('c.dec', 'c.ra', 'p.dec', 'p.ra')} as sep, row_number() over (partition by c.id order by {_sep('c.dec', 'c.ra', 'p.dec', 'p.ra')}, p.pid) as r from k3_catalog c, persist p) where r=1", "k3_catalog", "persist")
+
+
+@register("k3_transient_search", sql("select id, image_id, round(ra,5) as ra, round(dec,5) as dec, pid, round(sep,5) as sep, 0 as class, 'NA' as class_name from k3_near where peak_flux/local_rms>2.5 and dec<44 and (sep>3.0 or peak_flux/nullif(flux,0)>1.5)", "k3_near"))
+def k3(spark, d):
+    """Difference of following images, detections, clusters, catalogue, cuts, veto of known sources, class to be reviewed."""
+    one = fx.pixels(spark, d)
+    diff = written(images.subtracted(one.withColumn("image_id", F.col("image_id") - 1), one, ["image_id", "x", "y"]), "difference")
+    found = sources.detections(images.tiled(diff, 4).drop("ix", "iy"), 3.0)
+    made = sources.with_sky(sources.cluster_summary(sources.clusters(found, 1.5), 1, 8), *PLANE)
+    noise = diff.groupBy("image_id").agg(F.stddev_pop("val").alias("local_rms"))
+    cat = sources.numbered(made, ["image_id", "cluster"]).withColumn("peak_flux", F.abs("peak")).join(noise, "image_id")
+    cat = sources.sifted(cat, 2.5, 44.0)
+    near = sources.nearest_on_sky(cat, fx.persist(spark, d)).select("id", "near")
+    kept = sources.vetoed(cat.join(near, "id"), 3.0, 1.5).where("not veto").withColumn("class", F.lit(sources.NOT_CLASSIFIED))
+    out = sources.class_names(kept).select("id", "image_id", "ra", "dec", F.col("near.pid").alias("pid"), F.col("near.sep").alias("sep"), "class", "class_name")
+    return r6(out, "ra", "dec", "sep", digits=5)
+
+
 @register("j11_nearest_source", sql("select id, pid, round(sep,6) as sep from near", "near"))
 def j11(spark, d):
     return r6(sources.nearest_on_sky(fx.catalog(spark, d), fx.persist(spark, d)).select("id", F.col("near.pid").alias("pid"), F.col("near.sep").alias("sep")), "sep")
@@ -309,12 +338,17 @@ def x7(spark, d):
     return sources.class_names(told).select("id", "class", "class_name")
 
 
-@register("a34_match_statistics", sql("select round(median(a.sep),6) as before, round(median(b.sep),6) as after, round(median(a.sep)-median(b.sep),6)+0.0 as score from near a join (select id, sep from near) b using (id)", "near"))
+define("shifted_catalog", "select id, ra, dec+0.4 as dec, peak_flux, local_rms from catalog", "catalog")
+define("near_shifted", f"select id, min({_sep('c.dec', 'c.ra', 'p.dec', 'p.ra')}) as sep from shifted_catalog c, persist p group by 1", "shifted_catalog", "persist")
+
+
+@register("a34_match_statistics", sql("select round(median(a.sep),6) as before, round(median(b.sep),6) as after, round(median(a.sep)-median(b.sep),6)+0.0 as score from near a join near_shifted b using (id)", "near", "near_shifted"))
 def a34(spark, d):
+    """The median separation of matches before and after the catalogue is moved by 0.4 degrees in declination."""
     cat, known = fx.catalog(spark, d), fx.persist(spark, d)
-    near = sources.nearest_on_sky(cat, known).select("id", F.col("near.sep").alias("sep"))
-    a, b = F.median("sep"), F.median("sep2")
-    return near.join(near.withColumnRenamed("sep", "sep2"), "id").agg(rounded(a).alias("before"), rounded(b).alias("after"), rounded(a - b).alias("score"))
+    middle = lambda df, name: ordering.median_of_all(sources.nearest_on_sky(df, known), F.col("near.sep"), name)
+    both = middle(cat, "a").join(F.broadcast(middle(cat.withColumn("dec", F.col("dec") + 0.4), "b")))  # one row each
+    return both.select(rounded("a").alias("before"), rounded("b").alias("after"), rounded(F.col("a") - F.col("b")).alias("score"))
 
 
 @register("a35_typical_noise", sql("select median(r) as noise, count(*) as n from (select distinct local_rms as r from catalog)", "catalog"))
@@ -327,8 +361,9 @@ def s14(spark, d):
     from ..sources.tables import catalogue
 
     cat = fx.catalog(spark, d).withColumns({c: F.lit(1.0) for c in ("a", "b", "pa")})
-    made = catalogue(cat.withColumnRenamed("id", "pid"), "2024-01-01", 2460310.5)
-    return fx.catalog(spark, d).select("id", "ra", "dec", "local_rms", "peak_flux").join(made.select("ra", "dec", "x", "date_obs", "jd_obs", F.col("peak_flux").alias("pf")).distinct(), ["ra", "dec"]).where("pf = peak_flux").select("id", "ra", "dec", rounded("peak_flux").alias("peak_flux"), "x", "local_rms", "date_obs", "jd_obs")
+    path = scratch_path(spark, "catalogue")
+    catalogue(cat, "2024-01-01", 2460310.5, "id").write.parquet(path)
+    return spark.read.parquet(path).select("id", "ra", "dec", rounded("peak_flux").alias("peak_flux"), "x", "local_rms", "date_obs", "jd_obs")
 
 
 @register("w13_sequential_id", sql("select row_number() over (order by ra, dec, id)-1 as seq, id from catalog", "catalog"))
@@ -432,9 +467,17 @@ def t3(spark, d):
     return images.ranked(fx.catalog(spark, d), [], [F.desc("peak_flux"), "id"]).select("rank", "id")
 
 
-@register("k8_stage_rms", sql("select x_stage as stage, round(avg(rms),6) as rms from (select image_id, 'before' as x_stage, stddev_pop(v) as rms from (select image_id, case when (x-3.5)**2+(y-3.5)**2<=9 then val end as v from pixels) group by 1 union all select image_id, 'after', stddev_pop(v) from (select p.image_id, case when (p.x-3.5)**2+(p.y-3.5)**2<=9 then 0.5*val end as v from pixels p) group by 1) group by 1", "pixels"))
+define("central", "select * from pixels where (x-3.5)**2+(y-3.5)**2<=9", "pixels")
+define("emptied", "select r.* from central r anti join hits h on h.image_id=r.image_id and h.x=r.x and h.y=r.y", "central", "hits")
+
+
+@register("k8_stage_rms", sql(_clip_sql("central", "a", "") + _clip_sql("emptied", "b", "select image_id, round(u.rms,6) as before, round(w.rms,6) as after from (select image_id, stddev_pop(val) as rms from ar5 group by 1) u left join (select image_id, stddev_pop(val) as rms from br5 group by 1) w using (image_id)"), "emptied"))
 def k8(spark, d):
-    pix = fx.pixels(spark, d)
-    stages = pix.withColumn("stage", F.lit("before")).unionByName(pix.withColumns({"stage": F.lit("after"), "val": 0.5 * F.col("val")}))
+    """The clipped rms of the middle of each image before and after its detections are taken out."""
+    before = fx.pixels(spark, d)
+    after = before.join(_hits(spark, d), ["image_id", "x", "y"], "left_anti")
+    stages = before.withColumn("stage", F.lit("before")).unionByName(after.withColumn("stage", F.lit("after")))
     kept = stages.withColumn("val", images.outside_circle(F.col("val"), 3.5, 3.5, 3.0)).where("val is not null")
-    return kept.groupBy("stage", "image_id").agg(F.stddev_pop("val").alias("r")).groupBy("stage").agg(rounded(F.avg("r")).alias("rms"))
+    rms = images.clipped_rms(kept, ["stage", "image_id"], 2.0)
+    pivoted = rms.groupBy("image_id").agg(*(F.max(F.when(F.col("stage") == k, F.col("rms"))).alias(k) for k in ("before", "after")))
+    return r6(pivoted, "before", "after")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from ..sources.fixtures import CALIBRATORS
 
 _TABLES = {
@@ -35,6 +37,13 @@ def define(name: str, sql: str, *needs: str) -> None:
     _TABLES[name], _NEEDS[name] = sql, needs
 
 
+def again(prefix: str, within: list[str], names: list[str]) -> None:
+    """The expressions ``names`` once more as ``prefix + name``, over those of ``within`` with the prefix."""
+    turn = lambda text: re.sub(rf"\b({'|'.join(within)})\b", lambda m: prefix + m.group(1), text)
+    for name in names:
+        define(prefix + name, turn(_TABLES[name]), *(prefix + n if n in within else n for n in _NEEDS.get(name, ())))
+
+
 def sql(body: str, *names: str) -> str:
     """``body`` with the named tables, and what they need, as common table expressions before it."""
     order: list[str] = []

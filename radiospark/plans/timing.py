@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions import sky
 from ..functions.numbers import amp, rounded
-from ..operators import flags, images, rfi, sources, spectra, timeline
+from ..operators import calibrate, flags, images, rfi, spectra, timeline
 from ..session import scratch_path, table, written
 from ..sources import fixtures as fx
 from ..sources import tables
 from ..streaming import ingest
+from . import visibility  # noqa: F401  its expressions are used here
 from .oracle import define, sql
 from .registry import register
 
@@ -75,10 +76,10 @@ def p11(spark, d):
     return timeline.not_done(scans, scans.where((F.col("spw") % 3 == 0) & (F.hour("ts") < 12)), ["ts", "spw"]).select("ts", "spw", "scan_id")
 
 
-@register("j9_nearest_time", sql("select pid, near_ts, value from (select e.event_id as pid, s.ts as near_ts, s.scan_id as value, row_number() over (partition by e.event_id order by abs(epoch_us(s.ts)-epoch_us(e.ts)), s.ts) as r from events e, (select ts, scan_id from scans where spw=3) s) where r=1", "scans"))
+@register("j9_nearest_time", sql("select pid, near_ts, value from (select e.event_id as pid, s.ts as near_ts, s.scan_id as value, row_number() over (partition by e.event_id order by abs(epoch_us(s.ts)-epoch_us(e.ts)), s.ts) as r from events e, (select ts, min(scan_id) as scan_id from scans group by 1) s) where r=1", "scans"))
 def j9(spark, d):
     pivots = table(spark, d, "events").select(F.col("event_id").alias("pid"), F.col("ts"))
-    return timeline.nearest_in_time(pivots, fx.scans(spark, d).where("spw = 3").select("ts", F.col("scan_id").alias("value"))).select("pid", "near_ts", "value")
+    return timeline.nearest_in_time(pivots, fx.scans(spark, d).select("ts", F.col("scan_id").alias("value"))).select("pid", "near_ts", "value")
 
 
 @register("j10_bad_antennas_on_date", sql("select distinct corr_num from flaglist where source in ('1-URGENT','2-HIGH') and \"date\"=(select least(greatest(date '1997-03-04', min(\"date\")), max(\"date\")) from flaglist)", "flaglist"))
@@ -86,10 +87,24 @@ def j10(spark, d):
     return timeline.bad_antennas_on(fx.flaglist(spark, d), "1997-03-04", ["1-URGENT", "2-HIGH"])
 
 
-@register("j16_source_visibility", sql("select ts, label, el>10 as visible from (select ts, label, degrees(asin(sin(radians(dec))*sin(radians(37.2::double))+cos(radians(dec))*cos(radians(37.2::double))*cos(radians(ra-lst*15)))) as el from (select ts, avg(lst) as lst from lst group by 1), calibrators)", "lst", "calibrators"))
+define("placed", """select *, 5+5*sin(radians(round_even(az,0))) as horizon from (select ts, label, degrees(asin(sin(radians(dec))*sin(radians(37.2::double))+cos(radians(dec))*cos(radians(37.2::double))*cos(radians(ra-lst*15)))) as el,
+  (degrees(atan2(-cos(radians(dec))*sin(radians(lst*15-ra)),sin(radians(dec))*cos(radians(37.2::double))-cos(radians(dec))*sin(radians(37.2::double))*cos(radians(lst*15-ra))))+720)%360 as az
+  from (select ts, avg(lst) as lst from lst group by 1), calibrators)""", "lst", "calibrators")
+
+
+@register("j16_source_visibility", sql("select ts, label, el>greatest(8, horizon) as visible, round(horizon,5) as horizon from placed", "placed"))
 def j16(spark, d):
     both = hourly(spark, d).join(F.broadcast(fx.calibrators(spark)))  # four calibrators
-    return both.select("ts", "label", (sky.elevation("ra", "dec", F.col("lst") * 15, F.lit(37.2)) > 10).alias("visible"))
+    at = (F.col("lst") * 15, F.lit(37.2))
+    placed = both.withColumns({"el": sky.elevation("ra", "dec", *at), "az_i": F.rint(sky.azimuth("ra", "dec", *at)).cast("int")})
+    seen = timeline.above_horizon(placed, fx.horizon(spark), 8.0)
+    return r6(seen.select("ts", "label", "visible", "horizon"), "horizon", digits=5)
+
+
+@register("s20_static_tables", sql("select ant, name, outrigger, count(*) as n, count(*) filter (where flag) as flagged from gains join (select unnest(range(16)) as a, concat('LWA-', lpad((unnest(range(16))+1)::varchar,3,'0')) as name, unnest(range(16))>=12 as outrigger) on a=ant group by 1,2,3", "gains"))
+def s20(spark, d):
+    named = fx.gains(spark, d).join(F.broadcast(fx.antennas(spark)), "ant")  # the array's antennas
+    return named.groupBy("ant", "name", "outrigger").agg(F.count("*").alias("n"), F.count_if("flag").alias("flagged"))
 
 
 _PAIR = "select spw, a.ts as early, b.ts as late, a.scan_id as early_id, b.scan_id as late_id from scans a join scans b using (spw) where abs(epoch_us(b.ts)-epoch_us(a.ts)-86164000000)<=300000000"
@@ -130,7 +145,7 @@ def w4(spark, d):
 
 @register("w7_unwrap_lst", sql("select ts, round(unwrapped,5) as unwrapped from wrapped", "wrapped"))
 def w7(spark, d):
-    turned = timeline.unwrapped(hourly(spark, d).withColumn("one", F.lit(1)), ["one"], "ts", "lst")
+    turned = timeline.unwrapped(hourly(spark, d), [], "ts", "lst")
     return r6(turned.select("ts", "unwrapped"), "unwrapped", digits=5)
 
 
@@ -144,12 +159,15 @@ def w9(spark, d):
     return spectra.numbered_scans(fx.scans(spark, d)).select("ts", "spw", "scan")
 
 
-@register("w10_full_blocks", sql("""
+_W10 = """
 select hour, hours from (with recursive h as (select date_trunc('hour',ts) as hour, count(*) as n, row_number() over (order by date_trunc('hour',ts)) as i from scans where scan_id>=0 group by 1),
 g(i, hour, hours) as (select 1::bigint, null::timestamp, null::int union all
  select case when h.n=14 then g.i+1 when h.n<14 and h2.n+h.n=14 then g.i+2 else g.i+1 end,
         case when h.n=14 or (h.n<14 and h2.n+h.n=14) then h.hour end, case when h.n=14 then 1 when h.n<14 and h2.n+h.n=14 then 2 end
- from g join h on h.i=g.i left join h h2 on h2.i=g.i+1) select hour, hours from g where hour is not null)""", "scans"))
+ from g join h on h.i=g.i left join h h2 on h2.i=g.i+1) select hour, hours from g where hour is not null)"""
+
+
+@register("w10_full_blocks", sql(_W10, "scans"))
 def w10(spark, d):
     return timeline.full_blocks(fx.scans(spark, d), "ts", 14)
 
@@ -178,10 +196,10 @@ def w15(spark, d):
     return timeline.full_sidereal_hours(hourly(spark, d), base, "ts", "lst")
 
 
-@register("t1_sorted_concatenation", sql("select row_number() over (order by ts, spw) as place, scan_id from scans where spw in (1,5)", "scans"))
+@register("t1_sorted_concatenation", sql("select row_number() over (order by ts, spw) as place, scan_id from scans", "scans"))
 def t1(spark, d):
     scans = fx.scans(spark, d)
-    both = scans.where("spw = 1").unionByName(scans.where("spw = 5"))
+    both = scans.where("spw < 8").unionByName(scans.where("spw >= 8"))
     return images.ranked(both, [], ["ts", "spw"]).select(F.col("rank").alias("place"), "scan_id")
 
 
@@ -251,7 +269,7 @@ def f16(spark, d):
 
 @register("a30_delay_scatter", sql("select round(1.4826*median(abs(delay_ns-m)),6) as noise from delays, (select median(delay_ns) as m from delays)", "delays"))
 def a30(spark, d):
-    return images.mad_noise(fx.delays(spark, d).withColumn("one", F.lit(1)), ["one"], "delay_ns").select(rounded("noise").alias("noise"))
+    return images.mad_noise(fx.delays(spark, d), [], "delay_ns").select(rounded("noise").alias("noise"))
 
 
 @register("a36_throughput", sql("select name, count(*) as n, round(avg(gap),5) as mean, round(median(gap),5) as middle, round(max(gap),5) as top, round(stddev_pop(gap),5) as std from (select *, (epoch_us(finished)-lag(epoch_us(finished)) over (partition by name order by finished))/1e6 as gap from tasklog where state='purchase') group by 1", "tasklog"))
@@ -275,10 +293,12 @@ def s12(spark, d):
     return tables.scan_files(names(spark, d), "2024-01-05 00:00:00", "2024-01-06 00:00:00")
 
 
-@register("s13_quality_select", sql("select date_trunc('day', ts) as day, spw, share from (select ts, spw, cast(count(*) over (partition by ts) as bigint) as share from scans) where share>12 and month(ts)=1 and spw<3", "scans"))
+@register("s13_quality_select", sql("select date_trunc('day', ts) as day, spw, share from (select ts, spw, cast(count(*) over (partition by ts) as bigint) as share from scans) where share>12 and month(ts)=1", "scans"))
 def s13(spark, d):
-    fx.scans(spark, d).withColumn("share", F.count("*").over(Window.partitionBy("ts"))).createOrReplaceTempView("_quality")
-    return spark.sql("select cast(date_trunc('day', ts) as timestamp_ntz) as day, spw, share from _quality where share > 12 and month(ts) = 1 and spw < 3")
+    path = scratch_path(spark, "quality")
+    fx.scans(spark, d).withColumn("share", F.count("*").over(Window.partitionBy("ts"))).write.parquet(path)
+    rows = spark.read.parquet(path).where((F.col("share") > 12) & (F.month("ts") == 1))
+    return rows.select(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day"), "spw", "share")
 
 
 @register("s19_task_log", sql("select task_id, state, json_extract(payload,'$.k')::bigint as k from tasklog", "tasklog"))
@@ -320,8 +340,8 @@ def r1(spark, d):
     return rfi.sum_thresholded(_plane(spark, d), 3.0).select(*_CELL, "flag")
 
 
-def _rms_sql(axis: str, level: float) -> str:
-    return f"select v.scan,v.ant1,v.ant2,v.chan,v.corr, flag or coalesce(hit,false) as flag from vamp v left join (select ant1,ant2,corr,{axis},true as hit from (select *, avg(r) over p as m, stddev_pop(r) over p as s from (select ant1,ant2,corr,{axis},sqrt(avg(amp*amp)) as r from vamp where not flag group by 1,2,3,4) window p as (partition by ant1,ant2,corr)) where abs(r-m)>{level}*s) h using (ant1,ant2,corr,{axis})"
+def _rms_sql(axis: str, level: float, source: str = "vamp", more: str = "") -> str:
+    return f"select v.scan,v.ant1,v.ant2,v.chan,v.corr, {more} flag or coalesce(hit,false) as flag from {source} v left join (select ant1,ant2,corr,{axis},true as hit from (select *, avg(r) over p as m, stddev_pop(r) over p as s from (select ant1,ant2,corr,{axis},sqrt(avg(amp*amp)) as r from {source} where not flag group by 1,2,3,4) window p as (partition by ant1,ant2,corr)) where abs(r-m)>{level}*s) h using (ant1,ant2,corr,{axis})"
 
 
 @register("r2_timestep_rms", sql(_rms_sql("scan", 1.7), "vamp"))
@@ -364,35 +384,93 @@ def r8(spark, d):
     return rfi.flagged(_plane(spark, d)).select(*_CELL, "flag")
 
 
-@register("k2_flag_and_average", sql("select scan,ant1,ant2,chan//4 as chan,corr,round(avg(re) filter (where not f),6)+0.0 as re,bool_and(f) as flag from (select *, flag or ant1 in (3,7,12) or ant2 in (3,7,12) as f from vis where scan between 0 and 3) group by 1,2,3,4,5", "vis"))
-def k2(spark, d):
-    from ..operators.calibrate import bin_channels
-
-    listed = spark.createDataFrame([(a,) for a in fx.FLAGGED_ANTENNAS], "ant bigint")
-    done = bin_channels(flags.flag_antennas(fx.vis(spark, d).where("scan between 0 and 3"), listed))
-    return r6(done.select("scan", "ant1", "ant2", "chan", "corr", "re", "flag"), "re")
+define("k2_listed", "select scan,ant1,ant2,chan,corr,re,im,amp, flag or ant1 in (3,7,12) or ant2 in (3,7,12) as flag from vamp", "vamp")
+define("k2_flagged", _rms_sql("scan", 1.7, "k2_listed", "v.re, v.im,"), "k2_listed")
+define("k2_timed", "select *, epoch(ts)/86400.0::double+2440587.5 as jd from (select *, timestamp '2024-01-01' + to_hours((scan*5)::int) as ts from k2_flagged)", "k2_flagged")
+define("k2_routed", "select *, hour(ts) between 1 and 14 or (lst>=11 and lst<=14) as processed from (select *, ((18.697374558+24.06570982441908*(jd-2451545.0)-118.281667*24/360)%24+24)%24 as lst from k2_timed) where scan%4<>3", "k2_timed")
+define("k2_packed", "select scan, sum(byte)::bigint as packed, count(*) as bytes from (select scan, pos//8, sum(case when flag then 1<<(7-(pos%8))::int else 0 end) as byte from (select scan, flag, row_number() over (partition by scan order by ant1,ant2,chan,corr)-1 as pos from k2_routed) group by 1,2) group by 1", "k2_routed")
 
 
-@register("k5_sidereal_cleaning", sql("select ant1,ant2,chan,corr,round(avg(re),6)+0.0 as re, bool_or(flag) as flag from vis where scan in (1,2) group by 1,2,3,4 having count(*)=2", "vis"))
+@register("k2_flag_and_average", sql("""
+select scan, route, ant1, ant2, chan, corr, round(re,6)+0.0 as re, flag, packed, bytes from (
+ select scan, 'averaged' as route, ant1, ant2, chan//4 as chan, corr, avg(re) filter (where not flag) as re, bool_and(flag) as flag from k2_routed where processed group by all
+ union all select scan, 'archived', ant1, ant2, chan, corr, re, flag from k2_routed where not processed) join k2_packed using (scan)""", "k2_packed", "k2_routed"))
+def k2(spark, d):
+    """Flag, pack the flags, then average by hour or sidereal time what is to be processed; the rest is archived as it is."""
+    listed = spark.createDataFrame([(a,) for a in fx.FLAGGED_ANTENNAS], "ant bigint")
+    found = rfi.rms_threshold(flags.flag_antennas(rfi.with_missing_flagged(_plane(spark, d)), listed), "scan", 1.7)
+    timed = found.withColumn("ts", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(hours=(F.col("scan") * 5).cast("int")))
+    routed = timeline.routed_by_hour(timed, "ts", 1, 14).withColumn("lst", sky.sidereal_hours(sky.julian_date("ts")))
+    routed = routed.withColumn("processed", F.col("processed") | F.col("lst").between(11, 14))
+    routed = written(timeline.not_done(routed, routed.where("scan % 4 = 3"), ["scan"]), "routed")
+    order = Window.partitionBy("scan").orderBy("ant1", "ant2", "chan", "corr")
+    packed = flags.pack_flags(routed.select("scan", "flag", (F.row_number().over(order) - 1).alias("pos")), "scan")
+    packed = packed.groupBy("scan").agg(F.sum("byte").alias("packed"), F.count("*").alias("bytes"))
+    columns = ["scan", "ant1", "ant2", "chan", "corr", "re", "flag"]
+    done = calibrate.bin_channels(routed.where("processed")).select(F.lit("averaged").alias("route"), *columns)
+    kept = routed.where("not processed").select(F.lit("archived").alias("route"), *columns)
+    return r6(done.unionByName(kept).join(packed, "scan"), "re")
+
+
+define("k5_pairs", "select a.scan as early, b.scan as late from (select distinct scan from vis) a join (select distinct scan from vis) b on b.scan=a.scan+1", "vis")
+define("k5_scale", "select late, t.ant1 as ant, t.chan, t.corr//2 as pol, case when t.flag or s.flag then 1.0 else sqrt(abs(t.re/nullif(s.re,0))) end as scale from k5_pairs join vis t on t.scan=late join vis s on s.scan=early and s.ant1=t.ant1 and s.ant2=t.ant2 and s.chan=t.chan and s.corr=t.corr where t.ant1=t.ant2 and t.corr in (0,3)", "k5_pairs")
+
+
+@register("k5_sidereal_cleaning", sql("""
+select p.late, e.ant1, e.ant2, e.chan, e.corr, round((l.re+e.re*coalesce(a.scale*b.scale,1))/2,6)+0.0 as re, e.flag or l.flag as flag from k5_pairs p join vis e on e.scan=p.early
+ join vis l on l.scan=p.late and l.ant1=e.ant1 and l.ant2=e.ant2 and l.chan=e.chan and l.corr=e.corr
+ left join k5_scale a on a.late=p.late and a.ant=e.ant1 and a.chan=e.chan and a.pol=e.corr//2 left join k5_scale b on b.late=p.late and b.ant=e.ant2 and b.chan=e.chan and b.pol=e.corr%2""", "k5_scale"))
 def k5(spark, d):
-    vis = fx.vis(spark, d).where("scan in (1, 2)")
-    keys = ["ant1", "ant2", "chan", "corr"]
-    both = flags.merged_over(vis, keys).groupBy(*keys).agg(F.avg("re").alias("re"), F.bool_or("flag").alias("flag"), F.count("*").alias("n")).where("n = 2")
+    """Scans one sidereal day apart: flags of both, the early one scaled to the late one, then their mean."""
+    vis = fx.vis(spark, d)
+    day = F.make_dt_interval(hours=F.lit(23), mins=F.lit(56), secs=F.lit(4.0))
+    times = vis.select("scan").distinct().select(F.lit(0).alias("spw"), F.col("scan").alias("scan_id"), (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + day * F.col("scan")).alias("ts"))
+    pairs = timeline.sidereal_pairs(times).select(F.col("early_id").alias("early"), F.col("late_id").alias("late"))
+    keys = ["late", "ant1", "ant2", "chan", "corr"]
+    early = vis.join(pairs.withColumnRenamed("early", "scan"), "scan").drop("scan")
+    late = vis.withColumnRenamed("scan", "late").join(pairs.select("late"), "late")
+    flag = flags.merged_pair(early, late, keys)
+    scale = calibrate.solve_gain_scale(late, early, ("late",))
+    scaled = calibrate.apply_gain_scale(early, scale, ("late",), lenient=True)
+    both = calibrate.integrated([scaled, late], tuple(keys)).where("n = 2").join(flag, keys)
     return r6(both.select(*keys, "re", "flag"), "re")
 
 
-@register("k6_quality_report", sql("select scan, floor(1000.0*count(*) filter (where re=0 and im=0)/count(*))::bigint > 1 as bad, count(*) filter (where flag) as flagged from vis group by 1", "vis"))
+define("k6_zero", "select scan, floor(1000.0*count(*) filter (where re=0 and im=0)/count(*))::bigint as share, count(*) filter (where flag) as flagged, count(*) as n from vis group by 1", "vis")
+
+
+@register("k6_quality_report", sql("""
+select 'zeros' as section, concat(scan, ': ', share) as line from k6_zero union all select 'flags', concat(scan, ': ', flagged, '/', n) from k6_zero
+union all select 'clean up', concat('scan ', scan) from k6_zero where share>1 union all select 'gains', concat('bad ',kind,': ',string_agg(id::varchar, ',' order by id)) from gainbad group by kind
+union all select 'antennas', concat(scan, ': ', string_agg(ant::varchar, ',' order by ant)) from dead group by scan""", "k6_zero", "gainbad", "dead"))
 def k6(spark, d):
+    """The report: zeros and flags of each scan, scans to clean up, bad gains, dead antennas."""
     vis = fx.vis(spark, d)
+    section = lambda df, name, line: df.select(F.lit(name).alias("section"), line.alias("line"))
     zero = flags.zero_fraction(vis, ["scan"], 1000)
-    told = vis.groupBy("scan").agg(F.count_if("flag").alias("flagged"))
-    return zero.join(told, "scan").select("scan", (F.col("zero_share") > 1).alias("bad"), "flagged")
-
-
-@register("k7_calibrator_scans", sql("select spw, ts from (select *, abs(lst-10.0) as dist, row_number() over (partition by spw order by round(abs(lst-10.0),9), ts) as r from lst where spw>=4) where r=1 and dist<=0.5", "lst"))
+    told = vis.groupBy("scan").agg(F.count_if("flag").alias("flagged"), F.count("*").alias("n"))
+    dead = flags.dead_antennas(vis, fx.OUTRIGGERS, 0.4, F.abs("re")).groupBy("scan").agg(F.concat_ws(",", F.transform(F.array_sort(F.collect_set("ant")), lambda a: a.cast("string"))).alias("ants"))
+    out = section(zero, "zeros", F.concat_ws(": ", "scan", "zero_share"))
+    for more in (
+        section(told, "flags", F.concat(F.col("scan"), F.lit(": "), F.col("flagged"), F.lit("/"), F.col("n"))),
+        section(zero.where("zero_share > 1"), "clean up", F.concat(F.lit("scan "), F.col("scan"))),
+        section(flags.quality_lines(flags.gain_quality(fx.gains(spark, d), 0.5, 0.5)), "gains", F.col("line")),
+        section(dead, "antennas", F.concat_ws(": ", "scan", "ants")),
+    ):
+        out = out.unionByName(more)
+    return out
+
+
+@register("k7_calibrator_scans", sql(f"""
+select spw, ts, mhz>=4 as used, hours from (select scan_id, spw, ts from (select *, abs(lst-10.0) as dist, row_number() over (partition by spw order by round(abs(lst-10.0),9), ts) as r from lst) where r=1 and dist<=0.5)
+ join (select scan_id, regexp_extract(name,'(\\d+)MHz',1)::int as mhz from names) using (scan_id) left join ({_W10}) b on b.hour=date_trunc('hour', ts)""", "lst", "names"))
 def k7(spark, d):
-    chosen = with_lst(spark, d).where("spw >= 4")
-    return timeline.best_per_group(chosen, ["spw"], F.round(F.abs(F.col("lst") - 10.0), 9), 0.5, "ts").select("spw", "ts")
+    """Of each band the scan closest to a sidereal time, whether the band is used, and the block of records it lies in."""
+    tagged = names(spark, d).select("scan_id", sky.frequency_tag("name").alias("mhz"))
+    chosen = timeline.best_per_group(with_lst(spark, d), ["spw"], F.round(F.abs(F.col("lst") - 10.0), 9), 0.5, "ts").join(tagged, "scan_id")
+    blocks = timeline.full_blocks(fx.scans(spark, d), "ts", 14)
+    both = chosen.withColumn("hour", F.date_trunc("hour", "ts").cast("timestamp_ntz")).join(blocks.withColumn("hour", F.col("hour").cast("timestamp_ntz")), "hour", "left")
+    return both.select("spw", "ts", (F.col("mhz") >= 4).alias("used"), "hours")
 
 
 @register("z1_incremental_ingest", "select event_id, user_id, value from events")

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import amp, phase_deg, rounded
 from ..operators import calibrate, flags, spectra
+from ..session import scratch_path
 from ..sources import fixtures as fx
+from ..sources import tables
 from ..sources.fixtures import FLAGGED_ANTENNAS, FLAGGED_BASELINES, OUTRIGGERS
 from .oracle import define, sql
 from .registry import register
@@ -110,7 +112,9 @@ def s2(spark, d):
 def s16(spark, d):
     auto = F.col("ant1") == F.col("ant2")
     out = fx.vis(spark, d).withColumns({"re": F.when(auto, F.col("re")).otherwise(2 * F.col("re")), "flag": auto | F.col("flag")})
-    return r6(out.select(*SAMPLE, "re", "flag"), "re")
+    path = scratch_path(spark, "vis")
+    tables.write_version(out, path, 2, "scan")
+    return r6(tables.read_version(spark, path, 2).select(*SAMPLE, "re", "flag"), "re")
 
 
 @register("j1_apply_bandpass", sql("select scan,ant1,ant2,chan,corr,round(cr,6)+0.0 as re,round(ci,6)+0.0 as im from calibrated", "calibrated"))
@@ -225,9 +229,10 @@ def s10(spark, d):
     return flags.pack_flags(_positions(spark, d), "scan")
 
 
-@register("s11_unpack_flags", sql("select scan, pos, flag from flagpos where pos < 64", "flagpos"))
+@register("s11_unpack_flags", sql("select scan, pos, flag from flagpos", "flagpos"))
 def s11(spark, d):
-    return flags.unpack_flags(flags.pack_flags(_positions(spark, d), "scan"), "scan", 64)
+    own = _positions(spark, d)
+    return flags.unpack_flags(flags.pack_flags(own, "scan"), "scan", own.groupBy("scan").agg(F.count("*").alias("n")))
 
 
 @register("a1_incoherent_sum", sql("select scan,chan,corr,round(amp,6) as amp,n from spectrum", "spectrum"))
@@ -443,8 +448,8 @@ def j18(spark, d):
 @register("j21_model_subtraction", sql("select v.scan,ant1,ant2,chan,corr,round(v.re-0.5*coalesce(m.re,0),6)+0.0 as re from vis v left join (select ant1,ant2,chan,corr,sum(re) as re from vis where scan<=1 group by all) m using (ant1,ant2,chan,corr)", "vis"))
 def j21(spark, d):
     vis = fx.vis(spark, d)
-    model = vis.where("scan <= 1").drop("scan").join(F.broadcast(vis.select("scan").distinct()))  # the scans of one run
-    return r6(calibrate.subtract_model(vis, model, 0.5).select(*SAMPLE, "re"), "re")
+    model = vis.where("scan <= 1")  # the first scans are the model of all
+    return r6(calibrate.subtract_model(vis, model, 0.5, keys=("ant1", "ant2", "chan", "corr")).select(*SAMPLE, "re"), "re")
 
 
 @register("j22_model_rearrange", sql("""
@@ -456,9 +461,11 @@ def j22(spark, d):
     return r6(calibrate.rearrange_model(vis, vis.withColumn("re", F.col("re") + 1)).select(*SAMPLE, "re"), "re")
 
 
-@register("s15_cube", sql("select 'sum' as type, corr, scan, chan as freq_idx, round(amp,6) as amp, round((13.398+chan*0.023926)::double,6) as mhz, round((2.0+scan*10.031/3600.0)::double,6) as hours from spectrum where amp is not null", "spectrum"))
+@register("s15_cube", sql("select 'sum' as type, corr, scan, chan as freq_idx, coalesce(round(amp,6),0) as amp, round((13.398+chan*0.023926)::double,6) as mhz, round((2.0+scan*10.031/3600.0)::double,6) as hours from (select distinct scan from spectrum) cross join (select distinct chan from spectrum) cross join (select distinct corr from spectrum) left join spectrum using (scan,chan,corr)", "spectrum"))
 def s15(spark, d):
-    cube = spectra.with_axes(spectra.dynamic_spectrum(fx.vis(spark, d), fx.gains(spark, d)), 2.0).where("present")
+    path = scratch_path(spark, "cube")
+    spectra.write_cube(spectra.with_axes(spectra.dynamic_spectrum(fx.vis(spark, d), fx.gains(spark, d)), 2.0), path)
+    cube = spark.read.parquet(path).withColumn("corr", F.col("corr").cast("bigint"))
     return r6(cube.drop("present"), "amp", "mhz", "hours")
 
 
@@ -467,10 +474,11 @@ def k1(spark, d):
     return r6(spectra.dynamic_spectrum(fx.vis(spark, d), fx.gains(spark, d)), "amp")
 
 
-@register("g2_unpack_rows", sql("select ant1, ant2, chan, corr, round(re,6)+0.0 as re from vis where scan=1", "vis"))
+@register("g2_unpack_rows", sql("select scan, ant1, ant2, chan, corr, round(re,6)+0.0 as re from vis", "vis"))
 def g2(spark, d):
-    packed = fx.vis(spark, d).where("scan = 1").groupBy("ant1", "ant2").agg(F.array_sort(F.collect_list(F.struct("chan", "corr", "re"))).alias("data"))
-    return r6(packed.select("ant1", "ant2", F.explode("data").alias("s")).select("ant1", "ant2", "s.chan", "s.corr", "s.re"), "re")
+    row = ["scan", "ant1", "ant2"]  # a row of the table holds the band's channels and four correlations
+    packed = fx.vis(spark, d).groupBy(*row).agg(F.array_sort(F.collect_list(F.struct("chan", "corr", "re"))).alias("data"))
+    return r6(packed.select(*row, F.explode("data").alias("s")).select(*row, "s.chan", "s.corr", "s.re"), "re")
 
 
 @register("g4_json_payload", sql("select ant, chan, pol, round(gr,4) as gr from gains", "gains"))
@@ -479,11 +487,16 @@ def g4(spark, d):
     return text.select(F.from_json("payload", "ant bigint, chan bigint, pol int, gr double").alias("p")).select("p.*")
 
 
-@register("u1_integrate", sql("select field_id, count(*) as n, round(sum(re),4)+0.0 as re from (select 0 as field_id, re from vis where scan=1 union all select 0, re from vis where scan=2) group by 1", "vis"))
+define("rephased", """
+select scan,ant1,ant2,chan,corr,re*cos(t)-im*sin(t) as re,re*sin(t)+im*cos(t) as im from (
+  select vis.*, -2*pi()*(u*cos(d)*sin(dr)+v*(sin(d)*cos(d0)-cos(d)*sin(d0)*cos(dr))+w*(sin(d)*sin(d0)+cos(d)*cos(d0)*cos(dr)-1))*f_hz/299792458.0::double as t
+  from vis join uvw using (ant1,ant2) join freqs using (chan), (select radians(37.5::double) as d, radians(37.0::double) as d0, radians(1.0::double) as dr))""", "vis", "uvw", "freqs")
+
+
+@register("u1_integrate", sql("select 0 as field_id, ant1, ant2, chan, corr, count(*) as n, round(avg(re),5)+0.0 as re, round(avg(im),5)+0.0 as im from rephased group by 2,3,4,5", "rephased"))
 def u1(spark, d):
-    vis = fx.vis(spark, d)
-    out = vis.where("scan = 1").unionByName(vis.where("scan = 2")).withColumn("field_id", F.lit(0))
-    return out.groupBy("field_id").agg(F.count("*").alias("n"), rounded(F.sum("re"), 4).alias("re"))
+    done = calibrate.phase_shift(fx.vis(spark, d), fx.uvw(spark, d), fx.freqs(spark, d), *PHASE)
+    return r6(calibrate.integrated([done]), "re", "im", digits=5)
 
 
 @register("u5_combine_windows", sql("select ant, pol, (pol*24+chan) as chan, round(gr,6) as gr from gains", "gains"))

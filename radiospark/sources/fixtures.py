@@ -115,3 +115,14 @@ def flaglist(spark: SparkSession, sf_dir: str) -> DataFrame:
 def calibrators(spark: SparkSession) -> DataFrame:
     """(label, ra, dec, flux, alpha): the four bright calibrators."""
     return spark.createDataFrame(list(CALIBRATORS), "label string, ra double, dec double, flux double, alpha double")
+
+
+def horizon(spark: SparkSession) -> DataFrame:
+    """(az_i, horizon): the altitude of the mountains for each whole degree of azimuth, 0 to 360."""
+    return spark.range(361).select(F.col("id").cast("int").alias("az_i"), (5 + 5 * F.sin(F.radians("id"))).alias("horizon"))
+
+
+def antennas(spark: SparkSession) -> DataFrame:
+    """(ant, name, outrigger): the antenna of each input of the correlator."""
+    name = F.format_string("LWA-%03d", F.col("id") + 1)
+    return spark.range(N_ANT).select(F.col("id").alias("ant"), name.alias("name"), F.col("id").isin(*OUTRIGGERS).alias("outrigger"))

@@ -37,10 +37,21 @@ def scan_files(names: DataFrame, start: str, end: str) -> DataFrame:
     return found.where(F.col("ts").between(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")))
 
 
-def catalogue(df: DataFrame, date_obs: str, jd_obs: float) -> DataFrame:
-    """The columns of a source catalogue; x, y and local_rms are null if absent; date and Julian date as columns."""
+def catalogue(df: DataFrame, date_obs: str, jd_obs: float, *keys: str) -> DataFrame:
+    """The ``keys`` and the columns of a source catalogue; x, y and local_rms are null if absent; date and Julian date as columns."""
     doubles = ("ra", "dec", "peak_flux", "a", "b", "pa")
     columns = [F.col(c).cast("double").alias(c) for c in doubles]
     for c, kind in (("x", "bigint"), ("y", "bigint"), ("local_rms", "double")):
         columns.append((F.col(c) if c in df.columns else F.lit(None)).cast(kind).alias(c))
-    return df.select(*columns, F.lit(date_obs).alias("date_obs"), F.lit(float(jd_obs)).alias("jd_obs"))
+    return df.select(*keys, *columns, F.lit(date_obs).alias("date_obs"), F.lit(float(jd_obs)).alias("jd_obs"))
+
+
+def write_version(df: DataFrame, path: str, version: int, by: str) -> None:
+    """A table with new columns as a new version beside those before; no version is written twice."""
+    df.write.partitionBy(by).parquet(f"{path}/version={version}")
+
+
+def read_version(spark: SparkSession, path: str, version: int) -> DataFrame:
+    """A version of a table; partition columns come back as whole numbers."""
+    out = spark.read.parquet(f"{path}/version={version}")
+    return out.withColumns({c: F.col(c).cast("bigint") for c, kind in out.dtypes if kind == "int"})
