@@ -1,8 +1,9 @@
 """Interference flagging of time x channel planes.
 
 Planes are keyed by baseline and correlation; ``plane`` names those columns. Statistics, rank operator and mask algebra are
-plain aggregations and windows; SumThreshold and the high-pass filter work on one plane at a time in numpy, a plane being
-of the instrument's own size (times of one snapshot set x channels).
+plain aggregations and windows; SumThreshold and the high-pass filter work on one plane at a time in numpy. Long
+observations have a span of scans among the columns of ``plane``, so that a plane is of bounded size (scans of a span x
+channels).
 """
 
 from __future__ import annotations

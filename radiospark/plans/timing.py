@@ -332,12 +332,21 @@ def _plane(spark, d):
     return fx.vis(spark, d).where("ant1 != ant2").withColumn("amp", amp())
 
 
+#: Planes for sequence algorithms: a baseline, a correlation and a span of so many scans, whatever the observation's length.
+_SPAN = 360
+_SPANNED = [*rfi.PLANE, "span"]
+
+
+def _spans(spark, d):
+    return _plane(spark, d).withColumn("span", F.floor(F.col("scan") / float(_SPAN)))
+
+
 _CELL = ["scan", "ant1", "ant2", "chan", "corr"]
 
 
 @register("r1_sum_threshold")
 def r1(spark, d):
-    return rfi.sum_thresholded(_plane(spark, d), 3.0).select(*_CELL, "flag")
+    return rfi.sum_thresholded(_spans(spark, d), 3.0, _SPANNED).select(*_CELL, "flag")
 
 
 def _rms_sql(axis: str, level: float, source: str = "vamp", more: str = "") -> str:
@@ -356,7 +365,7 @@ def r3(spark, d):
 
 @register("r4_high_pass")
 def r4(spark, d):
-    return r6(rfi.high_passed(_plane(spark, d)).select(*_CELL, "residual"), "residual")
+    return r6(rfi.high_passed(_spans(spark, d), plane=_SPANNED).select(*_CELL, "residual"), "residual")
 
 
 @register("r5_rank_operator", sql("""
@@ -381,7 +390,7 @@ def r7(spark, d):
 
 @register("r8_flag_schedule")
 def r8(spark, d):
-    return rfi.flagged(_plane(spark, d)).select(*_CELL, "flag")
+    return rfi.flagged(_spans(spark, d), plane=_SPANNED).select(*_CELL, "flag")
 
 
 define("k2_listed", "select scan,ant1,ant2,chan,corr,re,im,amp, flag or ant1 in (3,7,12) or ant2 in (3,7,12) as flag from vamp", "vamp")

@@ -41,6 +41,5 @@ def test_against_sql(spark, sf_dir, duck, name):
         assert all(a == b or isinstance(a, float) and isinstance(b, float) and abs(a - b) <= 2e-5 * max(1, abs(a)) for a, b in zip(g, w)), (g, w)
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.queries()) - set(registry.oracle_sql())))
-def test_runs(spark, sf_dir, name):
-    assert registry.queries()[name](spark, sf_dir).count() >= 0
+def test_queries_without_sql_are_tested_elsewhere():
+    assert set(registry.queries()) - set(registry.oracle_sql()) == {"r1_sum_threshold", "r4_high_pass", "r8_flag_schedule"}  # test_interference.py
