@@ -1,15 +1,16 @@
 """Operator 7: near-duplicate embeddings by PCA-ordered tiled comparison.
 
 Unit vectors are turned to the principal axes of a bounded sample. Turning changes no cosine, it only brings the large
-components to the front. Vectors are sorted by their cell on the first axes and cut into tiles. A pair of tiles is left
-out if the boxes around them are further apart than the threshold allows. Otherwise the products of the ``lead`` first
-components are accumulated for all pairs at once, together with the product of the norms of what is left; where the sum
-of both, an upper bound, cannot reach the threshold, the pair stops. For the few that go on, the cosine is taken in
-double precision from the vectors as given.
+components to the front. Vectors are sorted by their cell on the first axes and cut into tiles, and neighbouring tiles into
+buckets. A pair of tiles is left out if the boxes around them are further apart than the threshold allows. Otherwise the
+products of the components up to the first of ``stops`` are accumulated for all pairs at once, together with the product of
+the norms of what is left; where the sum of both, an upper bound, cannot reach the threshold, the pair stops. The others go
+on to the next stop. For the few that pass the last, the cosine is taken in double precision from the vectors as given.
 
-All pairs of tiles meet in groups (i, j) of buckets: a vector is sent to as many tasks as there are buckets, every group
-is of bounded size, no task has a key of its own to grow, and equal vectors are compared once, with their number. Within
-a pair of tiles only counts and a spanning forest of the links leave the task, never all pairs of a group.
+Tiles meet in groups (i, j) of buckets. Which tiles can link with which buckets is settled on a table of boxes first, so a
+tile is sent to those groups alone. Tiles, buckets and the sample are bounded in bytes, no task has a key of its own to
+grow, and equal vectors are compared once, with their number. Within a pair of tiles only counts and a spanning forest of
+the links leave the task, never all pairs of a group.
 
 Exact for any number of vectors and any rotation; the work is quadratic in tiles that the bounds cannot rule out.
 
@@ -27,16 +28,19 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..operators.ordering import numbered
 from .common import Shared, lean, release, written
 from .graph import connected_components
 
 THRESHOLD = 0.95
-TILE = 1024
-LEAD = 16
-SAMPLE = 20_000
-#: Buckets that tiles are dealt to: at least so many, and no more tiles in a bucket than this.
-LEAST_BUCKETS, BUCKET_TILES = 12, 64
+#: Vectors of a tile at most, and bytes of a tile, of a bucket of tiles and of the sample, about; vectors are held as doubles.
+TILE, TILE_BYTES, BUCKET_BYTES, SAMPLE, SAMPLE_BYTES = 1024, 1 << 20, 32 << 20, 20_000, 32 << 20
+#: Numbers of leading components after which pairs may stop.
+STOPS = (8, 16, 32)
+#: Buckets at least, so that small tables are dealt over some tasks.
+LEAST_BUCKETS = 12
 CELL_AXES, BOX_AXES = 3, 8
 SLACK = 1e-5
 
@@ -66,7 +70,9 @@ def _usable(vectors: DataFrame) -> DataFrame:
 
 
 def _tiles(nodes: DataFrame, basis: Shared, threshold: float, tile: int) -> DataFrame:
-    """(tile, dim, n, nodes, many, rows): up to ``tile`` vectors each, near each other on the leading axes."""
+    """(tile, dim, low, high, nodes, many, rows): up to ``tile`` vectors each, near each other on the leading axes, and the box
+    around them."""
+    single = nodes.schema["v"].dataType.elementType == T.FloatType()  # tiles keep the vectors' own precision
     width = float(np.sqrt(2 - 2 * threshold)) or 1.0
 
     @lean
@@ -83,7 +89,7 @@ def _tiles(nodes: DataFrame, basis: Shared, threshold: float, tile: int) -> Data
             yield pa.RecordBatch.from_arrays([*batch.columns, *named], names=[*batch.schema.names, *(f"c{k}" for k in range(CELL_AXES))])
 
     keys = [f"c{k}" for k in range(CELL_AXES)]
-    placed = nodes.mapInArrow(cells, "v array<double>, node long, many long, " + ", ".join(f"{k} int" for k in keys))
+    placed = nodes.mapInArrow(cells, f"v {nodes.schema['v'].dataType.simpleString()}, node long, many long, " + ", ".join(f"{k} int" for k in keys))
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = placed.withColumn("dim", F.size("v")).repartitionByRange(parts, "dim", *keys, "node").sortWithinPartitions("dim", *keys, "node")
 
@@ -97,32 +103,40 @@ def _tiles(nodes: DataFrame, basis: Shared, threshold: float, tile: int) -> Data
             n += 1
             rows = np.array([h[2] for h in held], dtype=np.float64)
             ids, many = (np.array([h[k] for h in held], dtype=np.int64) for k in (0, 1))
-            return pa.RecordBatch.from_pylist([{"tile": (part << 33) | n, "dim": rows.shape[1], "n": len(rows), "nodes": ids.tobytes(), "many": many.tobytes(), "rows": rows.tobytes()}])
+            front = np.zeros((len(rows), BOX_AXES))
+            front[:, : rows.shape[1]] = turned(rows, basis.value)[:, :BOX_AXES]
+            whole = rows.astype(np.float32) if single else rows
+            return pa.RecordBatch.from_pylist([{
+                "tile": (part << 33) | n, "dim": rows.shape[1], "low": front.min(axis=0).tolist(), "high": front.max(axis=0).tolist(),
+                "nodes": ids.tobytes(), "many": many.tobytes(), "rows": whole.tobytes(),
+            }])
 
         for batch in batches:
             for node, many, v in zip(*(batch.column(c).to_pylist() for c in ("node", "many", "v"))):
-                if held and (len(held) == tile or len(held[0][2]) != len(v)):
+                if held and (len(held) == tile or 8 * len(held) * len(v) >= TILE_BYTES or len(held[0][2]) != len(v)):
                     yield made()
                     held = []
                 held.append((node, many, v))
         if held:
             yield made()
 
-    return placed.mapInArrow(cut, "tile long, dim long, n long, nodes binary, many binary, rows binary")
+    return placed.mapInArrow(cut, "tile long, dim long, low array<double>, high array<double>, nodes binary, many binary, rows binary")
 
 
 class _Tile:
-    def __init__(self, row: dict, basis: dict[int, np.ndarray], lead: int):
+    def __init__(self, row: dict, basis: dict[int, np.ndarray], stops: tuple[int, ...]):
         self.nodes, self.many = np.frombuffer(row["nodes"], np.int64), np.frombuffer(row["many"], np.int64)
-        self.rows = np.frombuffer(row["rows"], np.float64).reshape(len(self.nodes), -1)
+        single = len(row["rows"]) == 4 * len(self.nodes) * row["dim"]
+        self.rows = np.frombuffer(row["rows"], np.float32 if single else np.float64).reshape(len(self.nodes), -1).astype(np.float64)
         axes_ = turned(self.rows, basis)
-        self.low, self.high = axes_[:, :BOX_AXES].min(axis=0), axes_[:, :BOX_AXES].max(axis=0)
-        left = np.sqrt(np.maximum(0, 1 - (axes_[:, :lead] ** 2).sum(axis=1)))
-        self.front = np.concatenate([axes_[:, :lead], left[:, None]], axis=1).astype(np.float32)
+        self.low, self.high = np.array(row["low"]), np.array(row["high"])
+        self.axes = axes_[:, : stops[-1]].astype(np.float32)
+        self.left = [np.sqrt(np.maximum(0, 1 - (axes_[:, :s] ** 2).sum(axis=1))).astype(np.float32) for s in stops]
+        self.front = np.concatenate([self.axes[:, : stops[0]], self.left[0][:, None]], axis=1)
         self.norm = np.linalg.norm(self.rows, axis=1)
 
 
-def links(a: _Tile, b: _Tile, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+def links(a: _Tile, b: _Tile, threshold: float, stops: tuple[int, ...] = STOPS) -> tuple[np.ndarray, np.ndarray]:
     """Numbers (in a, in b) of the linked pairs; within one tile each pair once."""
     none = np.zeros(0, np.int64)
     if a.rows.shape[1] != b.rows.shape[1]:
@@ -133,11 +147,17 @@ def links(a: _Tile, b: _Tile, threshold: float) -> tuple[np.ndarray, np.ndarray]
     i, j = np.nonzero(a.front @ b.front.T >= threshold - SLACK)
     if a is b:
         i, j = i[i < j], j[i < j]
-    keep = np.zeros(len(i), dtype=bool)
-    for s in range(0, len(i), 1 << 16):
-        x, y = i[s : s + (1 << 16)], j[s : s + (1 << 16)]
-        keep[s : s + (1 << 16)] = np.einsum("ij,ij->i", a.rows[x], b.rows[y]) / (a.norm[x] * b.norm[y]) >= threshold
-    return i[keep], j[keep]
+    found = []
+    for s in range(0, len(i), 1 << 15):
+        x, y = i[s : s + (1 << 15)], j[s : s + (1 << 15)]
+        upto, done = np.zeros(len(x), np.float32), 0
+        for stop, left_a, left_b in zip(stops, a.left, b.left):  # products so far, and a bound of the rest
+            upto = upto + np.einsum("ij,ij->i", a.axes[x, done:stop], b.axes[y, done:stop])
+            on = upto + left_a[x] * left_b[y] >= threshold - SLACK
+            x, y, upto, done = x[on], y[on], upto[on], stop
+        sure = np.einsum("ij,ij->i", a.rows[x], b.rows[y]) / (a.norm[x] * b.norm[y]) >= threshold
+        found.append((x[sure], y[sure]))
+    return (np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])) if found else (none, none)
 
 
 def _forest(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -155,13 +175,25 @@ def _forest(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         root = new
 
 
-def _compared(tiles: DataFrame, basis: Shared, buckets: int, threshold: float, lead: int) -> DataFrame:
+def _sent(tiles: DataFrame, buckets: int, threshold: float) -> DataFrame:
+    """The tiles with group and side, once for each group of buckets (i, j) in which they can have a link."""
+    count = tiles.count()
+    light = written(numbered(tiles.select("tile", "dim", "low", "high"), ["tile"], "place").select("tile", "dim", "low", "high", F.expr(f"cast(place * {buckets} div {max(1, count)} as int)").alias("bucket")), "boxes")
+    bound = lambda f, c: F.array(*(f(F.col(c)[k]) for k in range(BOX_AXES)))
+    boxes = light.groupBy(F.col("bucket").alias("other"), "dim").agg(bound(F.min, "low").alias("low2"), bound(F.max, "high").alias("high2"))
+    met = light.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))).join(boxes, ["other", "dim"])
+    apart = [F.greatest(F.lit(0.0), F.col("low")[k] - F.col("high2")[k], F.col("low2")[k] - F.col("high")[k]) for k in range(BOX_AXES)]
+    near = met.where(sum((g * g for g in apart), F.lit(0.0)) <= 2 - 2 * threshold + SLACK)
+    where = near.groupBy("tile", "bucket").agg(F.collect_list("other").alias("others"))  # one number a bucket at most
+    out = tiles.join(where, "tile").withColumn("other", F.explode("others")).drop("others")
+    i, j = F.least("bucket", "other"), F.greatest("bucket", "other")
+    return out.withColumn("side", (F.col("bucket") != i).cast("int")).withColumn("group", i * buckets + j).drop("bucket", "other")
+
+
+def _compared(tiles: DataFrame, basis: Shared, buckets: int, threshold: float, stops: tuple[int, ...]) -> DataFrame:
     """(node, links, root): for each group of tiles, a node's number of links there and a node that they lead to."""
-    bucket = F.pmod(F.xxhash64("tile"), F.lit(buckets)).cast("int")
-    own = tiles.withColumn("bucket", bucket)
-    pair = F.transform(F.sequence(F.lit(0), F.lit(buckets - 1)), lambda k: F.struct(F.least("bucket", k).alias("i"), F.greatest("bucket", k).alias("j")))
-    sent = own.withColumn("pair", F.explode(pair)).withColumn("side", (F.col("bucket") != F.col("pair.i")).cast("int"))
-    sent = sent.withColumn("group", F.col("pair.i") * buckets + F.col("pair.j")).drop("pair", "bucket").repartition("group").sortWithinPartitions("group", "side", "tile")
+    parts = max(int(tiles.sparkSession.conf.get("spark.sql.shuffle.partitions")), buckets)
+    sent = _sent(tiles, buckets, threshold).repartition(parts, "group").sortWithinPartitions("group", "side", "tile")
 
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,7 +205,7 @@ def _compared(tiles: DataFrame, basis: Shared, buckets: int, threshold: float, l
             return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in arrays], names=["node", "links", "root"])
 
         def met(a: _Tile, b: _Tile) -> None:
-            i, j = links(a, b, threshold)
+            i, j = links(a, b, threshold, stops)
             if a is b:
                 same = np.flatnonzero(a.many > 1)  # equal vectors link with each other
                 if len(same):
@@ -194,7 +226,7 @@ def _compared(tiles: DataFrame, basis: Shared, buckets: int, threshold: float, l
                         yield told()
                         gathered = []
                     current, left = row["group"], []
-                own = _Tile(row, basis.value, lead)
+                own = _Tile(row, basis.value, stops)
                 i, j = divmod(current, buckets)
                 for other in left if i == j or row["side"] else []:
                     met(other, own)
@@ -208,16 +240,19 @@ def _compared(tiles: DataFrame, basis: Shared, buckets: int, threshold: float, l
     return sent.mapInArrow(run, "node long, links long, root long")
 
 
-def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD, tile: int = TILE, lead: int = LEAD) -> DataFrame:
+def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD, tile: int = TILE, stops: tuple[int, ...] = STOPS) -> DataFrame:
     """One row a vector: vec_id, n_links, component_id, kept."""
     spark = vectors.sparkSession
-    given = vectors.select(F.col(vec_id).alias("vec_id"), F.col(vector).cast("array<double>").alias("v"))
+    kind = "array<float>" if vectors.schema[vector].dataType == T.ArrayType(T.FloatType()) else "array<double>"
+    given = vectors.select(F.col(vec_id).alias("vec_id"), F.col(vector).cast(kind).alias("v"))
     nodes = written(_usable(given), "vectors")
-    sample = nodes.select("v").orderBy(F.xxhash64("v"), "v").limit(SAMPLE).collect()  # bounded: it only orders axes
+    longest = nodes.agg(F.max(F.size("v"))).first()[0] or 1
+    sample = nodes.select("v").orderBy(F.xxhash64("v"), "v").limit(min(SAMPLE, SAMPLE_BYTES // (8 * longest) + 1)).collect()  # it only orders axes
     basis = Shared(spark, axes([np.array(r["v"]) for r in sample]))
     tiles = written(_tiles(nodes, basis, threshold, tile), "tiles")
-    buckets = max(LEAST_BUCKETS, -(-tiles.count() // BUCKET_TILES))
-    met = written(_compared(tiles, basis, buckets, threshold, lead), "links")
+    size = tiles.agg(F.sum(F.length("nodes") * F.col("dim"))).first()[0] or 0  # 8 bytes a node, 8 a component
+    buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
+    met = written(_compared(tiles, basis, buckets, threshold, stops), "links")
     components = connected_components(met.where("node != root"), "node", "root")
     degree = met.groupBy("node").agg(F.sum("links").alias("n_links"))
     known = nodes.select("node", "v").join(degree, "node", "left").join(components, "node", "left")

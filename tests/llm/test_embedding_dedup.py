@@ -42,12 +42,27 @@ def test_against_brute_force(spark):
     chain = [(1000 + k, [math.cos(0.3 * k), math.sin(0.3 * k)], "x") for k in range(9)]
     odd = [(2000, None, "x"), (2001, [], "x"), (2002, [0.0] * 20, "x"), (2003, [float("nan")] * 20, "x"), (2004, [None] + [1.0] * 19, "x"), (2005, [float("inf")] * 20, "x"), (None, rows[0][1], "x"), (2006, [3.0], "x"), (2007, [5.0], "x"), (2008, [-5.0], "x")]
     rows += chain + odd + rows[:5] + [(3000 + k, rows[7][1], "x") for k in range(6)]
-    got = E.near_duplicates(spark.createDataFrame(rows, SCHEMA), tile=32, lead=4)
+    got = E.near_duplicates(spark.createDataFrame(rows, SCHEMA), tile=32, stops=(2, 4, 9))
     assert got.columns == ["vec_id", "n_links", "component_id", "kept"]
     assert sorted([tuple(r) for r in got.collect()], key=str) == brute(rows)
     assert E.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_tiles_go_to_near_buckets_alone(spark, monkeypatch):
+    """Bytes bound tiles and buckets, and a bucket out of reach is not sent to."""
+    rng = np.random.default_rng(4)
+    centres = np.eye(8)
+    rows = [(i, (centres[i % 8] + rng.normal(size=8) * 0.02).tolist(), "x") for i in range(640)]
+    monkeypatch.setattr(E, "TILE_BYTES", 16 * 64)
+    sent = []
+    where = E._sent
+    monkeypatch.setattr(E, "_sent", lambda *args: sent.append(E.written(where(*args), "t")) or sent[0])
+    got = E.near_duplicates(spark.createDataFrame(rows, SCHEMA))
+    assert sorted([tuple(r) for r in got.collect()], key=str) == brute(rows)
+    tiles = sent[0].select("tile").distinct().count()
+    assert tiles >= 40 and sent[0].count() < 6 * tiles
+
+
 def test_whole_table(spark, sf_dir):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
     assert sorted([tuple(r) for r in op7_embedding_dedup(spark, sf_dir).collect()], key=str) == brute(rows)
