@@ -39,6 +39,8 @@ BITS, PROBES = 12, 8
 #: Bytes of text for each segment of the filter and for each block of texts; tokens that a task counts at once.
 SEGMENT_BYTES, BLOCK_BYTES, FLUSH_TOKENS = 8 << 20, 8 << 20, 1_500_000
 LEAST_PARTS = 40
+#: Segments or blocks of a task, about.
+TASK_PARTS = 4
 END, START = np.uint64(0x9DDFEA08EB382D69), np.uint64(0xC3A5C85C97CB3127)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes of a pair's hash that are kept: its 48 high bits.
@@ -135,6 +137,11 @@ class LogBloom:
         return out
 
 
+def _dealt(df: DataFrame, key: str, groups: int) -> DataFrame:
+    """``df`` dealt to tasks by ``key``, a few of its ``groups`` each: the number of tasks grows with the input."""
+    return df.repartition(max(LEAST_PARTS, groups // TASK_PARTS), key)
+
+
 @dataclass
 class Model:
     """parts: (segment, words, counts, filter); tokens: N; distinct: V; texts: number of training texts."""
@@ -194,7 +201,7 @@ def train(docs: DataFrame, text_bytes: int) -> Model:
         })
 
     counted = docs.select("text").mapInArrow(count, "segment long, words binary, word_counts binary, pairs binary, pair_counts binary")
-    parts = written(counted.groupBy("segment").applyInArrow(merge, "segment long, words binary, counts binary, filter binary, tokens long, distinct long, texts long"), "model")
+    parts = written(_dealt(counted, "segment", segments).groupBy("segment").applyInArrow(merge, "segment long, words binary, counts binary, filter binary, tokens long, distinct long, texts long"), "model")
     n = parts.agg(F.sum("tokens"), F.sum("distinct"), F.sum("texts")).first()
     return Model(parts, segments, n[0] or 0, n[1] or 0, n[2] or 0)
 
@@ -203,8 +210,8 @@ def score(docs: DataFrame, model: Model, text_bytes: int) -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score) of every whole text of ``docs`` (doc_id, text)."""
     blocks = max(LEAST_PARTS, text_bytes // BLOCK_BYTES)
     segments, total, distinct, texts = model.segments, model.tokens, model.distinct, model.texts
-    own = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.col("text")))
-    dealt = docs.select(F.pmod(own, F.lit(blocks)).alias("block"), "doc_id", "text")
+    own = F.xxhash64(F.col("doc_id").cast("string"), "text")  # rows with one id or none are dealt by their texts
+    dealt = _dealt(docs.select(F.pmod(own, F.lit(blocks)).alias("block"), "doc_id", "text"), "block", blocks)
 
     def texts_of(rows: pa.Table) -> list[bytes]:
         return [t or b"" for t in rows.column("text").cast(pa.large_binary()).to_pylist()]
@@ -255,7 +262,9 @@ def score(docs: DataFrame, model: Model, text_bytes: int) -> DataFrame:
 
     asked = dealt.groupBy("block").applyInArrow(ask, "block long, segment long, words binary, pairs binary")
     parts = model.parts.select("segment", "words", "counts", "filter")
+    asked, parts = _dealt(asked, "segment", segments), _dealt(parts, "segment", segments)
     answers = asked.groupBy("segment").cogroup(parts.groupBy("segment")).applyInArrow(answer, "block long, segment long, counts binary, levels binary")
+    answers = _dealt(answers, "block", blocks)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(tell, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double")
 
