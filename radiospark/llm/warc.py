@@ -80,6 +80,16 @@ def records_of(name: str, url: str | None, payload: bytes, first: str | None, se
     return out
 
 
+def unzipped(data: bytes) -> bytes:
+    """All members of a gzip file: archives often have one a record."""
+    out = []
+    while data:
+        member = zlib.decompressobj(31)
+        out.append(member.decompress(data) + member.flush())
+        data = member.unused_data.lstrip(b"\0")
+    return b"".join(out)
+
+
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """(headers with lower-case names, block) of each record of an archive."""
     at = 0
@@ -150,7 +160,7 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
                 rows, size = [], 0
                 data = content.as_py()
                 if data[:2] == b"\x1f\x8b":
-                    data = zlib.decompress(data, 31)
+                    data = unzipped(data)
                 for h, block in parse(data):
                     own = h["warc-record-id"].strip("<>")
                     total = h.get("warc-segment-total-length")

@@ -1,3 +1,4 @@
+import gzip
 import hashlib
 import random
 
@@ -58,3 +59,10 @@ def test_against_sql(spark, sf_dir):
     con = duckdb.connect()
     con.execute(f"create view pages as select * from '{sf_dir}/pages.parquet'")
     assert sorted(map(str, (tuple(r) for r in op5_warc(spark, sf_dir).collect()))) == sorted(map(str, con.execute(OP5_SQL).fetchall()))
+
+
+def test_archives_with_a_gzip_member_a_record(spark, tmp_path):
+    records = [r for k in range(5) for r in warc.records_of(f"urn:page:{k}:{k}", None, b"body %d " % k * 900, None, 1000, 300)]
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(gzip.compress(r + warc.END) for r in records))
+    got = warc.reassembled(warc.read_segments(spark, str(tmp_path))).collect()
+    assert sorted((r["name"], bytes(r["payload"]), r["problem"]) for r in got) == [(f"urn:page:{k}:{k}", b"body %d " % k * 900, None) for k in range(5)]
