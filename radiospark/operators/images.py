@@ -22,10 +22,10 @@ def box(x0: float, y0: float, r: float) -> Column:
 
 
 def masked_boxes(pixels: DataFrame, boxes: DataFrame) -> DataFrame:
-    """Add ``mask``, 1 inside any of the ``boxes`` (x0, y0, width; odd widths; a short list)."""
+    """Add ``mask``, 1 inside any of the ``boxes`` (x0, y0, width; odd widths, none or less masks nothing)."""
     half = F.floor(F.col("width") / 2.0)
-    hit = (F.abs(F.col("x") - F.col("x0")) <= half) & (F.abs(F.col("y") - F.col("y0")) <= half)
-    flat = pixels.select("x", "y").distinct().join(F.broadcast(boxes), hit, "left_semi").withColumn("mask", F.lit(1))
+    side = lambda c: F.explode(F.sequence(F.ceil(F.col(c) - half), F.floor(F.col(c) + half)))
+    flat = boxes.where("width > 0").select("*", side("x0").alias("x")).select("x", side("y0").alias("y")).distinct().withColumn("mask", F.lit(1))
     return pixels.join(flat, ["x", "y"], "left").withColumn("mask", F.coalesce("mask", F.lit(0)))
 
 

@@ -40,9 +40,17 @@ def circular_hours(a: Column, b: Column) -> Column:
 
 
 def in_transit(df: DataFrame, sources: DataFrame, lst: str, window_minutes: float) -> DataFrame:
-    """Every row with each source (label, ra in degrees; a handful) whose transit is within half a window."""
-    both = df.join(F.broadcast(sources.select("label", F.col("ra").alias("_ra"))))
-    return both.where(circular_hours(F.col(lst), F.col("_ra") / 15.0) <= window_minutes / 120.0).drop("_ra")
+    """Every row with each source (label, ra in degrees) whose transit is within half a window.
+
+    The day is cut into slots of half a window or more; a source meets the rows of its slot and the two beside it.
+    """
+    reach = window_minutes / 120.0
+    n = max(1, int(24.0 // reach)) if reach > 0 else 24
+    slot = lambda hours: F.floor(F.pmod(hours, F.lit(24.0)) * n / 24.0).cast("bigint")
+    beside = F.array_distinct(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda k: F.pmod(slot(F.col("_ra") / 15.0) + k, F.lit(n))))
+    named = sources.select("label", F.col("ra").alias("_ra")).withColumn("_slot", F.explode(beside))
+    both = df.withColumn("_slot", slot(F.col(lst))).join(named, "_slot")
+    return both.where(circular_hours(F.col(lst), F.col("_ra") / 15.0) <= reach).drop("_ra", "_slot")
 
 
 def above_horizon(df: DataFrame, horizon: DataFrame, least: float) -> DataFrame:

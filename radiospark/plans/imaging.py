@@ -11,6 +11,7 @@ from ..session import scratch_path, written
 from ..sources import fixtures as fx
 from .oracle import again, define, sql
 from .registry import register
+from .visibility import ENTRIES, mueller_of_gains
 
 BOX = "x>=2 and x<6 and y>=2 and y<6"
 #: The sky of the fixture images: SIN plane around (180, 40), 2 degrees a pixel, reference pixel 4.5.
@@ -415,6 +416,19 @@ def f11(spark, d):
     return cat.select("id", rounded(F.try_divide("peak_flux", sky.beam_gain("el")), 4).alias("flux"))
 
 
+define("beams", "select chan, " + ", ".join(f"avg(m{i}{j}) as m{i}{j}" for i in range(4) for j in {0, i}) + " from mueller group by 1", "mueller")
+
+
+@register("f11_leakage", sql("""
+select p.image_id, p.x, p.y, round((p.val-case p.stokes when 0 then 0 when 1 then m10*coalesce(i.val,0) when 2 then m20*coalesce(i.val,0) else m30*coalesce(i.val,0) end)/nullif(case p.stokes when 0 then m00 when 1 then m11 when 2 then m22 else m33 end,0),6)+0.0 as val
+from (select *, band%4 as stokes, band//4 as part from banded) p join beams on chan=seq%24 left join (select band//4 as part, seq, x, y, val from banded where band%4=0) i using (part,seq,x,y)""", "banded", "beams"))
+def f11_leakage(spark, d):
+    """Four bands as the Stokes images of a time, under the mean Mueller matrix of a channel."""
+    rows = banded(spark, d).withColumns({"stokes": F.col("band") % 4, "part": F.expr("band div 4"), "chan": F.col("seq") % fx.N_CHAN})
+    means = mueller_of_gains(spark, d).groupBy("chan").agg(*(F.avg(m).alias(m) for m in ENTRIES))
+    return r6(beam.without_leakage(rows, means, ["part", "seq"], ["chan"]).select("image_id", "x", "y", "val"), "val")
+
+
 @register("f13_gaussian", sql("select image_id, round(sum(val*(0.1+2*exp(-(a*(x-3)**2+2*b*(x-3)*(y-4)+c*(y-4)**2)))),6)+0.0 as weighted from pixels, (select cos(t)**2/(2*sx**2)+sin(t)**2/(2*sy**2) as a, sin(2*t)/(4*sy**2)-sin(2*t)/(4*sx**2) as b, sin(t)**2/(2*sx**2)+cos(t)**2/(2*sy**2) as c from (select radians(25.0::double) as t, 5.0::double/2.35482 as sx, 3.0::double/2.35482 as sy)) group by 1", "pixels"))
 def f13(spark, d):
     g = sky.gaussian(F.col("x"), F.col("y"), 2.0, 3.0, 4.0, 5.0, 3.0, 25.0, 0.1)
@@ -447,6 +461,22 @@ def j14(spark, d):
     return r6(beam.trilinear(cat, grid, axes, "gain", "id"), "gain", digits=5)
 
 
+@register("j14_jones", sql("""
+select id, round(1-0.0217391*t,5)+0.0 as x_theta_re, round(0.00141421356*t*p/(f+1),5)+0.0 as x_phi_im, round(-0.5315792*t/(f+1),5)+0.0 as y_theta_re, round(1+0.0113137*p*t,5)+0.0 as y_phi_re
+from (select id, (local_rms-50)/20.0::double as f, (dec+90)/5.0::double as t, ra/10.0::double as p from catalog)""", "catalog"))
+def j14_jones(spark, d):
+    """Fields that are linear along each axis of the grid, so that interpolation gives them back, with a zenith that grows with frequency."""
+    at = fx.catalog(spark, d).select("id", F.col("local_rms").alias("freq"), F.col("dec").alias("theta"), F.col("ra").alias("phi"))
+    axes, spans = {"freq": (50.0, 20.0), "theta": (-90.0, 5.0), "phi": (0.0, 10.0)}, {"freq": 27, "theta": 37, "phi": 37}
+    grid = spark.range(1)
+    for a, n in spans.items():
+        grid = grid.withColumn(f"{a}_i", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n).cast("bigint"))))
+    f, t, p = F.col("freq_i") + 1, F.col("theta_i"), F.col("phi_i")
+    fields = {"x_theta_re": f * (1 - 0.0217391 * t), "x_phi_im": 0.00141421356 * t * p, "y_theta_re": -0.5315792 * t, "y_phi_re": f * (1 + 0.0113137 * p * t)}
+    grid = grid.withColumns({name: fields.get(name, F.lit(0.0)) for name in beam.FIELDS})
+    return r6(beam.jones(at, grid, axes, "id").select("id", *fields), *fields, digits=5)
+
+
 @register("j15_horizon", sql(f"select id, round(5+5*sin(radians(round_even({_AZ.format(lat=37.2, lst='100.0')},0)::double)),6)+0.0 as horizon from catalog", "catalog"))
 def j15(spark, d):
     cat = fx.catalog(spark, d).withColumn("az_i", F.rint(sky.azimuth("ra", "dec", F.lit(100.0), F.lit(37.2))).cast("bigint"))

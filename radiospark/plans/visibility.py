@@ -417,13 +417,28 @@ def f15(spark, d):
     return auto.select(F.col("ant1").alias("ant"), "scan", "chan", "corr", rounded(decibel(F.nullif(amp(), F.lit(0.0)), 100.0)).alias("db"), F.col("ant1").isin(*OUTRIGGERS).alias("outrigger"))
 
 
-@register("f5_mueller", sql("""
-select ant, chan, round((a*a+b*b+c*c+d*d)/2,6) as m_ii, round((a*a+b*b-c*c-d*d)/2,6)+0.0 as m_iq, round(a*c+b*d,6) as m_iu, round(a*d-b*c,6)+0.0 as m_iv from (
- select x.ant,x.chan,x.gr as a,x.gi as b,y.gr as c,y.gi as d from gains x join gains y using (ant,chan) where x.pol=0 and y.pol=1)""", "gains"))
-def f5(spark, d):
-    from ..operators.beam import diagonal_mueller_row
+define("jones", "select x.ant,x.chan,x.gr as ar,x.gi as ai,0.1*x.gi as br,0.05*y.gr as bi,-0.05*x.gr as cr,0.1*y.gi as ci,y.gr as dr,y.gi as di from gains x join gains y using (ant,chan) where x.pol=0 and y.pol=1", "gains")
+define("mueller", """select ant, chan,
+  (aa+bb+cc+dd)/2 as m00, (aa-bb+cc-dd)/2 as m01, abr+cdr as m02, -(abi+cdi) as m03, (aa+bb-cc-dd)/2 as m10, (aa-bb-cc+dd)/2 as m11, abr-cdr as m12, -(abi-cdi) as m13,
+  acr+bdr as m20, acr-bdr as m21, adr+bcr as m22, -(adi-bci) as m23, aci+bdi as m30, aci-bdi as m31, adi+bci as m32, adr-bcr as m33 from (
+ select ant, chan, ar*ar+ai*ai as aa, br*br+bi*bi as bb, cr*cr+ci*ci as cc, dr*dr+di*di as dd, ar*br+ai*bi as abr, ai*br-ar*bi as abi, cr*dr+ci*di as cdr, ci*dr-cr*di as cdi,
+  ar*cr+ai*ci as acr, ai*cr-ar*ci as aci, br*dr+bi*di as bdr, bi*dr-br*di as bdi, ar*dr+ai*di as adr, ai*dr-ar*di as adi, br*cr+bi*ci as bcr, bi*cr-br*ci as bci from jones)""", "jones")
+ENTRIES = [f"m{i}{j}" for i in range(4) for j in range(4)]
+
+
+def mueller_of_gains(spark, d):
+    """(ant, chan, m00 to m33) of Jones matrices with the gains on the diagonal and a share of them beside it."""
+    from ..operators import beam
 
-    return r6(diagonal_mueller_row(fx.gains(spark, d)), "m_ii", "m_iq", "m_iu", "m_iv")
+    one = lambda pol, names: fx.gains(spark, d).where(F.col("pol") == pol).select("ant", "chan", *(F.col(a).alias(b) for a, b in zip(("gr", "gi"), names)))
+    both = one(0, ("ar", "ai")).join(one(1, ("dr", "di")), ["ant", "chan"])
+    entries = [(F.col("ar"), F.col("ai")), (0.1 * F.col("ai"), 0.05 * F.col("dr")), (-0.05 * F.col("ar"), 0.1 * F.col("di")), (F.col("dr"), F.col("di"))]
+    return both.select("ant", "chan", *(c.alias(n) for n, c in beam.mueller(entries).items()))
+
+
+@register("f5_mueller", sql(f"select ant, chan, {', '.join(f'round({m},6)+0.0 as {m}' for m in ENTRIES)} from mueller", "mueller"))
+def f5(spark, d):
+    return r6(mueller_of_gains(spark, d), *ENTRIES)
 
 
 @register("j17_antenna_names", sql("select ant, chan, coalesce(try_cast(substring(n_name, 8) as int), ant::int) as number from gains left join nation on n_nationkey=ant where pol=0 and ant<20", "gains"))

@@ -195,3 +195,53 @@ def test_nearest_time_at_any_distance(spark):
     assert got(t.where("value in ('a', 'b')")) == {1: "b", 2: "b", 3: "a", 4: "a", 5: None}
     assert got(t) == {1: "d", 2: "e", 3: "a", 4: "c", 5: None}
     assert got(t.where("false")) == dict.fromkeys(range(1, 6))
+
+
+def test_mueller_is_the_product_of_matrices(spark):
+    rng = np.random.default_rng(4)
+    jones = rng.normal(size=(20, 4)) + 1j * rng.normal(size=(20, 4))
+    rows = [(k, *map(float, np.stack([j.real, j.imag], 1).ravel())) for k, j in enumerate(jones)]
+    df = spark.createDataFrame(rows, "k int, " + ", ".join(f"{p}{q} double" for p in "abcd" for q in "ri"))
+    got = df.select("k", *(c.alias(n) for n, c in beam.mueller([(F.col(f"{p}r"), F.col(f"{p}i")) for p in "abcd"]).items())).collect()
+    for r in got:
+        j = jones[r["k"]].reshape(2, 2)
+        whole = np.array(beam.TO_STOKES) @ np.kron(j, j.conj()) @ np.array(beam.FROM_STOKES)
+        assert np.allclose(whole.imag, 0) and np.allclose([[r[f"m{i}{k}"] for k in range(4)] for i in range(4)], whole.real)
+
+
+def test_leakage_and_empty_beams(spark):
+    factors = spark.createDataFrame([(0, *[float(10 * i + j + 1) for i in range(4) for j in range(4)]), (1, *[0.0] * 16)], "chan int, " + ", ".join(f"m{i}{j} double" for i in range(4) for j in range(4)))
+    rows = [(t, c, s, 0, 0, 10.0 + s) for t, c in ((0, 0), (1, 1)) for s in range(4)] + [(2, 0, 1, 0, 0, 24.0), (3, 0, 1, 0, 0, None)]
+    frame = spark.createDataFrame(rows, "t int, chan int, stokes int, x int, y int, val double")
+    got = {(r["t"], r["stokes"]): r["val"] for r in beam.without_leakage(frame, factors, ["t"], ["chan"]).collect()}
+    assert got[0, 0] == 10.0 and got[2, 1] == 2.0 and got[3, 1] is None  # no I image: nothing leaks
+    assert all(abs(got[0, s] - (10.0 + s - 10.0 * (10 * s + 1)) / (11 * s + 1)) < 1e-12 for s in (1, 2, 3))
+    assert all(got[1, s] is None for s in range(4))
+
+
+def test_fields_are_one_at_the_zenith(spark):
+    axes = {"freq": (10.0, 5.0), "theta": (0.0, 30.0), "phi": (0.0, 90.0)}
+    cells = [(f, t, p) for f in range(3) for t in range(3) for p in range(3)]
+    grid = spark.createDataFrame([(*c, *[float((c[0] + 2) * (k in (0, 6)) * (3 - c[1])) for k in range(8)]) for c in cells], "freq_i bigint, theta_i bigint, phi_i bigint, " + ", ".join(f"{n} double" for n in beam.FIELDS))
+    at = spark.createDataFrame([(0, 12.5, 0.0, 0.0), (1, 17.0, 45.0, 100.0), (2, 12.5, 61.0, 0.0), (3, None, 0.0, 0.0)], "id int, freq double, theta double, phi double")
+    got = {r["id"]: (r["x_theta_re"], r["y_phi_re"], r["x_phi_re"]) for r in beam.jones(at, grid, axes, "id").collect()}
+    assert np.allclose(got[0], (1, 1, 0)) and np.allclose(got[1], (0.5, 0.5, 0))
+    assert got[2] == got[3] == (None, None, None)  # off the grid
+
+
+@pytest.mark.parametrize("minutes", [1.0, 60.0, 700.0, 3000.0])
+def test_transits_against_all_pairs(spark, minutes):
+    rng = random.Random(2)
+    rows, named = [(k, rng.uniform(0, 24)) for k in range(60)] + [(60, 0.0), (61, None)], [(f"s{k}", rng.uniform(0, 360)) for k in range(9)] + [("edge", 359.999), ("none", None)]
+    df = timeline.in_transit(spark.createDataFrame(rows, "k int, lst double"), spark.createDataFrame(named, "label string, ra double"), "lst", minutes)
+    apart = lambda a, b: abs((a - b + 12) % 24 - 12)
+    want = {(k, n) for k, t in rows for n, ra in named if t is not None and ra is not None and apart(t, ra / 15) <= minutes / 120}
+    got = [(r["k"], r["label"]) for r in df.collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_boxes_of_the_mask(spark):
+    pixels = spark.createDataFrame([(0, x, y) for x in range(9) for y in range(9)], "image_id int, x int, y int")
+    boxes = [(2, 2, 3), (3, 2, 3), (8, 8, 5), (5, 5, 0)]
+    got = {(r["x"], r["y"]): r["mask"] for r in images.masked_boxes(pixels, spark.createDataFrame(boxes, "x0 int, y0 int, width int")).collect()}
+    assert got == {(x, y): int(any(w > 0 and abs(x - a) <= w // 2 and abs(y - b) <= w // 2 for a, b, w in boxes)) for x in range(9) for y in range(9)}
