@@ -128,18 +128,24 @@ def key_of(line: bytes, shortest: int) -> bytes:
 
 
 def with_keys(docs: DataFrame, text: str, shortest: int) -> DataFrame:
-    """Add _k1 and _k2, the halves of each line's key in order; 0 and 0 for lines that are too short."""
+    """Add _k1 and _k2, the halves of each line's key in order; 0 and 0 for lines that are too short; and _first, whether the
+    key is the document's first of its kind."""
     longs = T.ArrayType(T.LongType())
-    schema = T.StructType([*docs.schema.fields, T.StructField("_k1", longs), T.StructField("_k2", longs)])
+    schema = T.StructType([*docs.schema.fields, T.StructField("_k1", longs), T.StructField("_k2", longs), T.StructField("_first", T.ArrayType(T.BooleanType()))])
+
+    def first(keys: list[bytes]) -> list[bool]:
+        place = dict(zip(reversed(keys), range(len(keys) - 1, -1, -1)))
+        return [place[k] == i for i, k in enumerate(keys)]
 
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in pieces_of(batch, text):
-                lines = [t.split(b"\n") for t in texts]
-                halves = np.frombuffer(b"".join([key_of(x, shortest) for own in lines for x in own]), dtype=np.int64).reshape(-1, 2)
-                at = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in lines])]), pa.int32())
-                new = [pa.ListArray.from_arrays(at, pa.array(np.ascontiguousarray(halves[:, k]))) for k in (0, 1)]
+                keys = [[key_of(x, shortest) for x in t.split(b"\n")] for t in texts]
+                halves = np.frombuffer(b"".join([k for own in keys for k in own]), dtype=np.int64).reshape(-1, 2)
+                at = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in keys])]), pa.int32())
+                values = [*(pa.array(np.ascontiguousarray(halves[:, k])) for k in (0, 1)), pa.array([f for own in keys for f in first(own)], pa.bool_())]
+                new = [pa.ListArray.from_arrays(at, v) for v in values]
                 yield pa.RecordBatch.from_arrays([*part.columns, *new], names=schema.fieldNames())
 
     return docs.mapInArrow(run, schema)
@@ -148,7 +154,7 @@ def with_keys(docs: DataFrame, text: str, shortest: int) -> DataFrame:
 def _distinct_keys(own: DataFrame) -> DataFrame:
     """(rid, k1, k2), one row for each document and distinct key."""
     rid = F.col("_rid").alias("rid") if "_rid" in own.columns else F.lit(None).cast("long").alias("rid")
-    pairs = own.select(rid, F.explode(F.array_distinct(F.arrays_zip("_k1", "_k2"))).alias("key"))
+    pairs = own.select(rid, F.explode(F.filter(F.arrays_zip("_k1", "_k2", "_first"), lambda x: x["_first"])).alias("key"))
     return pairs.select("rid", F.col("key._k1").alias("k1"), F.col("key._k2").alias("k2")).where("k1 != 0 or k2 != 0")
 
 
@@ -245,7 +251,7 @@ def cleaned(docs: DataFrame, index: LineIndex | None = None, text: str = "text",
 
     Without ``index`` the documents are counted among themselves.
     """
-    source = renamed(docs, {"n_lines", "n_dropped", "_rid", "_k1", "_k2", "_drop"})
+    source = renamed(docs, {"n_lines", "n_dropped", "_rid", "_k1", "_k2", "_first", "_drop"})
     own = written(with_keys(source, text, index.shortest if index else shortest).withColumn("_rid", F.monotonically_increasing_id()), "lines")
     if index is None:
         index = _index(written(_counted(own), "refs"), threshold, shortest, SHARD_KEYS)
