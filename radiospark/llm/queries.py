@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embedding_dedup, exact_dedup, line_dedup, minhash, mixing, ngram_lm, quality, toxicity, warc
+from . import bpe, conversation_repair, conversation_sql, embedding_dedup, exact_dedup, line_dedup, minhash, mixing, ngram_lm, quality, toxicity, warc
 from .common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -94,9 +94,13 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.report(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_ngram_lm, op3_dart_minhash, op4_block_naming, op5_warc, op6_toxicity, op7_embedding_dedup, op8_quality, op9_mixing, op10_bpe)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_ngram_lm, op3_dart_minhash, op4_block_naming, op5_warc, op6_toxicity, op7_embedding_dedup, op8_quality, op9_mixing, op10_bpe, op13_conversation_repair)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1_SQL, "op4_block_naming": OP4_SQL, "op5_warc": OP5_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op4_block_naming": OP4_SQL, "op5_warc": OP5_SQL, "op13_conversation_repair": conversation_sql.SQL}
