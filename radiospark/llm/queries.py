@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, conversation_repair, conversation_sql, embedding_dedup, exact_dedup, line_dedup, minhash, mixing, ngram_lm, quality, toxicity, warc
+from . import ball_tree, bpe, conversation_repair, conversation_sql, embedding_dedup, exact_dedup, line_dedup, minhash, mixing, ngram_lm, quality, toxicity, warc
 from .common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -94,13 +94,29 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+OP12_SQL = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(1024*x::double)::bigint) as e from embeddings
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x)))=0
+), s as (
+  select q.vec_id as query_id, c.vec_id, coalesce(list_sum(list_transform(range(1, len(c.e)+1), lambda i: q.e[i]*c.e[i])), 0)::bigint as score
+  from (select distinct * from v where vec_id%100=0) q join v c on c.vec_id<>q.vec_id and len(c.e)=len(q.e)
+)
+select query_id, rank::int as rank, vec_id, score from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s) where rank<=10
+"""
+
+
+def op12_ball_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.report(table(spark, sf_dir, "conversations"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_ngram_lm, op3_dart_minhash, op4_block_naming, op5_warc, op6_toxicity, op7_embedding_dedup, op8_quality, op9_mixing, op10_bpe, op13_conversation_repair)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_ngram_lm, op3_dart_minhash, op4_block_naming, op5_warc, op6_toxicity, op7_embedding_dedup, op8_quality, op9_mixing, op10_bpe, op12_ball_tree_search, op13_conversation_repair)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1_SQL, "op4_block_naming": OP4_SQL, "op5_warc": OP5_SQL, "op13_conversation_repair": conversation_sql.SQL}
+    return {"op1_line_dedup": OP1_SQL, "op4_block_naming": OP4_SQL, "op5_warc": OP5_SQL, "op12_ball_tree_search": OP12_SQL, "op13_conversation_repair": conversation_sql.SQL}
