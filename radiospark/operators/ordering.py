@@ -33,6 +33,14 @@ def numbered(df: DataFrame, order: list[str | Column], name: str = "id", first:
     return out.withColumn(name, (F.col("_before") + F.col("_at") + first).cast("bigint")).drop("_part", "_at", "_before")
 
 
+def running_total(df: DataFrame, order: list[str | Column], value: str, name: str) -> DataFrame:
+    """Add ``name``: the sum of ``value`` over the rows up to this one in the given order, which should be one of all rows."""
+    placed = _placed(df, order)
+    before = _before(placed.groupBy("_part").agg(F.sum(value).alias("_n")), "_n", "_before")
+    upto = F.sum(value).over(Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0))
+    return placed.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + upto).drop("_part", "_at", "_before")  # one row a partition
+
+
 def unwrapped(df: DataFrame, order: str, hours: str) -> DataFrame:
     """W7 over all rows: add ``unwrapped``: 24 h added or taken off at each step of more than 12 h."""
     placed = _placed(df, [order])
