@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ball_tree, bpe, conversation_repair, conversation_sql, embedding_dedup, exact_dedup, line_dedup, minhash, mixing, ngram_lm, quality, toxicity, warc
+from . import ball_tree, bpe, conversation_repair, conversation_sql, embedding_dedup, exact_dedup, lexical, line_dedup, minhash, mixing, ngram_lm, quality, toxicity, warc
 from .common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -94,6 +94,31 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+OP11_SQL = r"""
+with docs as (
+  select row_number() over () as row, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms from documents
+), held as (
+  select row, doc_id, len(terms)::bigint as n, terms from docs where len(terms)>0
+), whole as (
+  select count(*) as n_docs, sum(n)::bigint as n_terms from held
+), tfs as (
+  select row, doc_id, n, term, count(*) as tf from (select row, doc_id, n, unnest(terms) as term from held) group by all
+), dfs as (
+  select term, floor(1000*ln((2*n_docs+2)::double/(2*count(*)+1)))::bigint as w from tfs, whole group by term, n_docs
+), items as (
+  select item, item_id, term, count(*) as times from (select row_number() over () as item, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark) group by all
+), scored as (
+  select item, item_id, row, doc_id, sum(times*w*((1000000000*tf)//(1000*tf+12*(100-25+(25*n*n_docs)//n_terms))))::bigint as score
+  from items join dfs using (term) join tfs using (term), whole group by all
+)
+select item_id, rank::int as rank, doc_id, score from (select *, row_number() over (partition by item order by score desc, doc_id nulls last, row) as rank from scored where score>0) where rank<=20
+"""
+
+
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 OP12_SQL = """
 with v as (
   select vec_id, list_transform(embedding, lambda x: floor(1024*x::double)::bigint) as e from embeddings
@@ -115,8 +140,8 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_ngram_lm, op3_dart_minhash, op4_block_naming, op5_warc, op6_toxicity, op7_embedding_dedup, op8_quality, op9_mixing, op10_bpe, op12_ball_tree_search, op13_conversation_repair)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_ngram_lm, op3_dart_minhash, op4_block_naming, op5_warc, op6_toxicity, op7_embedding_dedup, op8_quality, op9_mixing, op10_bpe, op11_lexical_search, op12_ball_tree_search, op13_conversation_repair)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1_SQL, "op4_block_naming": OP4_SQL, "op5_warc": OP5_SQL, "op12_ball_tree_search": OP12_SQL, "op13_conversation_repair": conversation_sql.SQL}
+    return {"op1_line_dedup": OP1_SQL, "op4_block_naming": OP4_SQL, "op5_warc": OP5_SQL, "op11_lexical_search": OP11_SQL, "op12_ball_tree_search": OP12_SQL, "op13_conversation_repair": conversation_sql.SQL}
