@@ -1,8 +1,8 @@
 """The corpus pipeline: quality filter, exact and near deduplication, mixing, tokenization.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next
-stage's ``docs``. All but the last return the columns of ``documents``. A stage deletes the scratch tables of the stages
-before it, whose results are written by then.
+stage's ``docs``. All but the last return the columns of ``documents``. A stage's result reads scratch tables of its own,
+which stay as long as it is wanted; ``run`` deletes them once the result is written.
 
 Defined cases: rows are decided on one by one, whatever their ids. Of rows with equal texts one stays, also where they
 share an id or have none; rows with one id and different texts are different documents. Of equal ids the first row counts
@@ -13,9 +13,6 @@ go along to the mix, whatever they are called; the last stage names its own. Emp
 
 from __future__ import annotations
 
-import functools
-from collections.abc import Callable
-
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,29 +24,6 @@ from radiospark.session import tracked
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
-Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-#: Scratch tables behind the results of stages, by the stage's place.
-_BEHIND: dict[int, list[DataFrame]] = {}
-
-
-def _stage(place: int) -> Callable[[Stage], Stage]:
-    """A stage that deletes what the stages before it left behind, and notes what it leaves itself."""
-
-    def wrap(work: Stage) -> Stage:
-        @functools.wraps(work)
-        def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-            for earlier in [k for k in _BEHIND if k < place]:
-                release(*(df for df in _BEHIND.pop(earlier) if df.sparkSession is spark))
-            with tracked() as frames:
-                out = work(spark, docs, sf_dir)
-            _BEHIND.setdefault(place, []).extend(frames)
-            return out
-
-        return stage
-
-    return wrap
-
-
 def _keyed(docs: DataFrame) -> DataFrame:
     """``docs`` with a key of each row, ``_row``, written so that it stays the same; ids can be null or repeated."""
     return written(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
@@ -60,14 +34,12 @@ def _place() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
 
 
-@_stage(0)
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep what the quality classifier accepts; it is trained on the labelled rows of ``docs``."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     return quality.scored(docs, model).where("predicted = 1").select(*docs.columns)
 
 
-@_stage(1)
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts keep the row with the smallest doc_id, one row whatever their ids."""
     rows = _keyed(docs)
@@ -75,7 +47,6 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return rows.join(kept.select("doc_id._row"), "_row", "left_semi").select(*docs.columns)
 
 
-@_stage(2)
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near duplicates keep the row with the smallest doc_id, one row whatever their ids."""
     rows = _keyed(docs)
@@ -84,13 +55,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return rows.join(kept.select("first._row"), "_row", "left_semi").select(*docs.columns)
 
 
-@_stage(3)
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as the mix takes them: one row for each time round, with the words taken."""
     return mixing.mixed_documents(docs)
 
 
-@_stage(4)
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Encode and decode every text: doc_id, source, n_tokens, ids_sha256, decoded_sha256."""
     done = bpe.round_trip(docs.select("doc_id", "source", "text"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
@@ -113,7 +82,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written to the shared folder and read again."""
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        made = written(stage(spark, docs, sf_dir), "stage")
-        release(docs)
-        docs = made
+        with tracked() as behind:
+            made = stage(spark, docs, sf_dir)
+        kept = written(made, "stage")
+        release(docs, *behind)
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)
