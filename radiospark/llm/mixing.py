@@ -70,7 +70,8 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
     weight = F.element_at(F.array(*map(F.lit, map(float, weights))), (F.pmod("s", F.lit(len(weights))) + 1).cast("int"))
     numbered = numbered.withColumn("weight", weight).withColumn("most", most * F.col("source_size"))
     order = Window.orderBy(F.col("most") / F.col("weight"), "s")
-    every, before, after = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing), order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing)
+    every, before = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing), order.rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.orderBy((F.col("most") / F.col("weight")).desc(), F.desc("s")).rowsBetween(Window.unboundedPreceding, 0)  # from the other end, so linear
     level = (share * F.sum("source_size").over(every) - F.coalesce(F.sum("most").over(before), F.lit(0.0))) / F.sum("weight").over(after)
     leveled = numbered.withColumn("level", level).withColumn("open", F.col("most") > F.col("weight") * F.col("level"))
     chosen = leveled.withColumn("chosen", F.min_by(F.when(F.col("open"), F.col("level")), F.when(F.col("open"), F.col("most") / F.col("weight"))).over(every))

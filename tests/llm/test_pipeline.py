@@ -72,3 +72,31 @@ def test_one_row_is_kept_whatever_the_ids(spark):
     assert exact.columns == docs.columns and said(exact) == sorted([*want, (4, near), (None, near + " yet")], key=str)
     assert said(P.near_duplicates(spark, exact, "")) == sorted(want, key=str)
     assert said(P.near_duplicates(spark, docs, "")) == sorted([*want, (None, "")], key=str)
+
+
+def test_results_of_stages_do_not_touch_each_other(spark):
+    """Two pipelines in one session, stage by stage, their results kept unread."""
+    text = lambda n: " ".join(f"w{n}x{k}" for k in range(30))
+    one = spark.createDataFrame([(1, text(1)), (2, text(1)), (3, text(2))], "doc_id long, text string")
+    two = spark.createDataFrame([(7, text(3)), (8, text(3) + " more")], "doc_id long, text string")
+    a = P.exact_duplicates(spark, one, "")
+    b = P.near_duplicates(spark, two, "")
+    c = P.near_duplicates(spark, a, "")
+    d = P.exact_duplicates(spark, b, "")
+    ids = lambda df: sorted(r["doc_id"] for r in df.collect())
+    assert ids(a) == [1, 3] and ids(b) == [7] and ids(c) == [1, 3] and ids(d) == [7]
+
+
+def test_long_texts_and_clashing_names(spark):
+    """Texts of over a MB, and further columns that bear the stages' own names, go through all stages but the classifier."""
+    long = " ".join(f"word{k % 5000}{k // 5000}" for k in range(120_000))
+    rows = [(1, long, "a"), (2, long + " end", "a"), (3, "x" * 1_200_000, "b"), (4, "short text of a few words here", None)]
+    more = ["_row", "class_id", "kept", "keep_id", "group_size", "s", "size", "target", "taken", "rid", "n_tokens", "order"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({c: F.lit(c) for c in more if c != "_row"})
+    now = docs
+    for _, stage in P.STAGES[1:4]:
+        now = P.written(stage(spark, now, ""), "t")
+        assert now.columns == docs.columns
+    assert {r["doc_id"] for r in now.collect()} <= {1, 3, 4}
+    done = P.tokens(spark, now, "").collect()
+    assert len(done) == now.count() and all(r["n_tokens"] > 0 for r in done)
