@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import release, written
-from .ordering import median_of_all, numbered
+from .ordering import HELD, largest_group, medians, numbered
 
 SIGMA = 1.4826
 IMAGE = ["image_id"]
@@ -76,22 +76,23 @@ def gated_co_add(pixels: DataFrame, by: list[str], where: Column, k: float) -> D
     return co_added(pixels.join(kept, "image_id", "left_semi"), by)
 
 
-def mad_noise(df: DataFrame, by: list[str], value: str = "val") -> DataFrame:
-    """1.4826 * median(|v - median|) of each group, or of all rows."""
-    if not by:
-        both = df.join(F.broadcast(median_of_all(df, F.col(value), "middle")))  # one row
-        return median_of_all(both, SIGMA * F.abs(F.col(value) - F.col("middle")), "noise")
-    middle = df.groupBy(*by).agg(F.median(value).alias("middle"))
-    return df.join(middle, by).groupBy(*by).agg((SIGMA * F.median(F.abs(F.col(value) - F.col("middle")))).alias("noise"))
+def mad_noise(df: DataFrame, by: list[str], value: str = "val", held: int = HELD) -> DataFrame:
+    """1.4826 * median(|v - median|) of each group, or of all rows; groups of more than ``held`` values never lie in
+    one task."""
+    most = largest_group(df, by) if by else None
+    middle = medians(df, by, F.col(value), "middle", held, most)
+    both = df.join(middle, by) if by else df.join(F.broadcast(middle))  # one row
+    return medians(both, by, SIGMA * F.abs(F.col(value) - F.col("middle")), "noise", held, most)
 
 
-def clipped_rms(pixels: DataFrame, by: list[str], k: float = 5.0, rounds: int = 5) -> DataFrame:
+def clipped_rms(pixels: DataFrame, by: list[str], k: float = 5.0, rounds: int = 5, held: int = HELD) -> DataFrame:
     """Std of the values within k sigma of the median, sigma from the MAD, repeated until sigma is steady."""
     good = pixels.where(F.col("val").isNotNull() & ~F.isnan("val")).select(*by, "val")
+    most = largest_group(good, by)
 
     def state(rows: DataFrame) -> DataFrame:
-        middle = rows.groupBy(*by).agg(F.median("val").alias("m"))
-        return rows.join(middle, by).groupBy(*by).agg(F.any_value("m").alias("m"), (SIGMA * F.median(F.abs(F.col("val") - F.col("m")))).alias("s"))
+        middle = medians(rows, by, F.col("val"), "m", held, most)
+        return medians(rows.join(middle, by), [*by, "m"], SIGMA * F.abs(F.col("val") - F.col("m")), "s", held, most)
 
     def inside(now: DataFrame) -> DataFrame:
         return good.join(now, by).where(F.col("val").between(F.col("lo"), F.col("hi"))).select(*by, "val")
@@ -103,8 +104,8 @@ def clipped_rms(pixels: DataFrame, by: list[str], k: float = 5.0, rounds: int =
         bounds = now.withColumns({"lo": F.when(F.col("done"), F.col("lo")).otherwise(F.greatest("lo", F.col("m") - reach)), "hi": F.when(F.col("done"), F.col("hi")).otherwise(F.least("hi", F.col("m") + reach))})
         new = state(inside(bounds)).select(*by, F.col("m").alias("m2"), F.col("s").alias("s2"))
         steady = (F.col("s2") == 0) | (F.abs(F.col("s2") - F.col("s")) <= 1e-8 + 1e-3 * F.abs("s"))
-        held = lambda c: F.when(F.col("done"), F.col(c)).otherwise(F.col(f"{c}2")).alias(c)
-        after = written(bounds.join(new, by).select(*by, held("m"), held("s"), "lo", "hi", (F.col("done") | steady).alias("done")), "clip")
+        stays = lambda c: F.when(F.col("done"), F.col(c)).otherwise(F.col(f"{c}2")).alias(c)
+        after = written(bounds.join(new, by).select(*by, stays("m"), stays("s"), "lo", "hi", (F.col("done") | steady).alias("done")), "clip")
         release(now)
         now = after
     return inside(now).groupBy(*by).agg(F.stddev_pop("val").alias("rms"), F.count("*").alias("n"))

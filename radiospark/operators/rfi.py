@@ -103,7 +103,8 @@ def rank_operator(df: DataFrame, axis: str, level: float = 0.2, plane: list[str]
     weight = F.when(F.col("flag"), F.lit(float(level))).otherwise(F.lit(float(level) - 1.0))
     upto = df.withColumn("_w", weight).withColumn("_c", F.round(F.sum("_w").over(w.rowsBetween(Window.unboundedPreceding, 0)), 9))
     before = F.least(F.lit(0.0), F.coalesce(F.min("_c").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
-    after = F.max("_c").over(w.rowsBetween(0, Window.unboundedFollowing))
+    down = Window.partitionBy(*plane, other).orderBy(F.desc(axis)).rowsBetween(Window.unboundedPreceding, 0)  # from the other end, so linear
+    after = F.max("_c").over(down)
     return upto.withColumn("flag", after - before >= 0).drop("_w", "_c")
 
 

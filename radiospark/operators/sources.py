@@ -9,6 +9,7 @@ from ..functions.sky import pixel_to_sky, separation
 from ..session import written
 from .components import connected_components
 from .ordering import numbered
+from .spanning import linkage, neighbours
 
 CELL = ["image_id", "cx", "cy"]
 #: Classes of reviewed candidates; 0 is that of candidates that nobody looked at yet.
@@ -27,21 +28,55 @@ def detections(cells: DataFrame, nsigma: float = 5.0) -> DataFrame:
     return told.where(F.when(F.col("_any"), F.col("_h2")).otherwise(F.col("_h1"))).select(*cells.columns)
 
 
-def clusters(hits: DataFrame, reach: float) -> DataFrame:
+def _named(hits: DataFrame, links: DataFrame, by: list[str]) -> DataFrame:
+    """``hits`` with ``cluster``: the first place, y * 2^20 + x, of the component of ``links`` (a, b) that a hit belongs to."""
+    parts = connected_components(links)
+    found = hits.withColumn("node", F.struct(*by, "y", "x")).join(parts, "node", "left")
+    first = lambda c: (F.coalesce(F.col(f"component.{c}"), F.col(c))).cast("bigint")
+    return found.withColumn("cluster", first("y") * (1 << 20) + first("x")).drop("node", "component")
+
+
+def clusters(hits: DataFrame, reach: float, by: tuple[str, ...] = ("image_id",)) -> DataFrame:
     """Add ``cluster``: hits of an image that are linked by steps of at most ``reach`` pixels.
 
-    Neighbours meet by squares of side ``reach``; a cluster is named by its first hit in row-major order.
+    Neighbours meet by squares of side ``reach``; a cluster is named by the place of its first hit in row-major order,
+    within its image.
+    """
+    node = F.struct(*by, "y", "x")
+    own = written(hits, "hits")
+    named = own.select(*by, "x", "y").distinct().withColumns({"node": node, "root": node})
+    return _named(own, neighbours(named, list(by), reach).select("a", "b"), list(by))
+
+
+def cut_heights(heights: DataFrame, by: list[str], apart: float = 14.0, near: float = 1.0) -> DataFrame:
+    """(*by, cut): the height at which the dendrogram of a group is cut, from its merges (*by, w).
+
+    Two hits are one source if they touch (``near``). Else the cut is at ``apart`` if the last merge stands out by more than
+    that, and above all merges otherwise. It is moved to twice ``apart`` where the step of the dendrogram at the cut is below
+    that, the step above it below ``apart``, and there are more than three merges that are neither all of length ``near`` nor
+    as many as clusters: a bright source is not broken up because a distinct one lies elsewhere.
     """
-    own = written(hits.withColumn("hit", F.col("image_id") * (1 << 40) + F.col("y") * (1 << 20) + F.col("x")), "hits")
-    cell = lambda c, k: (F.floor(F.col(c) / float(reach)) + k).cast("bigint")
-    steps = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
-    left = own.select("image_id", F.explode(steps).alias("s"), F.col("hit").alias("a"), F.col("x").alias("ax"), F.col("y").alias("ay"), cell("x", 0).alias("bx"), cell("y", 0).alias("by"))
-    left = left.select("image_id", "a", "ax", "ay", (F.col("bx") + F.col("s.i")).alias("bx"), (F.col("by") + F.col("s.j")).alias("by"))
-    right = own.select("image_id", F.col("hit").alias("b"), F.col("x").alias("x2"), F.col("y").alias("y2"), cell("x", 0).alias("bx"), cell("y", 0).alias("by"))
-    dx, dy = F.col("ax") - F.col("x2"), F.col("ay") - F.col("y2")
-    edges = left.join(right, ["image_id", "bx", "by"]).where((F.col("a") > F.col("b")) & (dx * dx + dy * dy <= reach * reach)).select("a", "b")
-    parts = connected_components(edges)
-    return own.join(parts, F.col("hit") == F.col("node"), "left").withColumn("cluster", F.coalesce("component", "hit")).drop("node", "component")
+    gathered = heights.groupBy(*by).agg(F.array_sort(F.collect_list("w")).alias("z"))  # the hits of a cell at most
+    z, m = F.col("z"), F.size("z")
+    at = lambda k: F.get(z, k)
+    last, before = at(m - 1), at(m - 2)
+    told = gathered.withColumn("cut", F.when(m == 1, F.lit(near)).when(last - before > apart, F.lit(apart)).otherwise(last))
+    told = told.withColumn("k", F.size(F.filter(z, lambda w: w > F.col("cut"))))  # merges above the cut: one less than clusters
+    step = F.when(F.col("k") == 0, last - before).otherwise(at(m - F.col("k")) - at(m - F.col("k") - 1))
+    above = F.when(F.col("k") < 2, F.lit(0.0)).otherwise(at(m - F.col("k") + 1) - at(m - F.col("k")))
+    settled = (m <= 3) | (last == near) | (m == F.col("k") + 1)
+    moved = ~settled & F.coalesce((step < 2 * apart) & (above < apart), F.lit(False))
+    return told.select(*by, F.when(moved, F.lit(2 * apart)).otherwise(F.col("cut")).alias("cut"))
+
+
+def adaptive_clusters(hits: DataFrame, by: list[str], across: float, apart: float = 14.0, near: float = 1.0) -> DataFrame:
+    """X2, adaptive: add ``cluster`` by single linkage, each group of ``by`` (a cell of an image, ``across`` pixels at most from
+    corner to corner) being cut at its own height of the dendrogram."""
+    own = written(hits, "hits")
+    merges = written(linkage(own, by, across), "merges")
+    cuts = cut_heights(merges, by, apart, near)
+    links = merges.join(cuts, by).where("w <= cut").select("a", "b")
+    return _named(own, links, by)
 
 
 def cluster_summary(found: DataFrame, margin: int, size: int) -> DataFrame:
@@ -60,7 +95,7 @@ def with_sky(found: DataFrame, ra0: float, dec0: float, scale: float, centre: fl
     return found.withColumns({"ra": ra, "dec": dec})
 
 
-__all__ = ["class_names", "cluster_summary", "clusters", "detections", "nearest_on_sky", "numbered", "reviewed", "sifted", "vetoed", "with_sky"]
+__all__ = ["adaptive_clusters", "class_names", "cluster_summary", "clusters", "cut_heights", "detections", "nearest_on_sky", "numbered", "reviewed", "sifted", "vetoed", "with_sky"]
 
 
 def nearest_on_sky(left: DataFrame, right: DataFrame, first_deg: float = 4.0) -> DataFrame:

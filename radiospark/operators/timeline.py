@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordering import numbered
+from .ordering import carried, numbered
 from .ordering import unwrapped as unwrapped_whole
 
 
@@ -64,31 +64,22 @@ def not_done(wanted: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     return wanted.join(done.select(*keys).distinct(), keys, "left_anti")
 
 
-def nearest_in_time(pivots: DataFrame, times: DataFrame, bucket_hours: int = 24) -> DataFrame:
+def nearest_in_time(pivots: DataFrame, times: DataFrame) -> DataFrame:
     """For each pivot (pid, ts) the nearest of ``times`` (ts, value) at any distance, the earlier on ties and the smallest
     value of equal times; null if there are no times or the pivot has none.
 
-    Both sides are laid in one order of time by buckets; a pivot takes the last time before it and the first after it in its
-    bucket, and from the table of buckets (two times each) what lies beyond its ends. So no pairs are made.
+    Both sides are laid in one order of time over range partitions, and every pivot takes the last time before it and the
+    first after it, carried along in both directions. No pairs are made, and a crowded day lies in many partitions.
     """
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
-    bucket = F.floor(micros("ts") / F.lit(3.6e9 * bucket_hours)).cast("bigint")
     one = times.where("ts is not null").groupBy("ts").agg(F.min("value").alias("value")).select("ts", F.struct("ts", "value").alias("at"))
     both = pivots.where("ts is not null").select("ts", "pid", F.lit(None).cast(one.schema["at"].dataType).alias("at"), F.lit(True).alias("asks"))
-    both = both.unionByName(one.select("ts", F.lit(None).cast(pivots.schema["pid"].dataType).alias("pid"), "at", F.lit(False).alias("asks"))).withColumn("_b", bucket)
-    order = Window.partitionBy("_b").orderBy("ts", "asks")
-    upto, since = order.rowsBetween(Window.unboundedPreceding, 0), order.rowsBetween(0, Window.unboundedFollowing)
-    told = both.withColumns({"_last": F.last("at", ignorenulls=True).over(upto), "_next": F.first("at", ignorenulls=True).over(since)}).where("asks")
-    ends = both.groupBy("_b").agg(F.min("at").alias("_lo"), F.max("at").alias("_hi"))
-    line = Window.orderBy("_b")  # one row a bucket
-    ends = ends.select(
-        "_b", F.last("_hi", ignorenulls=True).over(line.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"), F.first("_lo", ignorenulls=True).over(line.rowsBetween(1, Window.unboundedFollowing)).alias("_after")
-    )
-    told = told.join(ends, "_b").withColumns({"_last": F.coalesce("_last", "_before"), "_next": F.coalesce("_next", "_after")})
+    both = both.unionByName(one.select("ts", F.lit(None).cast(pivots.schema["pid"].dataType).alias("pid"), "at", F.lit(False).alias("asks")))
+    told = carried(both, ["ts", "asks", "pid"], "at", "_last", "_next").where("asks")
     gap = lambda c: F.abs(micros(f"{c}.ts") - micros("ts"))
     best = F.when(F.col("_next").isNull() | (gap("_last") <= gap("_next")), F.col("_last")).otherwise(F.col("_next"))
-    found = told.select("pid", "ts", best.alias("best")).dropDuplicates(["pid", "ts"])
-    return pivots.join(found, ["pid", "ts"], "left").select("pid", "ts", F.col("best.ts").alias("near_ts"), F.col("best.value").alias("value"))
+    found = told.select("pid", "ts", best.alias("best")).select("pid", "ts", F.col("best.ts").alias("near_ts"), F.col("best.value").alias("value"))
+    return found.unionByName(pivots.where("ts is null").select("pid", "ts"), allowMissingColumns=True)
 
 
 def bad_antennas_on(flags: DataFrame, date: str, sources: list[str], date_map: dict[str, str] | None = None) -> DataFrame:

@@ -210,7 +210,7 @@ define("cells", "select *, (x//4)::int as cx, (y//4)::int as cy from pixels", "p
 define("hits1", "select *, abs(val)>=3*stddev_pop(val) over (partition by image_id,cx,cy) as h1 from cells", "cells")
 define("hits2", "select *, abs(val)>=3*stddev_pop(case when not h1 then val end) over (partition by image_id,cx,cy) as h2 from hits1", "hits1")
 define("hits", "select image_id,x,y,val,cx,cy from (select *, max(case when h2 then 1 else 0 end) over (partition by image_id,cx,cy)=1 as a from hits2) where case when a then h2 else h1 end", "hits2")
-define("loose", "select image_id,x,y,val,image_id*(1::bigint<<40)+y*(1<<20)+x as hit from (select *, stddev_pop(val) over (partition by image_id) as s from pixels) where abs(val)>=2*s", "pixels")
+define("loose", "select image_id,x,y,val,y*(1::bigint<<20)+x as hit from (select *, stddev_pop(val) over (partition by image_id) as s from pixels) where abs(val)>=2*s", "pixels")
 
 
 def _hits(spark, d):
@@ -227,7 +227,7 @@ def x1(spark, d):
     return r6(_hits(spark, d), "val")
 
 
-define("fof", "select image_id, hit, min(root) as cluster from (with recursive r(image_id, hit, root) as (select image_id, hit, hit from loose union select r.image_id, b.hit, r.root from r join loose a on a.hit=r.hit join loose b on b.image_id=a.image_id and (a.x-b.x)**2+(a.y-b.y)**2<=2.25) select * from r) group by 1,2", "loose")
+define("fof", "select image_id, hit, min(root) as cluster from (with recursive r(image_id, hit, root) as (select image_id, hit, hit from loose union select r.image_id, b.hit, r.root from r join loose a on a.image_id=r.image_id and a.hit=r.hit join loose b on b.image_id=a.image_id and (a.x-b.x)**2+(a.y-b.y)**2<=2.25) select * from r) group by 1,2", "loose")
 
 
 @register("x2_clusters", sql("select image_id, x, y, cluster from loose join fof using (image_id, hit)", "fof"))
@@ -235,6 +235,24 @@ def x2(spark, d):
     return sources.clusters(_loose(spark, d), 1.5).select("image_id", "x", "y", "cluster")
 
 
+define("x2_pairs", "select image_id, a.hit as a, b.hit as b, sqrt(((a.x-b.x)**2+(a.y-b.y)**2)::double) as w from loose a join loose b using (image_id) where a.hit<>b.hit", "loose")
+define("x2_joined", "select image_id, t, hit, min(root) as root from (with recursive r(image_id, t, hit, root) as (select image_id, t, hit, hit from loose join (select distinct image_id, w as t from x2_pairs) using (image_id) union select r.image_id, r.t, p.b, r.root from r join x2_pairs p on p.image_id=r.image_id and p.a=r.hit and p.w<=r.t) select * from r) group by 1,2,3", "x2_pairs")
+define("x2_parts", "select image_id, t, count(distinct root) as parts, lag(count(distinct root)) over (partition by image_id order by t) as more from x2_joined group by 1,2", "x2_joined")
+define("x2_merges", "select image_id, t as w, unnest(range(coalesce(more, (select count(*) from loose l where l.image_id=p.image_id))-parts)) as i from x2_parts p", "x2_parts")
+define("x2_steps", "select image_id, w, row_number() over (partition by image_id order by w desc) as r, w-lead(w) over (partition by image_id order by w desc) as step, count(*) over (partition by image_id) as m from x2_merges", "x2_merges")
+define("x2_first", "select image_id, m, max(w) as top, case when m=1 then 1.0::double when max(step) filter (where r=1)>2 then 2.0::double else max(w) end as cut from x2_steps group by 1,2", "x2_steps")
+define("x2_above", "select f.image_id, f.m, f.top, f.cut, count(*) filter (where s.w>f.cut) as k from x2_first f join x2_steps s on s.image_id=f.image_id group by all", "x2_first")
+define("x2_cut", "select a.image_id, case when a.m>3 and a.top<>1 and a.m<>a.k+1 and max(step) filter (where r=greatest(a.k,1))<4 and coalesce(max(step) filter (where r=a.k-1),0)<2 then 4.0::double else a.cut end as cut from x2_above a join x2_steps s on s.image_id=a.image_id group by a.image_id, a.m, a.top, a.cut, a.k", "x2_above")
+
+
+@register("x2_adaptive_clusters", sql("""
+select l.image_id, l.x, l.y, coalesce(j.root, l.hit) as cluster from loose l left join (select c.image_id, max(p.t) as t from x2_cut c join x2_parts p on p.image_id=c.image_id and p.t<=c.cut group by 1) c on c.image_id=l.image_id
+ left join x2_joined j on j.image_id=l.image_id and j.t=c.t and j.hit=l.hit""", "x2_cut"))
+def x2_adaptive(spark, d):
+    """Single linkage of the hits of each image; sources are 2 pixels apart in place of 14."""
+    return sources.adaptive_clusters(_loose(spark, d), ["image_id"], 10.0, 2.0).select("image_id", "x", "y", "cluster")
+
+
 define("summary", """select image_id, cluster, count(*) as n, max(x) filter (where r=1) as x, max(y) filter (where r=1) as y, max(val) filter (where r=1) as peak,
   greatest(0,min(x)-1) as x1, least(7,max(x)+1) as x2, greatest(0,min(y)-1) as y1, least(7,max(y)+1) as y2
   from (select *, row_number() over (partition by image_id,cluster order by abs(val) desc,y,x) as r from loose join fof using (image_id,hit)) group by 1,2""", "fof")
@@ -281,7 +299,7 @@ define("near", f"select * from (select c.*, p.pid, p.flux, {_sep('c.dec', 'c.ra'
 
 define("k3_diff", "select b.image_id, x, y, b.val-a.val as val from pixels a join (select image_id-1 as image_id, x, y, val from pixels) b using (image_id,x,y)", "pixels")
 define("k3_cells", "select *, (x//4)::int as cx, (y//4)::int as cy from k3_diff", "k3_diff")
-define("k3_loose", "select image_id,x,y,val,image_id*(1::bigint<<40)+y*(1<<20)+x as hit from k3_hits", "k3_hits")
+define("k3_loose", "select image_id,x,y,val,y*(1::bigint<<20)+x as hit from k3_hits", "k3_hits")
 again("k3_", ["cells", "hits1", "hits2", "hits", "loose", "fof", "summary", "skied"], ["hits1", "hits2", "hits", "fof", "summary", "skied"])
 define("k3_noise", "select image_id, stddev_pop(val) as local_rms from k3_diff group by 1", "k3_diff")
 define("k3_catalog", "select row_number() over (order by image_id, cluster)-1 as id, image_id, ra, dec, abs(peak) as peak_flux, local_rms from k3_skied join k3_noise using (image_id)", "k3_skied", "k3_noise")
