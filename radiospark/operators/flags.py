@@ -60,10 +60,25 @@ def channel_lines(channels: DataFrame, band: int) -> DataFrame:
     return channels.select(F.format_string("%02d:%03d", F.lit(band), F.col("chan").cast("int")).alias("line"))
 
 
+def place_of(n_ant: int, n_chan: int, n_corr: int = 4) -> Column:
+    """The place of a sample (ant1 <= ant2, chan, corr) in the packed flags of an array: baselines row by row of the upper
+    triangle, then channels, then correlations. A closed form, so no samples are ordered."""
+    baseline = F.expr(f"ant1 * {n_ant} - (ant1 * (ant1 - 1)) div 2 + (ant2 - ant1)")
+    return ((baseline * n_chan + F.col("chan")) * n_corr + F.col("corr")).cast("bigint")
+
+
+def places(n_ant: int, n_chan: int, n_corr: int = 4) -> int:
+    """The number of flags of a scan."""
+    return n_ant * (n_ant + 1) // 2 * n_chan * n_corr
+
+
 def pack_flags(df: DataFrame, obs: str, position: str = "pos", flag: str = "flag") -> DataFrame:
-    """(obs, byte_idx, byte): eight flags a byte, the first in the highest bit."""
+    """(obs, byte_idx, byte): eight flags a byte, the first in the highest bit; places without a sample are not flagged.
+
+    A byte is a partial aggregate of its own samples.
+    """
     bit = F.when(F.col(flag), F.expr(f"shiftleft(1, cast(7 - {position} % 8 as int))")).otherwise(0)
-    return df.groupBy(obs, F.expr(f"{position} div 8").alias("byte_idx")).agg(F.sum(bit).cast("bigint").alias("byte"))
+    return df.groupBy(obs, F.expr(f"{position} div 8").alias("byte_idx")).agg(F.bit_or(bit).cast("bigint").alias("byte"))
 
 
 def unpack_flags(packed: DataFrame, obs: str, length: int | DataFrame | None = None) -> DataFrame:
@@ -79,6 +94,18 @@ def unpack_flags(packed: DataFrame, obs: str, length: int | DataFrame | None = N
     return out.join(sizes, obs).where("pos < _n").drop("_n")
 
 
+def restored_flags(samples: DataFrame, packed: DataFrame, obs: str, position: str = "pos") -> DataFrame:
+    """``samples`` with the ``flag`` of their place in the packed flags; a byte that is absent raises.
+
+    Samples meet their byte by its number; nothing is unpacked but what they ask for.
+    """
+    bytes_ = packed.select(obs, "byte_idx", F.col("byte").alias("_byte"))
+    both = samples.drop("flag").withColumn("byte_idx", F.expr(f"{position} div 8")).join(bytes_, [obs, "byte_idx"], "left")
+    bit = F.expr(f"shiftright(_byte, cast(7 - {position} % 8 as int)) & 1") == 1
+    lost = F.raise_error(F.lit("there are fewer flags than samples")).cast("boolean")
+    return both.withColumn("flag", F.when(F.col("_byte").isNull(), lost).otherwise(bit)).drop("byte_idx", "_byte")
+
+
 def occupancy(vis: DataFrame) -> DataFrame:
     """Flagged samples and all samples by channel and correlation."""
     return vis.groupBy("chan", "corr").agg(F.count_if("flag").alias("flagged"), F.count("*").alias("total"))

@@ -5,9 +5,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.sky import pixel_to_sky, sky_to_pixel
 from ..session import release, written
 from .ordering import HELD, largest_group, medians, numbered
 
@@ -166,6 +167,56 @@ def resampled(source: DataFrame, targets: DataFrame, by: list[str]) -> DataFrame
     return got.join(total, ["x", "y"]).where(F.col("_got") > F.col("_all") - 1e-9).select(*by, "x", "y", "val")
 
 
+Plane = tuple[float, float, float, float]
+
+
+def pixel_map(spark: SparkSession, size: int, onto: Plane, origin: Plane) -> DataFrame:
+    """(x, y, sx, sy): where each pixel of a plane of ``size`` x ``size`` lies on another, both SIN planes (ra0, dec0, scale,
+    centre); null for pixels off the sky or below the other's horizon. Places are rounded to 1e-9 pixels."""
+    side = F.sequence(F.lit(0), F.lit(size - 1))
+    grid = spark.range(1).select(F.explode(side).alias("y")).select(F.explode(side).alias("x"), "y")
+    ra, dec = pixel_to_sky("x", "y", *onto)
+    sx, sy = sky_to_pixel("_ra", "_dec", *origin)
+    return grid.withColumns({"_ra": ra, "_dec": dec}).select("x", "y", F.round(sx, 9).alias("sx"), F.round(sy, 9).alias("sy"))
+
+
+def reprojected(source: DataFrame, by: list[str], size: int, onto: Plane, origin: Plane) -> DataFrame:
+    """(*by, x, y, val): the images of ``source`` (*by, x, y, val), which lie on the plane ``origin``, on the plane ``onto``;
+    bilinear, and null where a pixel is off the sky or lacks a neighbour on the source that it needs.
+
+    Each source pixel goes to the four squares that it is a corner of; a square meets the target pixels that fall into it. One
+    shuffle of the source by squares serves the gathering of corners and the join; the map is one row a target pixel.
+    """
+    spark = source.sparkSession
+    sides = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)))
+    sent = source.select(*by, "x", "y", F.col("val").cast("double").alias("val"), F.explode(sides).alias("_c"))
+    sent = sent.select(*by, (F.col("x") - F.col("_c.i")).cast("int").alias("_x"), (F.col("y") - F.col("_c.j")).cast("int").alias("_y"), "_c", "val").repartition("_x", "_y")
+    corner = lambda i, j: F.max(F.when((F.col("_c.i") == i) & (F.col("_c.j") == j), F.col("val"))).alias(f"_v{i}{j}")
+    squares = sent.groupBy(*by, "_x", "_y").agg(*(corner(i, j) for i in (0, 1) for j in (0, 1)))
+    placed = pixel_map(spark, size, onto, origin).where("sx is not null and sy is not null")
+    placed = placed.select("x", "y", F.floor("sx").cast("int").alias("_x"), F.floor("sy").cast("int").alias("_y"), (F.col("sx") - F.floor("sx")).alias("_fx"), (F.col("sy") - F.floor("sy")).alias("_fy"))
+    share = {(i, j): (F.col("_fx") if i else 1 - F.col("_fx")) * (F.col("_fy") if j else 1 - F.col("_fy")) for i in (0, 1) for j in (0, 1)}
+    parts = [F.when(w > 0, w * F.col(f"_v{i}{j}")).otherwise(0.0) for (i, j), w in share.items()]
+    found = squares.join(placed, ["_x", "_y"]).select(*by, "x", "y", sum(parts[1:], parts[0]).alias("val"))
+    side = F.sequence(F.lit(0), F.lit(size - 1))
+    every = source.select(*by).distinct().select(*by, F.explode(side).alias("x")).select(*by, "x", F.explode(side).alias("y"))
+    return every.join(found, [*by, "x", "y"], "left")
+
+
+def stacked(images: DataFrame, by: list[str]) -> DataFrame:
+    """A10: (*by, x, y, val, n_images): the mean of the images (image_id, x, y, val) of each group, null where one has no value."""
+    total = images.groupBy(*by, "x", "y").agg(F.when(F.count("val") == F.count("*"), F.sum("val") / F.count("*")).alias("val"), F.count("*").alias("n_images"))
+    return total
+
+
+def band_group(band: Column, first: tuple[int, ...] = (1, 4, 9)) -> Column:
+    """The group of a sub-band, counted from 1, groups beginning at the numbers ``first``; null before the first group."""
+    out = F.lit(None).cast("int")
+    for n, edge in enumerate(first, 1):
+        out = F.when(band >= edge, F.lit(n)).otherwise(out)
+    return out
+
+
 def median_residual(pixels: DataFrame, half: int, tile: int = 256) -> DataFrame:
     """Value minus the median of its (2 half + 1)^2 neighbourhood, padded with zeros.
 

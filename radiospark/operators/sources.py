@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sky import pixel_to_sky, separation
@@ -98,28 +98,53 @@ def with_sky(found: DataFrame, ra0: float, dec0: float, scale: float, centre: fl
 __all__ = ["adaptive_clusters", "class_names", "cluster_summary", "clusters", "cut_heights", "detections", "nearest_on_sky", "numbered", "reviewed", "sifted", "vetoed", "with_sky"]
 
 
-def nearest_on_sky(left: DataFrame, right: DataFrame, first_deg: float = 4.0) -> DataFrame:
+#: Square degrees of the sky, and sources in a cell of the first search at most, about.
+SKY_DEG2, CROWD = 41252.96, 16
+
+
+def _celled(df: DataFrame, height: float) -> DataFrame:
+    """Add the zone of declination _z and the cell of right ascension _c, _n of them in the zone."""
+    # Points within a height differ by asin(sin(height) / cos(dec)) in right ascension at most, which 1.6 times the quotient of
+    # both bounds; dec is that of the zone's edge next to the pole, or of a neighbour's.
+    edge = F.least(F.lit(90.0), F.greatest(F.abs(F.col("_z") * height - 90.0), F.abs((F.col("_z") + 1) * height - 90.0)) + height)
+    cells = F.greatest(F.lit(1), F.floor(360.0 * F.cos(F.radians(edge)) / (1.6 * height)).cast("int"))
+    placed = df.withColumn("_n", cells)
+    return placed.withColumn("_c", F.pmod(F.floor(F.pmod("ra", F.lit(360.0)) / 360.0 * F.col("_n")).cast("int"), F.col("_n")))
+
+
+def _zone(height: float) -> Column:
+    return F.floor((F.col("dec") + 90.0) / height).cast("int")
+
+
+def sky_candidates(left: DataFrame, right: DataFrame, height: float) -> DataFrame:
+    """(id, near): each of ``left`` (id, ra, dec) with every one of ``right`` in its cell and the cells around, cells being
+    ``height`` degrees high and no narrower; all within that distance are among them."""
+    extra = [c for c in right.columns if c not in ("ra", "dec")]
+    sent = _celled(left.select("id", "ra", "dec", F.explode(F.array(*((_zone(height) + k) for k in (-1, 0, 1)))).alias("_z")), height)
+    sent = sent.withColumn("_c", F.explode(F.array_distinct(F.array(*(F.pmod(F.col("_c") + k, F.col("_n")) for k in (-1, 0, 1)))))).drop("_n")
+    known = _celled(right.withColumn("_z", _zone(height)), height).select(*extra, F.col("ra").alias("ra2"), F.col("dec").alias("dec2"), "_z", "_c")
+    return sent.join(known, ["_z", "_c"]).select("id", F.struct(separation("dec", "ra", "dec2", "ra2").alias("sep"), *extra).alias("near"))
+
+
+def first_height(right: DataFrame) -> float:
+    """The height of the first cells: the mean distance of the sources, and less where a cell of that height is crowded."""
+    n = right.count()
+    height = min(45.0, (SKY_DEG2 / max(1, n)) ** 0.5)
+    most = _celled(right.withColumn("_z", _zone(height)), height).groupBy("_z", "_c").count().agg(F.max("count")).first()[0] or 0
+    return max(1e-5, height * min(1.0, (CROWD / max(1, most)) ** 0.5))
+
+
+def nearest_on_sky(left: DataFrame, right: DataFrame, first_deg: float | None = None) -> DataFrame:
     """Each of ``left`` (id, ra, dec) with the nearest of ``right`` (pid, ra, dec, ...) as sep and near.
 
     Both meet by zones of declination, cut into cells of right ascension that are no narrower than a zone is high; rows
-    whose nearest is further than that go on with cells four times as large, until one holds the whole sky. So the result
-    is exact, and at a given density of sources a row meets a fixed number of them.
+    whose nearest is further than that go on with cells four times as large, until one holds the whole sky. The first cells
+    are as large as the density of ``right`` asks for, so a row meets a fixed number of sources however large the catalogues
+    are, and the result is exact.
     """
-    rest, out, height = left.select("id", "ra", "dec"), None, first_deg
-    extra = [c for c in right.columns if c not in ("ra", "dec")]
+    rest, out, height = left.select("id", "ra", "dec"), None, first_deg or first_height(right)
     while True:
-        zone = lambda c: F.floor((F.col(c) + 90.0) / height).cast("int")  # noqa: B023, E731
-        # Points within a height differ by asin(sin(height) / cos(dec)) in right ascension at most, which 1.6 times the
-        # quotient of both bounds; dec is that of the zone's edge next to the pole, or of a neighbour's.
-        edge = F.least(F.lit(90.0), F.greatest(F.abs(F.col("_z") * height - 90.0), F.abs((F.col("_z") + 1) * height - 90.0)) + height)
-        cells = F.greatest(F.lit(1), F.floor(360.0 * F.cos(F.radians(edge)) / (1.6 * height)).cast("int"))
-        place = F.floor(F.pmod(F.col("ra"), F.lit(360.0)) / 360.0 * F.col("_n")).cast("int")
-        sent = rest.withColumn("_z", F.explode(F.array(*((zone("dec") + k) for k in (-1, 0, 1))))).withColumn("_n", cells)
-        sent = sent.withColumn("_c", F.explode(F.array_distinct(F.array(*(F.pmod(place + k, F.col("_n")) for k in (-1, 0, 1)))))).drop("_n")
-        known = right.withColumn("_z", zone("dec")).withColumn("_n", cells).withColumn("_c", F.pmod(place, F.col("_n")))
-        known = known.select(*extra, F.col("ra").alias("ra2"), F.col("dec").alias("dec2"), "_z", "_c")
-        sep = separation("dec", "ra", "dec2", "ra2")
-        best = sent.join(known, ["_z", "_c"]).groupBy("id").agg(F.min(F.struct(sep.alias("sep"), *extra)).alias("near"))
+        best = sky_candidates(rest, right, height).groupBy("id").agg(F.min("near").alias("near"))
         both = rest.join(best, "id", "left")
         if height >= 180:
             found = both.where("near is not null")
@@ -127,7 +152,10 @@ def nearest_on_sky(left: DataFrame, right: DataFrame, first_deg: float = 4.0) ->
         both = written(both, "nearest")
         sure = F.col("near").isNotNull() & (F.col("near.sep") <= height)
         out = both.where(sure) if out is None else out.unionByName(both.where(sure))
-        rest, height = both.where(~sure).select("id", "ra", "dec"), height * 4
+        left_over = both.where(~sure).select("id", "ra", "dec")
+        if left_over.isEmpty():
+            return out
+        rest, height = left_over, height * 4
 
 
 def vetoed(matched: DataFrame, radius_deg: float = 20 / 60, amplification: float = 5.0) -> DataFrame:

@@ -95,6 +95,13 @@ def a9(spark, d):
     return r6(images.co_added(banded(spark, d).withColumn("slot", F.expr("seq div 5")), ["band", "slot"], 3), "val")
 
 
+@register("a9_band_co_add", sql("select case when band>=9 then 3 when band>=4 then 2 else 1 end as part, seq, x, y, round(sum(val)/count(*),6)+0.0 as val, count(distinct image_id) as n_images from banded where band>=1 group by 1,2,3,4", "banded"))
+def a9_bands(spark, d):
+    """The images of a time by groups of sub-bands."""
+    grouped = banded(spark, d).withColumn("part", images.band_group(F.col("band"))).where("part is not null")
+    return r6(images.co_added(grouped, ["part", "seq"]), "val")
+
+
 define("k4_freq", "select seq as image_id, seq//5 as slot, x, y, sum(val)/count(distinct image_id) as val from banded group by 1,2,3,4", "banded")
 define("k4_rms", f"select slot, image_id, stddev_pop(val) as rms from k4_freq where {BOX} group by 1,2", "k4_freq")
 define("k4_kept", "select image_id from (select *, 1.1*median(rms) filter (where rms>0) over (partition by slot) as cut from k4_rms) where rms<=cut", "k4_rms")
@@ -201,6 +208,33 @@ def a10(spark, d):
     return r6(images.co_added(moved.join(fx.images(spark, d), "image_id"), ["band"], 2), "val")
 
 
+#: A second sky beside PLANE: another centre and scale.
+OTHER = (184.0, 41.5, 1.6, 4.5)
+_UP = "sqrt(1-{0}.e*{0}.e-{0}.n*{0}.n)"
+define("moved_sky", f"select x, y, radians(-(x-{OTHER[3] - 1})*{OTHER[2]}::double) as e, radians((y-{OTHER[3] - 1})*{OTHER[2]}::double) as n from (select unnest(range(8)) as x) a, (select unnest(range(8)) as y) b")
+define("moved_at", f"select x, y, {OTHER[0]}::double+degrees(atan2(e, {_UP.format('m')}*cos(radians({OTHER[1]}::double))-n*sin(radians({OTHER[1]}::double))))-{PLANE[0]} as h, asin({_UP.format('m')}*sin(radians({OTHER[1]}::double))+n*cos(radians({OTHER[1]}::double))) as dec from moved_sky m", "moved_sky")
+define("moved_map", f"select x, y, round(-degrees(cos(dec)*sin(radians(h)))/{PLANE[2]}+{PLANE[3] - 1},9) as sx, round(degrees(sin(dec)*cos(radians({PLANE[1]}::double))-cos(dec)*sin(radians({PLANE[1]}::double))*cos(radians(h)))/{PLANE[2]}+{PLANE[3] - 1},9) as sy from moved_at", "moved_at")
+define("moved", """select i.image_id, m.x, m.y, case when w00>0 then w00*a.val else 0 end + case when w01>0 then w01*c.val else 0 end + case when w10>0 then w10*b.val else 0 end + case when w11>0 then w11*f.val else 0 end as val
+ from (select distinct image_id from pixels) i, (select *, floor(sx) as bx, floor(sy) as by_, (1-(sx-floor(sx)))*(1-(sy-floor(sy))) as w00, (sx-floor(sx))*(1-(sy-floor(sy))) as w10, (1-(sx-floor(sx)))*(sy-floor(sy)) as w01, (sx-floor(sx))*(sy-floor(sy)) as w11 from moved_map) m
+ left join pixels a on a.image_id=i.image_id and a.x=bx and a.y=by_ left join pixels b on b.image_id=i.image_id and b.x=bx+1 and b.y=by_
+ left join pixels c on c.image_id=i.image_id and c.x=bx and c.y=by_+1 left join pixels f on f.image_id=i.image_id and f.x=bx+1 and f.y=by_+1""", "pixels", "moved_map")
+
+
+@register("j23_two_skies", sql("select image_id, x, y, round(val,6)+0.0 as val from moved", "moved"))
+def j23_two_skies(spark, d):
+    """The images of one sky on the plane of another with its own centre and scale."""
+    return r6(images.reprojected(fx.pixels(spark, d), ["image_id"], 8, OTHER, PLANE), "val")
+
+
+@register("a10_stack_two_skies", sql("select band, x, y, case when count(val)=count(*) then round(sum(val)/count(*),6)+0.0 end as val, count(*) as n_images from (select image_id, x, y, val from moved where image_id%2=1 union all select image_id, x, y, val from pixels where image_id%2=0) join images using (image_id) group by 1,2,3", "moved", "images"))
+def a10_two_skies(spark, d):
+    """Images of odd numbers, which lie on another sky, are brought to the plane of the others and stacked with them by band."""
+    one = fx.pixels(spark, d)
+    brought = images.reprojected(one.where("image_id % 2 = 1"), ["image_id"], 8, OTHER, PLANE)
+    both = one.where("image_id % 2 = 0").unionByName(brought)
+    return r6(images.stacked(both.join(fx.images(spark, d), "image_id"), ["band"]), "val")
+
+
 @register("w6_median_residual", sql("select p.image_id, p.x, p.y, round(p.val-median(coalesce(q.val,0)),6)+0.0 as val from pixels p cross join (select i.i as i, j.j as j from (select unnest(range(-10,11)) as i) i, (select unnest(range(-10,11)) as j) j) o left join pixels q on q.image_id=p.image_id and q.x=p.x+o.i and q.y=p.y+o.j group by p.image_id,p.x,p.y,p.val", "pixels"))
 def w6(spark, d):
     return r6(images.median_residual(fx.pixels(spark, d), 10), "val")

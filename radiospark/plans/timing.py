@@ -12,7 +12,7 @@ from ..session import scratch_path, table, written
 from ..sources import fixtures as fx
 from ..sources import tables
 from ..streaming import ingest
-from . import visibility  # noqa: F401  its expressions are used here
+from . import visibility
 from .oracle import define, sql
 from .registry import register
 
@@ -397,7 +397,7 @@ define("k2_listed", "select scan,ant1,ant2,chan,corr,re,im,amp, flag or ant1 in
 define("k2_flagged", _rms_sql("scan", 1.7, "k2_listed", "v.re, v.im,"), "k2_listed")
 define("k2_timed", "select *, epoch(ts)/86400.0::double+2440587.5 as jd from (select *, timestamp '2024-01-01' + to_hours((scan*5)::int) as ts from k2_flagged)", "k2_flagged")
 define("k2_routed", "select *, hour(ts) between 1 and 14 or (lst>=11 and lst<=14) as processed from (select *, ((18.697374558+24.06570982441908*(jd-2451545.0)-118.281667*24/360)%24+24)%24 as lst from k2_timed) where scan%4<>3", "k2_timed")
-define("k2_packed", "select scan, sum(byte)::bigint as packed, count(*) as bytes from (select scan, pos//8, sum(case when flag then 1<<(7-(pos%8))::int else 0 end) as byte from (select scan, flag, row_number() over (partition by scan order by ant1,ant2,chan,corr)-1 as pos from k2_routed) group by 1,2) group by 1", "k2_routed")
+define("k2_packed", "select scan, sum(byte)::bigint as packed, count(*) as bytes from (select scan, pos//8, sum(case when flag then 1<<(7-(pos%8))::int else 0 end) as byte from (select scan, flag, ((ant1*16-(ant1*(ant1-1))//2+ant2-ant1)*24+chan)*4+corr as pos from k2_routed) group by 1,2) group by 1", "k2_routed")
 
 
 @register("k2_flag_and_average", sql("""
@@ -412,8 +412,7 @@ def k2(spark, d):
     routed = timeline.routed_by_hour(timed, "ts", 1, 14).withColumn("lst", sky.sidereal_hours(sky.julian_date("ts")))
     routed = routed.withColumn("processed", F.col("processed") | F.col("lst").between(11, 14))
     routed = written(timeline.not_done(routed, routed.where("scan % 4 = 3"), ["scan"]), "routed")
-    order = Window.partitionBy("scan").orderBy("ant1", "ant2", "chan", "corr")
-    packed = flags.pack_flags(routed.select("scan", "flag", (F.row_number().over(order) - 1).alias("pos")), "scan")
+    packed = flags.pack_flags(visibility.with_places(routed), "scan")
     packed = packed.groupBy("scan").agg(F.sum("byte").alias("packed"), F.count("*").alias("bytes"))
     columns = ["scan", "ant1", "ant2", "chan", "corr", "re", "flag"]
     done = calibrate.bin_channels(routed.where("processed")).select(F.lit("averaged").alias("route"), *columns)

@@ -213,26 +213,31 @@ def s9(spark, d):
     return flags.channel_lines(fx.vis(spark, d).where("flag and ant1 = ant2 and corr = 0").select("chan").distinct(), 7)
 
 
-define("flagpos", "select scan, flag, row_number() over (partition by scan order by ant1,ant2,chan,corr)-1 as pos from vis", "vis")
+define("flagpos", "select *, ((ant1*16-(ant1*(ant1-1))//2+ant2-ant1)*24+chan)*4+corr as pos from vis", "vis")
 define("packed", "select scan, pos//8 as byte_idx, sum(case when flag then 1<<(7-(pos%8))::int else 0 end)::bigint as byte from flagpos group by 1,2", "flagpos")
 
 
-def _positions(spark, d):
-    from pyspark.sql import Window
-
-    order = Window.partitionBy("scan").orderBy("ant1", "ant2", "chan", "corr")
-    return fx.vis(spark, d).select("scan", "flag", (F.row_number().over(order) - 1).alias("pos"))
+def with_places(vis):
+    return vis.withColumn("pos", flags.place_of(fx.N_ANT, fx.N_CHAN))
 
 
 @register("s10_pack_flags", sql("select * from packed", "packed"))
 def s10(spark, d):
-    return flags.pack_flags(_positions(spark, d), "scan")
+    return flags.pack_flags(with_places(fx.vis(spark, d)), "scan")
 
 
-@register("s11_unpack_flags", sql("select scan, pos, flag from flagpos", "flagpos"))
+@register("s11_unpack_flags", sql("select scan, byte_idx*8+k as pos, (byte>>(7-k))&1=1 as flag from packed, (select unnest(range(8)) as k)", "packed"))
 def s11(spark, d):
-    own = _positions(spark, d)
-    return flags.unpack_flags(flags.pack_flags(own, "scan"), "scan", own.groupBy("scan").agg(F.count("*").alias("n")))
+    return flags.unpack_flags(flags.pack_flags(with_places(fx.vis(spark, d)), "scan"), "scan")
+
+
+@register("s11_restored_flags", sql("select scan, ant1, ant2, chan, corr, flag from vis", "vis"))
+def s11_restored(spark, d):
+    """Packed, written, read again and given back to the samples."""
+    own, path = with_places(fx.vis(spark, d)), scratch_path(spark, "flags")
+    flags.pack_flags(own, "scan").write.partitionBy("scan").parquet(path)
+    packed = spark.read.parquet(path).withColumn("scan", F.col("scan").cast("bigint"))
+    return flags.restored_flags(own, packed, "scan").select(*SAMPLE, "flag")
 
 
 @register("a1_incoherent_sum", sql("select scan,chan,corr,round(amp,6) as amp,n from spectrum", "spectrum"))
