@@ -35,10 +35,11 @@ def with_gains(vis: DataFrame, gains: DataFrame, columns: tuple[str, ...] = ("gr
     return out.drop("_p", "_q")
 
 
-def apply_bandpass(vis: DataFrame, gains: DataFrame, cross_only: bool = False) -> DataFrame:
-    """V / (g1 * conj(g2)) for each element; null where a gain is missing or zero. Flags are ignored."""
+def apply_bandpass(vis: DataFrame, gains: DataFrame, cross_only: bool = False, by: tuple[str, ...] = ()) -> DataFrame:
+    """V / (g1 * conj(g2)) for each element, with the gains of equal ``by``; null where a gain is missing or zero. Flags are
+    ignored."""
     vis = vis.where("ant1 != ant2") if cross_only else vis
-    both = with_gains(vis, gains, ("gr", "gi"))
+    both = with_gains(vis, gains, ("gr", "gi"), by)
     product = times((F.col("g1_gr"), F.col("g1_gi")), conj((F.col("g2_gr"), F.col("g2_gi"))))
     re, im = over((F.col("re"), F.col("im")), product)
     return both.withColumns({"re": re, "im": im}).select(*vis.columns)
@@ -49,7 +50,7 @@ def any_corr_flagged(vis: DataFrame) -> Column:
     return F.max("flag").over(Window.partitionBy(*CELL))
 
 
-def apply_bandpass_flagged(vis: DataFrame, gains: DataFrame | None = None, use_flags: bool = True) -> DataFrame:
+def apply_bandpass_flagged(vis: DataFrame, gains: DataFrame | None = None, use_flags: bool = True, by: tuple[str, ...] = ()) -> DataFrame:
     """Cross baselines with all correlations of a cell null if one is flagged, and null where a gain is flagged or missing.
 
     Without gains the data stay as they are but for the flags.
@@ -60,7 +61,7 @@ def apply_bandpass_flagged(vis: DataFrame, gains: DataFrame | None = None, use_f
     if gains is None:
         return out
     usable = gains.withColumns({c: F.when(~F.coalesce("flag", F.lit(False)), F.col(c)) for c in ("gr", "gi")})
-    return apply_bandpass(out, usable)
+    return apply_bandpass(out, usable, by=by)
 
 
 def solve_gain_scale(target: DataFrame, to_scale: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:

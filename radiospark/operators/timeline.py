@@ -108,6 +108,21 @@ def with_calibration(scans: DataFrame, tables: DataFrame) -> DataFrame:
     return scans.withColumn("date", F.to_date("ts")).join(tables, ["spw", "date"], "left")
 
 
+def with_effective_calibration(scans: DataFrame, tables: DataFrame) -> DataFrame:
+    """J24, as of: add ``gain_id``, that of the band's latest of ``tables`` (spw, date, gain_id) not after the scan's date (of
+    equal dates the greatest id); null where there is none.
+
+    A table holds from its date to the day before the next of its band, or to the last scan; the days of the tables are a
+    dimension of one row a band and day, which scans meet by equality.
+    """
+    last = scans.agg(F.max(F.to_date("ts")).alias("_last"))
+    order = Window.partitionBy("spw").orderBy("date")  # a row a table
+    until = F.coalesce(F.date_sub(F.lead("date").over(order), 1), F.greatest("date", "_last"))
+    held = tables.groupBy("spw", "date").agg(F.max("gain_id").alias("gain_id")).join(F.broadcast(last)).withColumn("_until", until)  # one row
+    days = held.select("spw", F.explode(F.sequence("date", "_until")).alias("date"), "gain_id")
+    return scans.withColumn("date", F.to_date("ts")).join(days, ["spw", "date"], "left")
+
+
 def overlapping_pairs(df: DataFrame, by: list[str], order: str, key: str) -> DataFrame:
     """(by, pair, key): items i and i + 1 of each group as pair i."""
     w = Window.partitionBy(*by).orderBy(order)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sky
 from ..functions.numbers import amp, rounded
-from ..operators import calibrate, flags, images, rfi, spectra, timeline
+from ..operators import calibrate, flags, images, rfi, snapshots, spectra, timeline
 from ..session import scratch_path, table, written
 from ..sources import fixtures as fx
 from ..sources import tables
@@ -293,6 +293,28 @@ def s12(spark, d):
     return tables.scan_files(names(spark, d), "2024-01-05 00:00:00", "2024-01-06 00:00:00")
 
 
+define("s12_found", "select name, ts, spw::int as spw, ts::date as \"date\", hour(ts)::int as hour from names join scans using (scan_id)", "names", "scans")
+
+
+def _layout(spark, d):
+    """Folders of dates and hours; an hour of the fixture has one scan a sub-band."""
+    path = scratch_path(spark, "layout")
+    tables.write_scan_layout(tables.scan_files(names(spark, d), "1970-01-01 00:00:00", "9999-12-31 00:00:00"), path, ("date", "hour"))
+    return path
+
+
+@register("s12_partitioned_discovery", sql("select * from s12_found where ts between timestamp '2024-01-05 07:00:00' and timestamp '2024-01-07 15:30:00' and spw in (2, 3, 11)", "s12_found"))
+def s12_partitioned(spark, d):
+    return tables.discovered(spark, _layout(spark, d), "2024-01-05 07:00:00", "2024-01-07 15:30:00", [2, 3, 11])
+
+
+@register("s12_listed_discovery", sql("select f.* from s12_found f join (select distinct spw, ts::date as \"date\", hour(ts) as hour from scans where scan_id%50=7) w using (spw, \"date\", hour)", "s12_found"))
+def s12_listed(spark, d):
+    """The folders of some scans."""
+    wanted = fx.scans(spark, d).where("scan_id % 50 = 7").select("spw", F.to_date("ts").alias("date"), F.hour("ts").alias("hour"))
+    return tables.discovered_for(spark, _layout(spark, d), wanted)
+
+
 @register("s13_quality_select", sql("select date_trunc('day', ts) as day, spw, share from (select ts, spw, cast(count(*) over (partition by ts) as bigint) as share from scans) where share>12 and month(ts)=1", "scans"))
 def s13(spark, d):
     path = scratch_path(spark, "quality")
@@ -502,3 +524,61 @@ def z3(spark, d):
     work = lambda batch: batch.groupBy((F.col("user_id") % 16).alias("spw")).agg(F.count("*").alias("n"), F.sum("value").alias("total"))
     ingest.for_each_batch(ingest.file_stream(spark, d, "events.parquet"), work, f"{base}/out", f"{base}/state")
     return spark.read.parquet(f"{base}/out").groupBy("spw").agg(F.sum("n").alias("n"), rounded(F.sum("total"), 4).alias("total"))
+
+
+define("z3_listed", "select *, timestamp '2024-01-01' + to_hours((scan*5)::int) as ts from k2_listed", "k2_listed")
+define("z3_rms", "select *, sqrt(amp*amp) as r from z3_listed where not flag", "z3_listed")
+define("z3_flagged", "select v.scan, v.ant1, v.ant2, v.chan, v.corr, v.re, v.ts, v.flag or coalesce(abs(r.r-r.m)>1.7*r.s, false) as flag from z3_listed v left join (select scan, ant1, ant2, corr, chan, r, avg(r) over p as m, stddev_pop(r) over p as s from z3_rms window p as (partition by scan, ant1, ant2, corr)) r using (scan, ant1, ant2, corr, chan)", "z3_rms")
+define("z3_lst", "select *, ((18.697374558+24.06570982441908*(epoch(ts)/86400.0::double+2440587.5-2451545.0)-118.281667*24/360)%24+24)%24 as lst from z3_flagged", "z3_flagged")
+define("z3_routed", "select *, hour(ts) between 1 and 14 or (lst>=11 and lst<=14) or exists (select 1 from calibrators c where abs(((z.lst-c.ra/15+12)%24+24)%24-12)<=60/120.0) as processed from z3_lst z", "z3_lst", "calibrators")
+define("z3_packed", "select scan, sum(byte)::bigint as packed, count(*) as bytes from (select scan, pos//8, sum(case when flag then 1<<(7-(pos%8))::int else 0 end) as byte from (select scan, flag, ((ant1*16-(ant1*(ant1-1))//2+ant2-ant1)*24+chan)*4+corr as pos from z3_routed) group by 1,2) group by 1", "z3_routed")
+define("z3_data", "select scan, 'averaged' as route, ant1, ant2, chan//4 as chan, corr, avg(re) filter (where not flag) as re, bool_and(flag) as flag from z3_routed where processed group by all union all select scan, 'archived', ant1, ant2, chan, corr, re, flag from z3_routed where not processed", "z3_routed")
+_SNAPSHOTS = sql("select scan, route, ant1, ant2, chan, corr, round(re,6)+0.0 as re, flag, packed, bytes from z3_data join z3_packed using (scan)", "z3_data", "z3_packed")
+
+
+def timed_snapshots(spark, d):
+    """Cross baselines with the time of their scan, five hours apart."""
+    return _plane(spark, d).withColumn("ts", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(hours=(F.col("scan") * 5).cast("int")))
+
+
+def snapshot_products(spark, flagger):
+    listed = spark.createDataFrame([(a,) for a in fx.FLAGGED_ANTENNAS], "ant bigint")
+    return lambda vis: snapshots.chain(vis, listed, fx.calibrators(spark), flagger, fx.N_ANT, fx.N_CHAN, transit_minutes=60.0)
+
+
+def _told(products):
+    packed = products["flags"].groupBy("scan").agg(F.sum("byte").alias("packed"), F.count("*").alias("bytes"))
+    return r6(products["data"].join(packed, "scan"), "re").select("scan", "route", "ant1", "ant2", "chan", "corr", "re", "flag", "packed", "bytes")
+
+
+@register("k2_snapshot_chain", _SNAPSHOTS)
+def k2_chain(spark, d):
+    """Every snapshot by itself: flags by channel, packed flags, route by hour, sidereal time or transit, average."""
+    return _told(snapshot_products(spark, snapshots.by_channel(1.7))(timed_snapshots(spark, d)))
+
+
+@register("k2_schedule_chain")
+def k2_schedule(spark, d):
+    """The same with the whole flagging schedule on planes of many scans; no SQL, as R8 has none."""
+    return _told(snapshot_products(spark, snapshots.by_schedule(_SPAN))(timed_snapshots(spark, d)))
+
+
+def _streamed(spark, d):
+    base = scratch_path(spark, "snapshots")
+    timed_snapshots(spark, d).repartition("scan").write.partitionBy("scan").parquet(f"{base}/in")
+    stream = ingest.file_stream(spark, f"{base}/in", files=3).withColumn("scan", F.col("scan").cast("bigint"))
+    ingest.snapshot_chain(stream, snapshot_products(spark, snapshots.by_channel(1.7)), f"{base}/out", f"{base}/state")
+    schemas = {"flags": "byte_idx bigint, byte bigint, scan bigint", "data": "route string, ant1 bigint, ant2 bigint, chan bigint, corr bigint, re double, flag boolean, scan bigint"}
+    return {name: tables.read_or_empty(spark, f"{base}/out/version=1/{name}", schema) for name, schema in schemas.items()}
+
+
+@register("z3_snapshot_chain", _SNAPSHOTS)
+def z3_chain(spark, d):
+    """The chain of ``k2_snapshot_chain`` as snapshots come in."""
+    return _told(_streamed(spark, d))
+
+
+@register("z3_snapshot_co_add", sql("select ant1, ant2, chan, corr, round(avg(re),6)+0.0 as re, count(*) as n from z3_data where route='averaged' and not flag group by 1,2,3,4", "z3_data"))
+def z3_co_add(spark, d):
+    """The co-add of the averaged snapshots that have come in."""
+    return r6(snapshots.co_added(_streamed(spark, d)["data"]), "re")

@@ -494,6 +494,38 @@ def k1(spark, d):
     return r6(spectra.dynamic_spectrum(fx.vis(spark, d), fx.gains(spark, d)), "amp")
 
 
+#: Gain tables of two sub-bands: (spw, date, gain_id).
+TABLES = [(0, "2024-01-01", 1), (0, "2024-01-03", 2), (1, "2024-01-02", 3)]
+define("k1_scans", "select scan, scan%2 as spw, timestamp '2024-01-01' + to_hours((20*(scan//2))::int) as ts from (select distinct scan from vis)", "vis")
+define("k1_tables", "select * from (values " + ", ".join(f"({a}, date '{b}', {c})" for a, b, c in TABLES) + ") t(spw, made, gain_id)")
+define("k1_told", "select s.*, dense_rank() over (order by ts)-1 as number, (select arg_max(gain_id, made) from k1_tables t where t.spw=s.spw and t.made<=s.ts::date) as gain_id from k1_scans s", "k1_scans", "k1_tables")
+define("k1_paired", """select v.*, number, spw, a.gr*(1+t.gain_id/10.0::double) as ar, a.gi as ai, a.flag as af, b.gr*(1+t.gain_id/10.0::double) as br, b.gi as bi, b.flag as bf,
+  max(case when v.flag then 1 else 0 end) over (partition by v.scan,v.ant1,v.ant2,v.chan)=1 as bad from vis v join k1_told t on t.scan=v.scan and gain_id is not null
+  left join gains a on a.ant=v.ant1 and a.chan=v.chan and a.pol=v.corr//2 left join gains b on b.ant=v.ant2 and b.chan=v.chan and b.pol=v.corr%2 where ant1<>ant2""", "k1_told", "gains")
+define("k1_amp", "select number as scan, spw*24+chan as chan, corr, ant1, ant2, case when not bad and not af and not bf then sqrt(((re*pr+im*pi)**2+(im*pr-re*pi)**2))/nullif(pr*pr+pi*pi,0) end as amp from (select *, ar*br+ai*bi as pr, ai*br-ar*bi as pi from k1_paired)", "k1_paired")
+define("k1_spectra", f"select 'sum' as type, scan, chan, corr, avg(amp) as amp from k1_amp group by all union all select concat(ant1,'-',ant2), scan, chan, corr, amp from k1_amp where (ant1,ant2) in {FLAGGED_BASELINES}", "k1_amp")
+
+
+def _dated(spark, d):
+    vis = fx.vis(spark, d)
+    when = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(hours=(20 * F.floor(F.col("scan") / 2.0)).cast("int"))
+    scans = vis.select("scan").distinct().select("scan", (F.col("scan") % 2).cast("int").alias("spw"), when.alias("ts"))
+    made = spark.createDataFrame(TABLES, "spw int, date string, gain_id int").withColumn("date", F.col("date").cast("date"))
+    gains = fx.gains(spark, d).join(made.select("gain_id")).withColumn("gr", F.col("gr") * (1 + F.col("gain_id") / 10.0))  # three tables
+    return spectra.dated_spectra(vis, scans, made, gains, bls(spark), fx.N_CHAN)
+
+
+@register("k1_dated_gains", sql("select type, corr, scan, chan as freq_idx, coalesce(round(amp,6),0) as amp, amp is not null as present from (select distinct type from k1_spectra) cross join (select distinct scan from k1_spectra) cross join (select distinct chan from k1_spectra) cross join (select distinct corr from k1_spectra) left join k1_spectra using (type,scan,chan,corr)", "k1_spectra"))
+def k1_dated(spark, d):
+    """Two sub-bands over three days under the gain table of each date; the mean over baselines and three baselines."""
+    return r6(_dated(spark, d)[0], "amp")
+
+
+@register("k1_skipped_scans", sql("select spw, ts::date as \"date\", count(*) as n from k1_told where gain_id is null group by 1,2", "k1_told"))
+def k1_skipped(spark, d):
+    return _dated(spark, d)[1]
+
+
 @register("g2_unpack_rows", sql("select scan, ant1, ant2, chan, corr, round(re,6)+0.0 as re from vis", "vis"))
 def g2(spark, d):
     row = ["scan", "ant1", "ant2"]  # a row of the table holds the band's channels and four correlations
