@@ -454,18 +454,20 @@ def f9(spark, d):
     return fx.catalog(spark, d).select("id", rounded(x).alias("px"), rounded(y).alias("py"))
 
 
-@register("f10_pixel_to_sky", sql("select id, round(ra,5) as ra, round(dec,5) as dec from proj where up>0.1", "proj"))
+@register("f10_pixel_to_sky", sql("select id, case when up>0 then round(ra,5) end as ra, case when up>0 then round(dec,5) end as dec from proj", "proj"))
 def f10(spark, d):
     x, y = sky.sky_to_pixel("ra", "dec", *PLANE)
-    cat = fx.catalog(spark, d).withColumns({"px": x, "py": y, "el": sky.elevation("ra", "dec", F.lit(PLANE[0]), F.lit(PLANE[1]))})
+    cat = fx.catalog(spark, d).withColumns({"px": x, "py": y})
     ra, dec = sky.pixel_to_sky("px", "py", *PLANE)
-    return cat.where(F.sin(F.radians("el")) > 0.1).select("id", rounded(ra, 5).alias("ra"), rounded(dec, 5).alias("dec"))
+    return cat.select("id", rounded(ra, 5).alias("ra"), rounded(dec, 5).alias("dec"))
 
 
-@register("f11_beam_correction", sql(f"select id, round(peak_flux/nullif(case when el>0 then sin(radians(el))**1.6 end,0),4) as flux from (select *, {_EL.format(lat=37.2, lst='100.0')} as el from catalog) where el>1 or el<=0", "catalog"))
+@register("f11_beam_correction", sql(f"select id, case when el>1 then round(peak_flux/sin(radians(el))**1.6,4) end as flux, case when el>0 then round(log10(peak_flux/sin(radians(el))**1.6),6)+0.0 end as log_flux from (select *, {_EL.format(lat=37.2, lst='100.0')} as el from catalog)", "catalog"))
 def f11(spark, d):
-    cat = fx.catalog(spark, d).withColumn("el", sky.elevation("ra", "dec", F.lit(100.0), F.lit(37.2))).where("el > 1 or el <= 0")
-    return cat.select("id", rounded(F.try_divide("peak_flux", sky.beam_gain("el")), 4).alias("flux"))
+    """Every source above the horizon; those within a degree of it, whose flux grows without bound, by the logarithm alone."""
+    cat = fx.catalog(spark, d).withColumn("el", sky.elevation("ra", "dec", F.lit(100.0), F.lit(37.2)))
+    flux = F.try_divide("peak_flux", sky.beam_gain("el"))
+    return cat.select("id", F.when(F.col("el") > 1, rounded(flux, 4)).alias("flux"), rounded(F.log10(flux)).alias("log_flux"))
 
 
 define("beams", "select chan, " + ", ".join(f"avg(m{i}{j}) as m{i}{j}" for i in range(4) for j in {0, i}) + " from mueller group by 1", "mueller")

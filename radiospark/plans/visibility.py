@@ -446,13 +446,13 @@ def f5(spark, d):
     return r6(mueller_of_gains(spark, d), *ENTRIES)
 
 
-@register("j17_antenna_names", sql("select ant, chan, coalesce(try_cast(substring(n_name, 8) as int), ant::int) as number from gains left join nation on n_nationkey=ant where pol=0 and ant<20", "gains"))
+@register("j17_antenna_names", sql("select ant, chan, pol, coalesce(try_cast(substring(n_name, 8) as int), ant::int) as number from gains left join nation on n_nationkey=ant", "gains"))
 def j17(spark, d):
     from ..operators.timeline import antenna_numbers
     from ..session import table
 
     names = table(spark, d, "nation").select(F.col("n_nationkey").alias("ant"), F.col("n_name").alias("name"))
-    return antenna_numbers(fx.gains(spark, d).where("pol = 0 and ant < 20"), names, 7).select("ant", "chan", "number")
+    return antenna_numbers(fx.gains(spark, d), names, 7).select("ant", "chan", "pol", "number")
 
 
 @register("j18_delay_difference", sql("select ant,pol,round(n.delay_ns-r.delay_ns,6)+0.0 as difference from (select * from delays where epoch=1) n join (select * from delays where epoch=0) r using (ant,pol)", "delays"))

@@ -245,3 +245,11 @@ def test_boxes_of_the_mask(spark):
     boxes = [(2, 2, 3), (3, 2, 3), (8, 8, 5), (5, 5, 0)]
     got = {(r["x"], r["y"]): r["mask"] for r in images.masked_boxes(pixels, spark.createDataFrame(boxes, "x0 int, y0 int, width int")).collect()}
     assert got == {(x, y): int(any(w > 0 and abs(x - a) <= w // 2 and abs(y - b) <= w // 2 for a, b, w in boxes)) for x in range(9) for y in range(9)}
+
+
+def test_delay_tables_of_other_antennas_raise(spark):
+    new, old = (spark.createDataFrame(rows, "ant int, pol int, delay_ns double") for rows in ([(0, 0, 3.0), (1, 0, 5.0)], [(0, 0, 1.0)]))
+    assert [r["difference"] for r in timeline.delay_differences(new.where("ant = 0"), old).collect()] == [2.0]
+    for a, b in ((new, old), (old, new)):
+        with pytest.raises(Exception, match="different antennas"):
+            timeline.delay_differences(a, b).collect()
