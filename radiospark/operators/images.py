@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.sky import pixel_to_sky, sky_to_pixel
-from ..session import release, written
+from ..session import importable, release, written
 from .ordering import HELD, largest_group, medians, numbered
 
 SIGMA = 1.4826
@@ -223,6 +223,7 @@ def median_residual(pixels: DataFrame, half: int, tile: int = 256) -> DataFrame:
     Pixels go to their square of side ``tile``, and to the neighbours whose rim of ``half`` pixels they lie in; a task takes
     the medians of a square with its rim at once.
     """
+    importable(pixels.sparkSession)
     reach = range(-1 - half // tile, 2 + half // tile)
     steps = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in reach for j in reach))
     sent = pixels.select("image_id", "x", "y", F.col("val").cast("double").alias("val"), F.explode(steps).alias("s"))

@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import importable
+
 PLANE = ["ant1", "ant2", "corr"]
 
 
@@ -45,6 +47,7 @@ def sum_threshold(values: np.ndarray, mask: np.ndarray, level: float, factor: fl
 def sum_thresholded(df: DataFrame, level: float, plane: list[str] = PLANE, value: str = "amp") -> DataFrame:
     """OR ``flag`` with SumThreshold hits in time and channel; the level counts standard deviations (by the median
     absolute deviation) from the plane's median, flagged samples being left out."""
+    importable(df.sparkSession)
 
     def work(rows: pd.DataFrame) -> pd.DataFrame:
         values, ti, ci = _matrix(rows, value)
@@ -63,6 +66,7 @@ def sum_thresholded(df: DataFrame, level: float, plane: list[str] = PLANE, value
 
 def high_passed(df: DataFrame, sigma_time: float = 2.5, sigma_chan: float = 5.0, plane: list[str] = PLANE, value: str = "amp") -> DataFrame:
     """Add ``residual``: the value minus the plane smoothed by Gaussian weights over unflagged samples."""
+    importable(df.sparkSession)
 
     def kernel(n: int, sigma: float) -> np.ndarray:
         d = np.subtract.outer(np.arange(n), np.arange(n))

@@ -18,7 +18,7 @@ _TRACKS: list[list[DataFrame]] = []
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A session for tests and the bench: one JVM, UTC, adaptive execution."""
-    return (
+    session = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("radiospark")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -29,6 +29,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
+    importable(session)
+    return session
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -50,7 +52,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def importable(spark: SparkSession) -> None:
-    """Let Python workers on this machine import the package from where the driver has it, whatever their working folder."""
+    """Let Python workers on this machine import the package from where the driver has it, whatever their working folder.
+
+    A function keeps the paths of the time when it was given to Spark, so operators that run Python call this first.
+    """
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
