@@ -10,10 +10,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import release, scratch_path, table, written
+from ..session import importable, release, scratch_path, table, written
 
 __all__ = [
     "Shared",
@@ -58,6 +58,9 @@ def give_back() -> None:
 
 def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A task's function that gives its memory back when its task ends."""
+    active = SparkSession.getActiveSession()
+    if active is not None:  # on the driver
+        importable(active)
 
     @functools.wraps(run)
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
