@@ -7,8 +7,8 @@ products of the components up to the first of ``stops`` are accumulated for all
 the norms of what is left; where the sum of both, an upper bound, cannot reach the threshold, the pair stops. The others go
 on to the next stop. For the few that pass the last, the cosine is taken in double precision from the vectors as given.
 
-Tiles meet in groups (i, j) of buckets. Which tiles can link with which buckets is settled on a table of boxes first, so a
-tile is sent to those groups alone. Tiles, buckets and the sample are bounded in bytes, no task has a key of its own to
+Tiles meet in groups (i, j) of buckets. Which tiles can link with which buckets is settled on tables of boxes first, of many
+buckets, of buckets, and of tiles, so a tile is sent to those groups alone. Tiles, buckets and the sample are bounded in bytes, no task has a key of its own to
 grow, and equal vectors are compared once, with their number. Within a pair of tiles only counts and a spanning forest of
 the links leave the task, never all pairs of a group.
 
@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,6 +42,8 @@ STOPS = (8, 16, 32)
 #: Buckets at least, so that small tables are dealt over some tasks.
 LEAST_BUCKETS = 12
 CELL_AXES, BOX_AXES = 3, 8
+#: Buckets of a larger box.
+BOXED = 64
 SLACK = 1e-5
 
 
@@ -175,16 +177,29 @@ def _forest(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         root = new
 
 
+def _near(threshold: float) -> Column:
+    """Whether the boxes (low, high) and (low2, high2) are so near that vectors inside can link."""
+    apart = [F.greatest(F.lit(0.0), F.col("low")[k] - F.col("high2")[k], F.col("low2")[k] - F.col("high")[k]) for k in range(BOX_AXES)]
+    return sum((g * g for g in apart), F.lit(0.0)) <= 2 - 2 * threshold + SLACK
+
+
 def _sent(tiles: DataFrame, buckets: int, threshold: float) -> DataFrame:
-    """The tiles with group and side, once for each group of buckets (i, j) in which they can have a link."""
+    """The tiles with group and side, once for each group of buckets (i, j) in which they can have a link.
+
+    Buckets are held against boxes of BOXED buckets first, then against the buckets of those that are near, and tiles against
+    the buckets that theirs is near to: no tile meets a bucket that its neighbours rule out.
+    """
     count = tiles.count()
-    light = written(numbered(tiles.select("tile", "dim", "low", "high"), ["tile"], "place").select("tile", "dim", "low", "high", F.expr(f"cast(place * {buckets} div {max(1, count)} as int)").alias("bucket")), "boxes")
-    bound = lambda f, c: F.array(*(f(F.col(c)[k]) for k in range(BOX_AXES)))
-    boxes = light.groupBy(F.col("bucket").alias("other"), "dim").agg(bound(F.min, "low").alias("low2"), bound(F.max, "high").alias("high2"))
-    met = light.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))).join(boxes, ["other", "dim"])
-    apart = [F.greatest(F.lit(0.0), F.col("low")[k] - F.col("high2")[k], F.col("low2")[k] - F.col("high")[k]) for k in range(BOX_AXES)]
-    near = met.where(sum((g * g for g in apart), F.lit(0.0)) <= 2 - 2 * threshold + SLACK)
-    where = near.groupBy("tile", "bucket").agg(F.collect_list("other").alias("others"))  # one number a bucket at most
+    light = written(numbered(tiles.select("tile", "dim", "low", "high"), ["tile"], "place").select("tile", "dim", "low", "high", F.expr(f"cast(place * {buckets} div {max(1, count)} as int)").alias("bucket")), "tiles")
+    bound = lambda low, high: [F.array(*(F.min(F.col("low")[k]) for k in range(BOX_AXES))).alias(low), F.array(*(F.max(F.col("high")[k]) for k in range(BOX_AXES))).alias(high)]
+    boxes = written(light.groupBy("bucket", "dim").agg(*bound("low", "high")), "boxes")
+    wide = boxes.groupBy(F.expr(f"bucket div {BOXED}").alias("box"), "dim").agg(*bound("low2", "high2"))
+    coarse = boxes.withColumn("box", F.explode(F.sequence(F.lit(0), F.lit((buckets - 1) // BOXED)))).join(wide, ["box", "dim"]).where(_near(threshold)).drop("low2", "high2")
+    named = boxes.select(F.col("bucket").alias("other"), "dim", F.col("low").alias("low2"), F.col("high").alias("high2"))
+    inside = F.sequence((F.col("box") * BOXED).cast("bigint"), (F.least((F.col("box") + 1) * BOXED, F.lit(buckets)) - 1).cast("bigint"))
+    fine = coarse.withColumn("other", F.explode(inside)).join(named, ["other", "dim"]).where(_near(threshold)).select("bucket", "dim", "other", "low2", "high2")
+    near = light.join(fine, ["bucket", "dim"]).where(_near(threshold))
+    where = near.groupBy("tile", "bucket").agg(F.collect_set("other").alias("others"))  # one number a bucket at most
     out = tiles.join(where, "tile").withColumn("other", F.explode("others")).drop("others")
     i, j = F.least("bucket", "other"), F.greatest("bucket", "other")
     return out.withColumn("side", (F.col("bucket") != i).cast("int")).withColumn("group", i * buckets + j).drop("bucket", "other")

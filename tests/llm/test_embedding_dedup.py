@@ -78,3 +78,20 @@ def test_components(spark):
             root[a] = root[b] = min(root[a], root[b])
     assert got == {k: v for k, v in root.items() if k != v}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_boxes_of_boxes_lose_no_link(spark, monkeypatch):
+    """Many buckets of small tiles under boxes of three: the same links, and tiles are sent to few groups."""
+    monkeypatch.setattr(E, "BOXED", 3)
+    monkeypatch.setattr(E, "LEAST_BUCKETS", 25)
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(40, 6)) * 3
+    rows = [(int(i), (centres[i % 40] + rng.normal(size=6) * 0.4).tolist(), "x") for i in range(400)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = E.near_duplicates(df, tile=8)
+    assert sorted((tuple(r) for r in got.select("vec_id", "n_links", "component_id", "kept").collect()), key=str) == brute(rows)
+    nodes = E._usable(df.select("vec_id", E.F.col("embedding").alias("v")))
+    basis = E.Shared(spark, E.axes([np.array(r[1]) for r in rows]))
+    tiles = E.written(E._tiles(nodes, basis, 0.95, 8), "tiles")
+    sent = E._sent(tiles, 25, 0.95).select("group", "tile").collect()
+    assert len({(r["group"], r["tile"]) for r in sent}) == len(sent) < 0.7 * 25 * tiles.count()
