@@ -211,7 +211,7 @@ def a10(spark, d):
 #: A second sky beside PLANE: another centre and scale.
 OTHER = (184.0, 41.5, 1.6, 4.5)
 _UP = "sqrt(1-{0}.e*{0}.e-{0}.n*{0}.n)"
-define("moved_sky", f"select x, y, radians(-(x-{OTHER[3] - 1})*{OTHER[2]}::double) as e, radians((y-{OTHER[3] - 1})*{OTHER[2]}::double) as n from (select unnest(range(8)) as x) a, (select unnest(range(8)) as y) b")
+define("moved_sky", f"select x, y, radians(-(x-{OTHER[3] - 1})*{OTHER[2]}::double) as e, radians((y-{OTHER[3] - 1})*{OTHER[2]}::double) as n from (select unnest(range(8))::int as x) a, (select unnest(range(8))::int as y) b")
 define("moved_at", f"select x, y, {OTHER[0]}::double+degrees(atan2(e, {_UP.format('m')}*cos(radians({OTHER[1]}::double))-n*sin(radians({OTHER[1]}::double))))-{PLANE[0]} as h, asin({_UP.format('m')}*sin(radians({OTHER[1]}::double))+n*cos(radians({OTHER[1]}::double))) as dec from moved_sky m", "moved_sky")
 define("moved_map", f"select x, y, round(-degrees(cos(dec)*sin(radians(h)))/{PLANE[2]}+{PLANE[3] - 1},9) as sx, round(degrees(sin(dec)*cos(radians({PLANE[1]}::double))-cos(dec)*sin(radians({PLANE[1]}::double))*cos(radians(h)))/{PLANE[2]}+{PLANE[3] - 1},9) as sy from moved_at", "moved_at")
 define("moved", """select i.image_id, m.x, m.y, case when w00>0 then w00*a.val else 0 end + case when w01>0 then w01*c.val else 0 end + case when w10>0 then w10*b.val else 0 end + case when w11>0 then w11*f.val else 0 end as val

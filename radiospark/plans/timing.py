@@ -568,7 +568,7 @@ def _streamed(spark, d):
     timed_snapshots(spark, d).repartition("scan").write.partitionBy("scan").parquet(f"{base}/in")
     stream = ingest.file_stream(spark, f"{base}/in", files=3).withColumn("scan", F.col("scan").cast("bigint"))
     ingest.snapshot_chain(stream, snapshot_products(spark, snapshots.by_channel(1.7)), f"{base}/out", f"{base}/state")
-    schemas = {"flags": "byte_idx bigint, byte bigint, scan bigint", "data": "route string, ant1 bigint, ant2 bigint, chan bigint, corr bigint, re double, flag boolean, scan bigint"}
+    schemas = {"flags": "byte_idx bigint, byte bigint, scan bigint", "data": "route string, ant1 bigint, ant2 bigint, chan bigint, corr int, re double, flag boolean, scan bigint"}
     return {name: tables.read_or_empty(spark, f"{base}/out/version=1/{name}", schema) for name, schema in schemas.items()}
 
 

@@ -521,7 +521,7 @@ def k1_dated(spark, d):
     return r6(_dated(spark, d)[0], "amp")
 
 
-@register("k1_skipped_scans", sql("select spw, ts::date as \"date\", count(*) as n from k1_told where gain_id is null group by 1,2", "k1_told"))
+@register("k1_skipped_scans", sql("select spw::int as spw, ts::date as \"date\", count(*) as n from k1_told where gain_id is null group by 1,2", "k1_told"))
 def k1_skipped(spark, d):
     return _dated(spark, d)[1]
 
