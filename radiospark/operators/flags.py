@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import amp, decibel
+from ..session import few
 from .ordering import median_of_all
 
 SAMPLE = ["scan", "ant1", "ant2", "chan", "corr"]
@@ -133,7 +134,7 @@ def bad_baselines(vis: DataFrame, k: float = 3.0, share: float = 0.25, n_chan: i
     """(scan, ant1, ant2, hits): baselines of which many channels exceed mean + k std in XY or YX."""
     good = vis.where("ant1 != ant2 and not flag and corr in (1, 2)").withColumn("amp", amp())
     cut = good.groupBy("scan").agg((F.avg("amp") + k * F.stddev_pop("amp")).alias("cut"))
-    hits = good.join(cut, "scan").groupBy("scan", "ant1", "ant2").agg(F.count_distinct(F.when(F.col("amp") > F.col("cut"), F.col("chan"))).alias("hits"))
+    hits = good.join(few(cut, "cuts"), "scan").groupBy("scan", "ant1", "ant2").agg(F.count_distinct(F.when(F.col("amp") > F.col("cut"), F.col("chan"))).alias("hits"))
     return hits.where(F.col("hits") / float(n_chan) > share)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sky import julian_date, sidereal_hours
+from ..session import few, written
 from . import calibrate, flags, rfi, timeline
 
 CELL = ["scan", "ant1", "ant2", "chan", "corr"]
@@ -42,11 +43,12 @@ def chain(vis: DataFrame, antennas: DataFrame, sources: DataFrame, flagger: Flag
     ``data`` (scan, route, ant1, ant2, chan, corr, re, flag), averaged over ``width`` channels or archived as they are.
 
     Listed antennas (J7) and missing samples (R6) are flagged first, then what ``flagger`` finds. Every product has its scan as
-    a column, and depends on the snapshots of its own plane alone.
+    a column, and depends on the snapshots of its own plane alone. The flagged samples are written once to the shared folder,
+    where all products read them; routes have one row a snapshot and go to the samples, which stay where they are.
     """
-    found = flagger(flags.flag_antennas(rfi.with_missing_flagged(vis), antennas))
+    found = written(flagger(flags.flag_antennas(rfi.with_missing_flagged(vis), antennas)), "flagged")
     packed = flags.pack_flags(found.withColumn("pos", flags.place_of(n_ant, n_chan)), "scan")
-    told = found.join(routes(vis.select("scan", "ts").distinct(), sources, transit_minutes=transit_minutes), "scan")
+    told = found.join(few(routes(found.select("scan", "ts").distinct(), sources, transit_minutes=transit_minutes), "routes"), "scan")
     columns = ["scan", "ant1", "ant2", "chan", "corr", "re", "flag"]
     averaged = calibrate.bin_channels(told.where("processed"), width).select(F.lit("averaged").alias("route"), *columns)
     return {"flags": packed, "data": averaged.unionByName(told.where("not processed").select(F.lit("archived").alias("route"), *columns))}

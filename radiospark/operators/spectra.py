@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import amp
-from ..session import written
+from ..session import few, written
 from . import calibrate, timeline
 from .ordering import numbered
 
@@ -75,7 +75,7 @@ def dated_spectra(vis: DataFrame, scans: DataFrame, tables: DataFrame, gains: Da
     """
     told = written(numbered_scans(timeline.with_effective_calibration(scans.withColumnRenamed("scan", "_scan"), tables)), "scans")
     skipped = told.where("gain_id is null").groupBy("spw", "date").agg(F.count("*").alias("n"))
-    own = told.where("gain_id is not null").select(F.col("_scan").alias("_id"), "spw", "gain_id", F.col("scan").alias("number"))
+    own = few(told.where("gain_id is not null").select(F.col("_scan").alias("_id"), "spw", "gain_id", F.col("scan").alias("number")), "own")
     rows = vis.withColumnRenamed("scan", "_id").join(own, "_id").withColumnsRenamed({"_id": "scan"})
     done = calibrate.apply_bandpass_flagged(rows, gains, by=("gain_id",)).withColumn("amp", amp())
     axes = [F.col("number").alias("scan"), (F.col("spw") * n_chan + F.col("chan")).alias("chan"), "corr"]

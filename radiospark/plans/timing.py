@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import sky
 from ..functions.numbers import amp, rounded
 from ..operators import calibrate, flags, images, rfi, snapshots, spectra, timeline
-from ..session import scratch_path, table, written
+from ..session import few, scratch_path, table, written
 from ..sources import fixtures as fx
 from ..sources import tables
 from ..streaming import ingest
@@ -439,7 +439,7 @@ def k2(spark, d):
     columns = ["scan", "ant1", "ant2", "chan", "corr", "re", "flag"]
     done = calibrate.bin_channels(routed.where("processed")).select(F.lit("averaged").alias("route"), *columns)
     kept = routed.where("not processed").select(F.lit("archived").alias("route"), *columns)
-    return r6(done.unionByName(kept).join(packed, "scan"), "re")
+    return r6(done.unionByName(kept).join(few(packed, "packed"), "scan"), "re")
 
 
 define("k5_pairs", "select a.scan as early, b.scan as late from (select distinct scan from vis) a join (select distinct scan from vis) b on b.scan=a.scan+1", "vis")
@@ -455,7 +455,7 @@ def k5(spark, d):
     vis = fx.vis(spark, d)
     day = F.make_dt_interval(hours=F.lit(23), mins=F.lit(56), secs=F.lit(4.0))
     times = vis.select("scan").distinct().select(F.lit(0).alias("spw"), F.col("scan").alias("scan_id"), (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + day * F.col("scan")).alias("ts"))
-    pairs = timeline.sidereal_pairs(times).select(F.col("early_id").alias("early"), F.col("late_id").alias("late"))
+    pairs = few(timeline.sidereal_pairs(times).select(F.col("early_id").alias("early"), F.col("late_id").alias("late")), "pairs")
     keys = ["late", "ant1", "ant2", "chan", "corr"]
     early = vis.join(pairs.withColumnRenamed("early", "scan"), "scan").drop("scan")
     late = vis.withColumnRenamed("scan", "late").join(pairs.select("late"), "late")
@@ -548,7 +548,7 @@ def snapshot_products(spark, flagger):
 
 def _told(products):
     packed = products["flags"].groupBy("scan").agg(F.sum("byte").alias("packed"), F.count("*").alias("bytes"))
-    return r6(products["data"].join(packed, "scan"), "re").select("scan", "route", "ant1", "ant2", "chan", "corr", "re", "flag", "packed", "bytes")
+    return r6(products["data"].join(few(packed, "packed"), "scan"), "re").select("scan", "route", "ant1", "ant2", "chan", "corr", "re", "flag", "packed", "bytes")
 
 
 @register("k2_snapshot_chain", _SNAPSHOTS)

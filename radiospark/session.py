@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _OWN_DIRS: dict[str, str] = {}
 _TRACKS: list[list[DataFrame]] = []
@@ -83,6 +84,19 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+#: Rows of a few fixed-size columns that every executor may hold (some tens of MB).
+FEW_ROWS = 1 << 20
+
+
+def few(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written and counted: broadcast where it has at most ``FEW_ROWS`` rows, left to a shuffle beyond.
+
+    For tables of one row a scan, which would otherwise send all samples of a scan to one task.
+    """
+    own = written(df, label)
+    return F.broadcast(own) if own.count() <= FEW_ROWS else own
+
+
 @contextlib.contextmanager
 def tracked() -> Iterator[list[DataFrame]]:
     """The list of all tables that ``written`` makes inside the block, for ``release`` once nothing reads them any more."""

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.timeline import not_done
+from ..session import release, tracked
 from ..sources.tables import read_or_empty
 
 
@@ -47,7 +48,8 @@ def snapshot_chain(stream: DataFrame, work: Callable[[DataFrame], dict[str, Data
 
     Files hold whole snapshots. Snapshots are entered in the list of what is done (P11) after all their products are written,
     so those of a batch that failed half-way are made again and replace what is there, and those that come again, in a
-    repeated batch or another one, are left alone. A new version starts from nothing beside the old.
+    repeated batch or another one, are left alone. A new version starts from nothing beside the old. Scratch tables of
+    ``work`` are deleted with each batch.
     """
     base = f"{sink}/version={version}"
 
@@ -60,8 +62,10 @@ def snapshot_chain(stream: DataFrame, work: Callable[[DataFrame], dict[str, Data
         fresh = not_done(batch, done, ["scan"])
         if fresh.isEmpty():
             return
-        for name, product in work(fresh).items():
-            put(product, name)
+        with tracked() as scratch:
+            for name, product in work(fresh).items():
+                put(product, name)
+        release(*scratch)
         put(batch.select("scan").distinct().withColumn("at", F.current_timestamp()), "done")
 
     stream.writeStream.foreachBatch(one).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()

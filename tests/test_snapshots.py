@@ -7,6 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from radiospark import session
 from radiospark.operators import snapshots
 from radiospark.plans import registry, timing
 from radiospark.session import scratch_path
@@ -103,6 +104,22 @@ def test_a_batch_that_failed_half_way_is_made_again(spark, incoming):
         assert rows_of(spark, f"{incoming}/out/version=1/{name}") == rows_of(spark, f"{incoming}/clean/version=1/{name}")
 
 
+def test_tables_of_a_row_a_scan_go_to_the_samples_up_to_a_size(spark, sf_dir, monkeypatch):
+    def rows(df):
+        return sorted(map(str, df.collect()))
+
+    def plan(df):
+        return df._jdf.queryExecution().sparkPlan().toString()
+
+    work = timing.snapshot_products(spark, snapshots.by_channel(1.7))
+    small = work(timing.timed_snapshots(spark, sf_dir))["data"]
+    assert "BroadcastHashJoin" in plan(small) and "SortMergeJoin" not in plan(small)
+    monkeypatch.setattr(session, "FEW_ROWS", 0)
+    large = work(timing.timed_snapshots(spark, sf_dir))["data"]
+    assert "ResolvedHint" not in large._jdf.queryExecution().analyzed().toString()
+    assert rows(small) == rows(large)
+
+
 def test_flags_are_packed_without_an_order(spark, sf_dir):
     for name in ("s10_pack_flags", "k2_snapshot_chain"):
         plan = registry.queries()[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
