@@ -1,7 +1,7 @@
 """Global order without a single task: numbers, running sums and medians over range partitions.
 
-Rows are dealt to range partitions (as many as ``spark.sql.shuffle.partitions`` says), sorted there and written; only one row
-a partition is ever ordered as a whole. Medians need no order: histograms close in on the middle value.
+Rows are dealt to range partitions (as many as ``spark.sql.shuffle.partitions`` says, or more where the input's bytes ask for
+them), sorted there and written; only one row a partition is ever ordered as a whole. Medians need no order: histograms close in on the middle value.
 """
 
 from __future__ import annotations
@@ -9,12 +9,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import release, written
+from ..session import input_bytes, release, written
+
+#: Bytes of input for each range partition.
+PART_BYTES = 128 << 20
 
 
 def _placed(df: DataFrame, order: list[str | Column]) -> DataFrame:
     """``df`` with _part, rising with the order, and _at, rising with the order inside it from 0."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes(df) // PART_BYTES))
     ids = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
     split = {"_part": F.shiftright("_id", 33), "_at": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))}
     return written(ids, "ordered").withColumns(split).drop("_id")

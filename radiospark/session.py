@@ -84,6 +84,20 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+#: Bytes of a leaf whose size Spark does not know are above this.
+_UNKNOWN = 1 << 60
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Bytes that ``df`` comes from, about: the sizes of the tables at its leaves, or its own size as planned if that is less
+    (joins multiply it, projections cut it down). Leaves of unknown size count nothing."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    size = lambda p: int(str(p.stats().sizeInBytes()))
+    leaves = plan.collectLeaves()
+    sizes = [size(leaves.apply(k)) for k in range(leaves.size())]
+    return min(size(plan), sum(s for s in sizes if s < _UNKNOWN))
+
+
 #: Rows of a few fixed-size columns that every executor may hold (some tens of MB).
 FEW_ROWS = 1 << 20
 

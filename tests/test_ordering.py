@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from radiospark.operators import images, ordering, rfi, timeline
+from radiospark.session import input_bytes
 
 
 def test_medians_of_large_groups(spark):
@@ -89,3 +90,21 @@ def test_rank_operator_of_a_long_plane(spark):
         sums.append(round(sums[-1] + (0.3 if f else -0.7), 9))
     for k in range(len(line)):
         assert got[k] == (max(sums[k + 1 :]) - min(sums[: k + 1]) >= 0)
+
+
+def test_range_partitions_grow_with_the_input(spark, sf_dir, monkeypatch):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber")
+    order = ["l_orderkey", "l_linenumber"]
+    few = ordering._placed(lines, order).agg(F.max("_part")).first()[0] + 1
+    want = sorted(map(tuple, ordering.numbered(lines, order).collect()))
+    monkeypatch.setattr(ordering, "PART_BYTES", 2000)
+    assert few <= 8 < ordering._placed(lines, order).agg(F.max("_part")).first()[0] + 1
+    assert sorted(map(tuple, ordering.numbered(lines, order).collect())) == want
+
+
+def test_bytes_that_a_table_comes_from(spark, sf_dir):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    whole = input_bytes(lines)
+    assert 0 < input_bytes(lines.select("l_orderkey")) < whole
+    assert input_bytes(lines.alias("a").join(lines.alias("b"), F.expr("a.l_orderkey = b.l_partkey"))) <= 2 * whole
+    assert input_bytes(spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "a int")) == 0
