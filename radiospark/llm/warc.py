@@ -9,9 +9,13 @@ Reading: files are parsed by Content-Length record by record; segments are group
 ordered by number, checked for gaps and against the total length, and joined; then the chunks are decoded. A group is one
 record, so no task holds more than a record's own payload; copies of one page shuffle as short revisit records.
 
-Defined cases: a null payload is an empty one; a null id sorts after all others and is written as ``null``; of rows with
-the same id and payload one is the response; line breaks in a URL become spaces; a broken record (missing segment, wrong
-length, bad framing or digest) is returned with ``problem`` set; an empty table gives an empty archive.
+A revisit holds its payload's length and digest in its own headers alone, so it is held against the response that it refers
+to: the distinct claims of revisits meet the responses, one row each, and go back to the revisits where one is false.
+
+Defined cases: a null payload is an empty one; a null id sorts after all others and is written as ``~``, which no id is, as
+ids are percent-encoded; of rows with the same id and payload one is the response; line breaks in a URL become spaces; a broken
+record (missing segment, wrong length, bad framing or digest; a revisit of what is absent, broken, no response or of other
+length or digest) is returned with ``problem`` set; an empty table gives an empty archive.
 """
 
 from __future__ import annotations
@@ -113,7 +117,7 @@ def _prepared(pages: DataFrame, least_bytes: int) -> tuple[DataFrame, list[DataF
     groups = base.where(F.length("payload") >= least_bytes).groupBy("digest").agg(F.count("*").alias("n"), first.alias("first")).where("n > 1")
     groups = written(groups, "groups")
     both = base.join(groups, "digest", "left")
-    name = lambda i, r: F.concat(F.lit("urn:page:"), F.coalesce(i.cast("string"), F.lit("null")), F.lit(":"), r.cast("string"))
+    name = lambda i, r: F.concat(F.lit("urn:page:"), F.coalesce(F.url_encode(i.cast("string")), F.lit("~")), F.lit(":"), r.cast("string"))
     again = (F.length("payload") >= least_bytes) & F.col("n").isNotNull() & (F.col("rid") != F.col("first.rid"))
     out = both.select("url", "payload", name(F.col("page_id"), F.col("rid")).alias("name"), F.when(again, name(F.col("first.page_id"), F.col("first.rid"))).alias("first"))
     return out, [base, groups]
@@ -219,12 +223,32 @@ def reassembled(segments: DataFrame) -> DataFrame:
     return whole.mapInArrow(run, "name string, record_type string, refers string, payload binary, payload_bytes long, payload_digest string, problem string")
 
 
+def revisits_checked(records: DataFrame) -> DataFrame:
+    """The ``problem`` of revisits whose response is not there, has a problem itself, or has another length or digest.
+
+    However many revisit one response, their equal claims are one row after a partial aggregation; false claims, none in a
+    sound archive, are all that meets the revisits again.
+    """
+    claim = ["refers", "payload_bytes", "payload_digest"]
+    claims = records.where("record_type = 'revisit' and problem is null").groupBy(*claim).agg(F.lit(1).alias("_n"))
+    sound = records.where("record_type = 'response' and problem is null").select(
+        F.col("name").alias("refers"), F.col("payload_bytes").alias("_bytes"), F.col("payload_digest").alias("_digest")
+    )
+    told = claims.join(sound, "refers", "left")
+    false = F.when(F.col("_bytes").isNull(), "the response is not there or broken").when((F.col("payload_bytes") != F.col("_bytes")) | (F.col("payload_digest") != F.col("_digest")), "the response has another payload")
+    wrong = told.select(*(F.col(c).alias(f"_{c}") for c in claim), false.alias("_false")).where("_false is not null")
+    met = (F.col("record_type") == "revisit") & F.col("problem").isNull()
+    for c in claim:
+        met = met & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return records.join(wrong, met, "left").withColumn("problem", F.coalesce("problem", "_false")).select(*records.columns)
+
+
 def round_trip(pages: DataFrame, page_id: str = "page_id", url: str = "url", payload: str = "html") -> DataFrame:
     """Write the archives to the shared folder, read them back, and report on each page: page_id, payload_bytes,
     payload_digest, record_type, refers_to, problem."""
     spark = pages.sparkSession
     path = scratch_path(spark, "warc")
     write_archive(pages, path, page_id, url, payload)
-    found = reassembled(read_segments(spark, path))
-    number = lambda c: F.nullif(F.split_part(F.col(c), F.lit(":"), F.lit(3)), F.lit("null")).cast(pages.schema[page_id].dataType)
+    found = revisits_checked(written(reassembled(read_segments(spark, path)).drop("payload"), "records"))
+    number = lambda c: F.url_decode(F.nullif(F.split_part(F.col(c), F.lit(":"), F.lit(3)), F.lit("~"))).cast(pages.schema[page_id].dataType)
     return found.select(number("name").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers").alias("refers_to"), "problem")

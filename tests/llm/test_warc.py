@@ -66,3 +66,33 @@ def test_archives_with_a_gzip_member_a_record(spark, tmp_path):
     (tmp_path / "a.warc.gz").write_bytes(b"".join(gzip.compress(r + warc.END) for r in records))
     got = warc.reassembled(warc.read_segments(spark, str(tmp_path))).collect()
     assert sorted((r["name"], bytes(r["payload"]), r["problem"]) for r in got) == [(f"urn:page:{k}:{k}", b"body %d " % k * 900, None) for k in range(5)]
+
+
+def test_text_ids(spark):
+    ids = ["a:b", "null", "~", "", "é%3A", None, "a:b"]
+    got = warc.round_trip(spark.createDataFrame([(i, "u", "same " * 50) for i in ids], "page_id string, url string, html string")).collect()
+    assert sorted((r["page_id"] for r in got), key=str) == sorted(ids, key=str)
+    assert [r["page_id"] for r in got if r["record_type"] == "response"] == [""]
+    assert {r["refers_to"] for r in got if r["record_type"] == "revisit"} == {""} and all(r["problem"] is None for r in got)
+
+
+def test_revisits_are_held_against_their_response(spark, tmp_path):
+    path = "file://" + str(tmp_path / "archive")
+    rows = [(i, "u", "a" * 30_000 if i < 4 else "b" * 200, None) for i in range(8)]
+    warc.write_archive(spark.createDataFrame(rows, SCHEMA), path)
+    segments = warc.read_segments(spark, path)
+
+    def problems(df):
+        return {int(r["name"].split(":")[2]): r["problem"] for r in warc.revisits_checked(warc.reassembled(df).drop("payload")).collect()}
+
+    page = F.split_part("origin", F.lit(":"), F.lit(3))
+    assert set(problems(segments).values()) == {None}
+    without = problems(segments.where(page != "0"))
+    assert {k for k, p in without.items() if p} == {1, 2, 3} and all("not there" in without[k] for k in (1, 2, 3))
+    broken = problems(segments.where((page != "0") | (F.col("number") != 2)))
+    assert {k for k, p in broken.items() if p} == {0, 1, 2, 3} and "missing" in broken[0] and "broken" in broken[1]
+    claims = F.when(page == "5", F.concat(F.lit("sha256:"), F.sha2(F.lit(b"else"), 256))).otherwise(F.col("digest"))
+    other = problems(segments.withColumn("digest", claims))
+    assert {k for k, p in other.items() if p} == {5} and "another payload" in other[5]
+    unnamed = problems(segments.withColumn("refers", F.when(page != "6", F.col("refers"))))
+    assert {k for k, p in unnamed.items() if p} == {6}
