@@ -416,9 +416,10 @@ def r8(spark, d):
 
 
 define("k2_listed", "select scan,ant1,ant2,chan,corr,re,im,amp, flag or ant1 in (3,7,12) or ant2 in (3,7,12) as flag from vamp", "vamp")
-define("k2_flagged", _rms_sql("scan", 1.7, "k2_listed", "v.re, v.im,"), "k2_listed")
+define("k2_all", "select scan,ant1,ant2,chan,corr,re,im,sqrt(re*re+im*im) as amp, flag or ant1 in (3,7,12) or ant2 in (3,7,12) as flag from vis", "vis")
+define("k2_flagged", _rms_sql("scan", 1.7, "k2_all", "v.re, v.im,"), "k2_all")
 define("k2_timed", "select *, epoch(ts)/86400.0::double+2440587.5 as jd from (select *, timestamp '2024-01-01' + to_hours((scan*5)::int) as ts from k2_flagged)", "k2_flagged")
-define("k2_routed", "select *, hour(ts) between 1 and 14 or (lst>=11 and lst<=14) as processed from (select *, ((18.697374558+24.06570982441908*(jd-2451545.0)-118.281667*24/360)%24+24)%24 as lst from k2_timed) where scan%4<>3", "k2_timed")
+define("k2_routed", "select *, hour(ts) between 1 and 14 or (lst>=11 and lst<=14) as processed from (select *, ((18.697374558+24.06570982441908*(jd-2451545.0)-118.281667*24/360)%24+24)%24 as lst from k2_timed)", "k2_timed")
 define("k2_packed", "select scan, sum(byte)::bigint as packed, count(*) as bytes from (select scan, pos//8, sum(case when flag then 1<<(7-(pos%8))::int else 0 end) as byte from (select scan, flag, ((ant1*16-(ant1*(ant1-1))//2+ant2-ant1)*24+chan)*4+corr as pos from k2_routed) group by 1,2) group by 1", "k2_routed")
 
 
@@ -427,13 +428,16 @@ select scan, route, ant1, ant2, chan, corr, round(re,6)+0.0 as re, flag, packed,
  select scan, 'averaged' as route, ant1, ant2, chan//4 as chan, corr, avg(re) filter (where not flag) as re, bool_and(flag) as flag from k2_routed where processed group by all
  union all select scan, 'archived', ant1, ant2, chan, corr, re, flag from k2_routed where not processed) join k2_packed using (scan)""", "k2_packed", "k2_routed"))
 def k2(spark, d):
-    """Flag, pack the flags, then average by hour or sidereal time what is to be processed; the rest is archived as it is."""
+    """Flag, pack the flags, then average by hour or sidereal time what is to be processed; the rest is archived as it is.
+
+    Every scan and every baseline, an antenna's with itself as well.
+    """
     listed = spark.createDataFrame([(a,) for a in fx.FLAGGED_ANTENNAS], "ant bigint")
-    found = rfi.rms_threshold(flags.flag_antennas(rfi.with_missing_flagged(_plane(spark, d)), listed), "scan", 1.7)
+    found = rfi.rms_threshold(flags.flag_antennas(rfi.with_missing_flagged(fx.vis(spark, d).withColumn("amp", amp())), listed), "scan", 1.7)
     timed = found.withColumn("ts", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(hours=(F.col("scan") * 5).cast("int")))
     routed = timeline.routed_by_hour(timed, "ts", 1, 14).withColumn("lst", sky.sidereal_hours(sky.julian_date("ts")))
     routed = routed.withColumn("processed", F.col("processed") | F.col("lst").between(11, 14))
-    routed = written(timeline.not_done(routed, routed.where("scan % 4 = 3"), ["scan"]), "routed")
+    routed = written(routed, "routed")
     packed = flags.pack_flags(visibility.with_places(routed), "scan")
     packed = packed.groupBy("scan").agg(F.sum("byte").alias("packed"), F.count("*").alias("bytes"))
     columns = ["scan", "ant1", "ant2", "chan", "corr", "re", "flag"]
