@@ -132,7 +132,8 @@ def draws(given: DataFrame, seed: int = SEED, shard_blocks: int = SHARD_BLOCKS,
                 at = np.flatnonzero(drawn)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k.as_py()), pa.int64()), pa.array(s[at], pa.int64()), pa.array(drawn[at], pa.int64())], names=["shard", "s", "n"])
 
-    drawn = spark.range(shards).withColumnRenamed("id", "shard").mapInArrow(outer, "shard long, g long, m long")
+    # Written in between, so that no task runs two Python functions at once: Spark keeps the workers of both until it ends.
+    drawn = written(spark.range(shards).withColumnRenamed("id", "shard").mapInArrow(outer, "shard long, g long, m long"), "groups")
     drawn = written(drawn.join(groups.select("g", "of"), "g").mapInArrow(inner, "shard long, s long, n long"), "drawn")
     got = open_.join(drawn.groupBy("s").agg(F.sum("n").alias("got")), "s", "left").select("s", "blocks", "quota", "got")
     order = Window.partitionBy("s").orderBy("shard")

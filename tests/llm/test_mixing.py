@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import types as T
 
 from radiospark.llm import mixing
+from radiospark.llm.common import written
 from radiospark.llm.queries import op9_mixing
 
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("source", T.StringType()), T.StructField("text", T.StringType()), T.StructField("size", T.StringType())])
@@ -115,3 +116,18 @@ def test_documents_as_taken(spark, sf_dir):
     assert {d: n for d, n in words.items()} == {d: r["taken"] for d, r in report.items() if r["taken"]}
     blocks = mixing.mixed_blocks(docs, block_words=16).collect()
     assert sum(x["end"] - x["first"] for b in blocks for x in b["spans"]) == sum(words.values())
+
+
+def test_one_python_function_a_task(spark, sf_dir, monkeypatch):
+    """Spark keeps the workers of all functions that a task runs at once, so no table of the mix comes from two of them."""
+    found = {}
+
+    def watched(df, label):
+        found[label] = df._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow")
+        return written(df, label)
+
+    monkeypatch.setattr(mixing, "written", watched)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)
+    found["mix"] = mixing.mixed_documents(docs, block_words=16)._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow")
+    assert {"sizes", "drawn", "slots", "mix"} <= set(found)
+    assert max(found.values()) == 1, found
