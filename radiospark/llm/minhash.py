@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, lean, mix64, pieces_of, release, token_hashes, written
+from .common import Shared, give_back, lean, mix64, pieces_of, release, token_hashes, written
 from .graph import connected_components
 
 WORDS = 5
@@ -233,6 +233,8 @@ def _order(docs: DataFrame) -> np.ndarray:
     found = docs.select("text").mapInArrow(run, "slot long, times long").groupBy("slot").agg(F.sum("times").alias("times")).toArrow()  # SLOTS rows at most
     out = np.zeros(SLOTS, dtype=np.int64)
     out[found["slot"].to_numpy()] = found["times"].to_numpy()
+    del found
+    give_back()
     return out
 
 
@@ -378,8 +380,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     links = written(_links(_within(shared, threshold), texts, threshold), "links")
     parts = connected_components(links)
     more = _crowded_links(shared, sets, texts, parts, threshold)
-    every = links.unionAll(more)
-    parts = connected_components(every)
+    parts = connected_components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more))
     known = sets.select("h1", "h2", F.col("id").alias("node")).join(parts, "node", "left")
     known = written(known.select("h1", "h2", F.coalesce("component", "node").alias("class")), "classes")
     release(shared, wanted, texts, links, more, sets)

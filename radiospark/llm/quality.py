@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Shared, fold, labelled_sample, lean, mix64, pieces_of, release, renamed, token_hashes, written
+from .common import Shared, fold, give_back, labelled_sample, lean, mix64, pieces_of, release, renamed, token_hashes, written
 
 
 @dataclass(frozen=True)
@@ -150,7 +150,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", settings: Se
     rows = [(r["doc_id"], r["label"], np.frombuffer(r["at"], np.int32), np.frombuffer(r["times"], np.uint32).astype(np.float32)) for r in found.toLocalIterator()]
     release(found)
     rows.sort(key=lambda r: (r[0], r[2].tobytes()))
-    return train([r[1:] for r in rows], settings)
+    table = train([r[1:] for r in rows], settings)
+    del rows
+    give_back()  # the driver goes on with the table alone
+    return table
 
 
 def scored(docs: DataFrame, table: np.ndarray, threshold: float = 0.5, settings: Settings = Settings()) -> DataFrame:

@@ -88,3 +88,12 @@ def test_nulls_no_labels_and_repeats(spark):
     assert quality.classify(spark.createDataFrame([], DOCS), spark.createDataFrame([], LABELS)).count() == 0
     wide = quality.scored(docs, np.zeros(1 << 18, np.float32))
     assert wide.columns == ["doc_id", "text", "in_score", "score", "predicted"] and wide.count() == 4
+
+
+def test_the_driver_gives_back_what_training_took(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, f"{'good' if k % 2 else 'bad'} {k}", "x") for k in (2, 3, 5, 6)], DOCS)
+    order, train = [], quality.train
+    monkeypatch.setattr(quality, "train", lambda rows, settings: order.append("train") or train(rows, settings))
+    monkeypatch.setattr(quality, "give_back", lambda: order.append("give_back"), raising=False)
+    quality.fit(docs, spark.createDataFrame([(k, k % 2) for k in (2, 3, 5, 6)], LABELS))
+    assert order == ["train", "give_back"]
