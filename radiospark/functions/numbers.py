@@ -47,6 +47,26 @@ def rounded(c: Column | str, digits: int = 6) -> Column:
     return F.round(col(c), digits) + F.lit(0.0)
 
 
+#: Doubles below ``_COARSE`` are added on two grids and what is finer.
+_COARSE, _GRIDS = 2.0**33, (2.0**20, 2.0**47)
+
+
+def exact_mean(c: Column | str) -> Column:
+    """The mean of doubles, as an aggregate whose sum does not depend on the order of the rows: it is zero where they cancel, only there.
+
+    A double is cut into multiples of 2^-20, multiples of 2^-47 and the rest, each of which is added without rounding: 2^27 values
+    below 32 in size (the sums of parts have to stay below 2^33), down to 2^-20 with all their bits. Values from 2^33 on, infinite
+    ones and NaN are added as ``avg`` does.
+    """
+    c = col(c).cast("double")
+    fine = F.abs(c) < _COARSE
+    on_grid = lambda x, grid: F.rint(x * grid) / grid
+    high = F.when(fine, on_grid(c, _GRIDS[0])).otherwise(c)
+    low = F.when(fine, c - on_grid(c, _GRIDS[0])).otherwise(0.0)
+    middle = on_grid(low, _GRIDS[1])
+    return F.try_divide(F.sum(high) + F.sum(middle) + F.sum(low - middle), F.count(c))
+
+
 def no_nan(c: Column | str) -> Column:
     """NaN as null: excluded."""
     c = col(c)

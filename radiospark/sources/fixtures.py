@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.numbers import exact_mean
 from ..session import table
 
 N_CHAN, N_ANT = 24, 16
@@ -32,7 +33,7 @@ def vis(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     return (
         table(spark, sf_dir, "lineitem").groupBy(*(c.alias(k) for k, c in keys.items()))
-        .agg(F.avg(F.col("l_quantity") - 25).alias("re"), F.avg(100 * F.col("l_discount") - 5).alias("im"), (F.max(F.when(F.col("l_tax") >= 0.07, 1).otherwise(0)) == 1).alias("flag"))
+        .agg(exact_mean(F.col("l_quantity") - 25).alias("re"), exact_mean(100 * F.col("l_discount") - 5).alias("im"), (F.max(F.when(F.col("l_tax") >= 0.07, 1).otherwise(0)) == 1).alias("flag"))
     )
 
 
