@@ -54,3 +54,10 @@ def test_zeros_are_counted_whatever_the_order(spark, discounts):
     assert exact(discounts) != 0 and exact([0.1, 0.0]) == 0
     got = query(spark, "a18_zero_fraction", sample(0, 1, 0, discounts) + sample(0, 1, 1, [0.1, 0.0]) + sample(0, 1, 2, [0.1]))
     assert [(r["scan"], r["zero_share"], r["zeros"]) for r in got] == [(0, 333, 1)]
+
+
+@pytest.mark.parametrize("discounts", [LOSSY, KEPT, LOSSY[::-1]])
+def test_raw_antennas_whatever_the_order(spark, discounts):
+    """Five equal antennas, but one sample of the last is all but zero: its spectrum scatters, and has no gap there."""
+    rows = [r for ant in range(5) for chan in range(4) for r in sample(ant, ant, chan, *((discounts,) if (ant, chan) == (4, 3) else ([0.05], 26.0)))]
+    assert [r["ant"] for r in query(spark, "a25_bad_antennas_raw", rows)] == [4]
