@@ -61,3 +61,12 @@ def test_raw_antennas_whatever_the_order(spark, discounts):
     """Five equal antennas, but one sample of the last is all but zero: its spectrum scatters, and has no gap there."""
     rows = [r for ant in range(5) for chan in range(4) for r in sample(ant, ant, chan, *((discounts,) if (ant, chan) == (4, 3) else ([0.05], 26.0)))]
     assert [r["ant"] for r in query(spark, "a25_bad_antennas_raw", rows)] == [4]
+
+
+@pytest.mark.parametrize("discounts", [LOSSY, KEPT, LOSSY[::-1]])
+def test_decibels_whatever_the_order(spark, discounts):
+    """A sample that is all but zero counts in the mean of its channel; one that is zero does not."""
+    rows = sample(2, 2, 0, discounts) + sample(2, 2, 0, [0.05], 26.0, 3) + sample(2, 2, 1, [0.1, 0.0]) + sample(2, 2, 1, [0.05], 26.0, 3) + sample(2, 2, 2, [0.05])
+    got = {r["chan"]: r["db"] for r in query(spark, "a31_auto_decibels", rows)}
+    faint = 10 * math.log10(abs(float(exact(discounts))) / 100)
+    assert got == {0: pytest.approx((faint - 20) / 2, abs=2e-6), 1: -20.0, 2: None} and faint < -170
