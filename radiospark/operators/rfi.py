@@ -87,11 +87,16 @@ def high_passed(df: DataFrame, sigma_time: float = 2.5, sigma_chan: float = 5.0,
 
 
 def rms_threshold(df: DataFrame, axis: str, level: float, plane: list[str] = PLANE, value: str = "amp") -> DataFrame:
-    """R2 (axis scan), R3 (axis chan): flag the times or channels whose rms leaves mean +- level * std of all of the plane."""
+    """R2 (axis scan), R3 (axis chan): flag the times or channels whose rms leaves mean +- level * std of all of the plane.
+
+    Mean and deviation are added in the order of the axis, so that flags do not change with the partitions where all have about
+    one rms. A plane's task holds a row for each of its times or channels.
+    """
     good = df.where(~F.col("flag"))
     rms = good.groupBy(*plane, axis).agg(F.sqrt(F.avg(F.col(value) * F.col(value))).alias("_rms"))
-    far = rms.groupBy(*plane).agg(F.avg("_rms").alias("_m"), F.stddev_pop("_rms").alias("_s"))
-    hits = rms.join(far, plane).where(F.abs(F.col("_rms") - F.col("_m")) > level * F.col("_s")).select(*plane, axis, F.lit(True).alias("_hit"))
+    whole = Window.partitionBy(*plane).orderBy(axis).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    far = rms.withColumns({"_m": F.avg("_rms").over(whole), "_s": F.stddev_pop("_rms").over(whole)})
+    hits = far.where(F.abs(F.col("_rms") - F.col("_m")) > level * F.col("_s")).select(*plane, axis, F.lit(True).alias("_hit"))
     return df.join(hits, [*plane, axis], "left").withColumn("flag", F.col("flag") | F.coalesce("_hit", F.lit(False))).select(*df.columns)
 
 

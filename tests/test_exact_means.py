@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from radiospark.functions.numbers import exact_mean
+from radiospark.operators import rfi
 from radiospark.plans import registry
 from radiospark.session import scratch_path
 
@@ -70,3 +71,32 @@ def test_decibels_whatever_the_order(spark, discounts):
     got = {r["chan"]: r["db"] for r in query(spark, "a31_auto_decibels", rows)}
     faint = 10 * math.log10(abs(float(exact(discounts))) / 100)
     assert got == {0: pytest.approx((faint - 20) / 2, abs=2e-6), 1: -20.0, 2: None} and faint < -170
+
+
+def test_snapshots_of_equal_channels_are_not_flagged(spark):
+    """Four channels with the same discounts in other orders have one amplitude, which none of them leaves."""
+    order = {0: KEPT, 1: KEPT, 2: KEPT, 3: LOSSY}
+    got = query(spark, "k2_snapshot_chain", [r for chan, x in order.items() for r in sample(0, 1, chan, [*x, 0.06])])
+    assert got and all(not r["flag"] and r["packed"] == 0 for r in got), got
+
+
+def test_rms_threshold_whatever_the_partitions(spark):
+    """Planes of equal channels hang on how their mean rounds: as SQL's window does, value by value."""
+    planes = {(a, n): math.sqrt(a * 37 + n) for a in range(60) for n in (3, 6, 7, 8, 12)}
+    want = set()
+    for (a, n), r in planes.items():
+        total = 0.0
+        for _ in range(n):
+            total += math.sqrt(r * r)
+        if total / n != math.sqrt(r * r):
+            want |= {(a, n, chan) for chan in range(n)}
+    df = spark.createDataFrame([(a, n, 0, chan, r, False) for (a, n), r in planes.items() for chan in range(n)], "ant1 long, ant2 long, corr int, chan long, amp double, flag boolean")
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        for parts in (1, 3, 8):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            assert {(r["ant1"], r["ant2"], r["chan"]) for r in rfi.rms_threshold(df, "chan", 1.7).where("flag").collect()} == want
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
